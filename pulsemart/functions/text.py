@@ -104,9 +104,9 @@ def sentence_marks(text: Column) -> Column:
 # Redaction patterns applied before text is indexed, in order.
 REDACTIONS = (
     (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}", "[EMAIL]"),
-    (r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b", "[SSN]"),
-    (r"\b[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}\b", "[CARD]"),
-    (r"\b[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}\b", "[PHONE]"),
+    (rf"{_LEFT_EDGE}[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}{_RIGHT_EDGE}", "[SSN]"),
+    (rf"{_LEFT_EDGE}[0-9]{{4}}[ -]?[0-9]{{4}}[ -]?[0-9]{{4}}[ -]?[0-9]{{4}}{_RIGHT_EDGE}", "[CARD]"),
+    (rf"{_LEFT_EDGE}[0-9]{{3}}[ .-][0-9]{{3}}[ .-][0-9]{{4}}{_RIGHT_EDGE}", "[PHONE]"),
 )
 
 

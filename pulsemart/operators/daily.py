@@ -228,10 +228,11 @@ def complaints_daily(rows: DataFrame, cfg: DailySettings = DEFAULT_DAILY) -> Dat
         F.mode("state", True).alias("top_state"),
         F.count_distinct("zip_code").alias("zip_codes_affected"),
     )
-    indexed = rolled.withColumns(
+    # Ranked on a rounded mean: equal means tie in whatever order rows were summed.
+    indexed = rolled.withColumn("_severity", F.round("enhanced_severity_avg", 9)).withColumns(
         {
             "complaints_volume_index": 100 - peer_percentile("complaints", *PEERS),
-            "complaints_severity_index": 100 - peer_percentile("enhanced_severity_avg", *PEERS),
+            "complaints_severity_index": 100 - peer_percentile("_severity", *PEERS),
             "response_quality_index": (
                 F.col("timely_rate") * 0.6 + (1 - F.col("dispute_rate")) * 0.4
             ) * 100,
@@ -252,4 +253,4 @@ def complaints_daily(rows: DataFrame, cfg: DailySettings = DEFAULT_DAILY) -> Dat
             "anomaly_flag": yes(unusual),
             "data_freshness_ok": F.lit(True),
         }
-    )
+    ).drop("_severity")
