@@ -13,6 +13,7 @@ from collections.abc import Mapping, Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from pulsemart.functions.plan import computed_once
 from pulsemart.functions.text import contains_any, quote
 from pulsemart.settings import DEFAULT_MENTION, MentionSettings
 
@@ -104,7 +105,7 @@ def detect_mentions(
         )
     best = F.array_max(F.array(*candidates))
     return (
-        out.withColumn("_best", best)
+        computed_once(out, "_best", best)
         .withColumns(
             {
                 "mention_brand": F.col("_best.brand"),

@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pulsemart.functions.parsing import json_text, json_whole
+from pulsemart.functions.plan import computed_once
 from pulsemart.functions.text import redact
 from pulsemart.functions.tokens import most_tokens, tokens
 from pulsemart.functions.vectors import cosine
@@ -76,17 +77,16 @@ def relevance(
             *[F.count_if(c > 0).cast("double").alias(f"df{i}") for i, c in enumerate(counts)],
         ).alias("figures")
     )
-    scored = table.withColumns(
-        {"_figures": figures.scalar(), **{f"_tf{i}": c for i, c in enumerate(counts)}}
-    )
+    found = F.struct(*[c.alias(f"tf{i}") for i, c in enumerate(counts)])
+    scored = computed_once(table, "_found", found).withColumn("_figures", figures.scalar())
     stats = F.col("_figures")
     norm = cfg.k1 * (1 - cfg.b + cfg.b * F.try_divide(F.col("token_count"), stats["mean"]))
     total = F.lit(0.0)
     for i in range(len(terms)):
-        tf = F.col(f"_tf{i}")
+        tf = F.col(f"_found.tf{i}")
         part = inverse_frequency(stats["n"], stats[f"df{i}"]) * tf * (cfg.k1 + 1) / (tf + norm)
         total = total + F.when(tf > 0, part).otherwise(0.0)
-    return scored.withColumn(score, total).drop("_figures", *[f"_tf{i}" for i in range(len(terms))])
+    return scored.withColumn(score, total).drop("_figures", "_found")
 
 
 def inverse_frequency(documents: Column, holding: Column) -> Column:
