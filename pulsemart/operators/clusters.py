@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from pulsemart.functions.plan import computed_once
 from pulsemart.functions.scores import label_number, tally
 from pulsemart.operators.features import flag_name
 from pulsemart.settings import (
     CLUSTER_DEFAULT, CLUSTER_RULES, PRIORITY_DEFAULT, PRIORITY_RULES, SEVERITY_AS_NUMBER, TrendSplit,
 )
 
-CLUSTER_KEYS = ("cluster_name", "cluster_description", "cluster_priority")
+# The description follows from the name, so it is added after grouping.
+CLUSTER_KEYS = ("cluster_name", "cluster_priority")
 MENTIONS = ("account", "card", "loan", "fee", "fraud", "service", "error")
 PREVIEW_CHARS = 200
 SAMPLES = 5
@@ -55,42 +57,44 @@ def severity_number() -> Column:
 
 
 def assign_clusters(features: DataFrame) -> DataFrame:
-    return features.withColumn("cluster_name", cluster_name()).withColumns(
-        {
-            "cluster_description": cluster_description(F.col("cluster_name")),
-            "cluster_priority": cluster_priority(),
-        }
-    )
+    """Add cluster and priority; filters and joins on them never match the texts again."""
+    labels = F.struct(cluster_name().alias("cluster_name"), cluster_priority().alias("cluster_priority"))
+    return described(computed_once(features, "_labels", labels).select("*", "_labels.*").drop("_labels"))
+
+
+def described(df: DataFrame) -> DataFrame:
+    return df.withColumn("cluster_description", cluster_description(F.col("cluster_name")))
 
 
 def cluster_summary(assigned: DataFrame) -> DataFrame:
     """One row per cluster and priority.
 
-    Sources are first counted per cluster, so the list of common sources is cut
-    before it is collected.
+    The complaints are read once: they are first counted per cluster, source
+    detail and day, and everything else comes from those counts.  Only the
+    first source names, found by rank, are collected.
     """
-    stats = assigned.groupBy(*CLUSTER_KEYS).agg(
-        F.count(F.lit(1)).alias("complaint_count"),
-        F.count_distinct("complaint_date").alias("days_with_complaints"),
-        F.avg(severity_number()).alias("avg_severity_score"),
-        tally(F.col("source_type") == "reddit").alias("reddit_complaints"),
-        tally(F.col("source_type") == "cfpb").alias("cfpb_complaints"),
-        F.min("complaint_date").alias("first_complaint_date"),
-        F.max("complaint_date").alias("last_complaint_date"),
+    counted = assigned.groupBy(*CLUSTER_KEYS, "source_detail", "complaint_date").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(severity_number()).alias("severity"),
+        tally(F.col("source_type") == "reddit").alias("reddit"),
+        tally(F.col("source_type") == "cfpb").alias("cfpb"),
     )
-    by_name = Window.partitionBy(*CLUSTER_KEYS).orderBy("source_detail")
-    sources = (
-        assigned.filter(F.col("source_detail").isNotNull())
-        .select(*CLUSTER_KEYS, "source_detail")
-        .distinct()
-        .withColumn("place", F.row_number().over(by_name))
-        .filter(F.col("place") <= COMMON_SOURCES)
+    detail = F.col("source_detail")
+    by_name = Window.partitionBy(*CLUSTER_KEYS).orderBy(detail.asc_nulls_last())
+    named = F.when(F.col("_place") <= COMMON_SOURCES, detail)
+    return described(
+        counted.withColumn("_place", F.dense_rank().over(by_name))
         .groupBy(*CLUSTER_KEYS)
-        .agg(F.sort_array(F.collect_list("source_detail")).alias("common_sources"))
-    )
-    empty = F.array().cast("array<string>")
-    return stats.join(sources, list(CLUSTER_KEYS), "left").withColumn(
-        "common_sources", F.coalesce("common_sources", empty)
+        .agg(
+            F.sum("n").alias("complaint_count"),
+            F.count_distinct("complaint_date").alias("days_with_complaints"),
+            (F.sum("severity") / F.sum("n")).alias("avg_severity_score"),
+            F.sum("reddit").alias("reddit_complaints"),
+            F.sum("cfpb").alias("cfpb_complaints"),
+            F.min("complaint_date").alias("first_complaint_date"),
+            F.max("complaint_date").alias("last_complaint_date"),
+            F.sort_array(F.collect_set(named)).alias("common_sources"),
+        )
     )
 
 
@@ -113,7 +117,7 @@ def complaint_clusters(assigned: DataFrame, summary: DataFrame, literal_join: bo
         F.col("common_sources").alias("cluster_common_sources"),
     )
     if literal_join:
-        figures = figures.drop("cluster_description", "cluster_priority")
+        figures = figures.drop("cluster_priority")
         return assigned.join(F.broadcast(figures), "cluster_name")
     return assigned.join(F.broadcast(figures), list(CLUSTER_KEYS))
 
@@ -156,7 +160,8 @@ def daily_cluster_stats(rows: DataFrame) -> DataFrame:
         .select(*keys, _without_place("ranked", sample).alias("sample_complaints"))
     )
     same = [F.col(f"s.{k}").eqNullSafe(F.col(f"p.{k}")) for k in keys]
-    return stats.alias("s").join(samples.alias("p"), same, "left").select("s.*", "p.sample_complaints")
+    both = stats.alias("s").join(samples.alias("p"), same, "left")
+    return described(both.select("s.*", "p.sample_complaints"))
 
 
 def _without_place(column: str, fields: tuple[str, ...]) -> Column:
@@ -257,7 +262,7 @@ def cluster_trend_summary(period: DataFrame, split: TrendSplit = TrendSplit()) -
     strict = F.date_sub("_last", split.days - 1)
     return (
         period.withColumn("_last", last)
-        .groupBy(*CLUSTER_KEYS)
+        .groupBy(*CLUSTER_KEYS, "cluster_description")
         .agg(
             F.count_distinct("complaint_date").alias("days_active"),
             F.sum(count).alias("total_complaints"),
@@ -275,7 +280,7 @@ def cluster_trend_summary(period: DataFrame, split: TrendSplit = TrendSplit()) -
         )
         .withColumn("trend_direction", trend_direction(split))
         .select(
-            *CLUSTER_KEYS, "days_active", "total_complaints", "avg_daily_complaints", "avg_severity",
+            *CLUSTER_KEYS, "cluster_description", "days_active", "total_complaints", "avg_daily_complaints", "avg_severity",
             "peak_daily_complaints", "first_seen", "last_seen", "trend_direction", "recent_daily_samples",
         )
     )

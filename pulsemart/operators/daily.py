@@ -35,8 +35,8 @@ def twitter_daily(
     posts: DataFrame, lexicon: ToneLexicon = TWITTER_TONE, cfg: DailySettings = DEFAULT_DAILY
 ) -> DataFrame:
     """Posts, authors, engagement, tone and toxicity per brand, day and country."""
-    lowered = F.lower("text")
-    scored = posts.select(
+    lowered = F.col("_low")
+    scored = posts.withColumn("_low", F.lower("text")).select(
         "brand_id", "date",
         F.coalesce("geo_country", F.lit("Unknown")).alias("country"),
         "author_id", "total_engagements", "text_length", "possibly_sensitive",
@@ -72,8 +72,8 @@ def reddit_daily(
     messages: DataFrame, lexicon: ToneLexicon = REDDIT_TONE, cfg: DailySettings = DEFAULT_DAILY
 ) -> DataFrame:
     """Messages, authors, votes, tone and toxicity per brand, day and country."""
-    lowered = F.lower("combined_text")
-    scored = messages.select(
+    lowered = F.col("_low")
+    scored = messages.withColumn("_low", F.lower("combined_text")).select(
         "brand_id", "date",
         F.coalesce("geo_country", F.lit("Unknown")).alias("country"),
         "author", "subreddit", "type", "score", "upvote_ratio", "text_length",
@@ -200,14 +200,14 @@ def heightened_severity(score: Column, disputed: Column, timely: Column) -> Colu
 
 def complaints_daily(rows: DataFrame, cfg: DailySettings = DEFAULT_DAILY) -> DataFrame:
     """Complaint volume, answers, severity, products and places per day."""
-    base = rows.select(
+    base = rows.withColumn("_low", F.lower("product")).select(
         "brand_id", "date", F.col("geo_country").alias("country"),
         "complaint_id", "state", "zip_code", "timely_response", "consumer_disputed",
         "has_narrative", "narrative_length", "company_public_response", "severity_score",
         heightened_severity(
             F.col("severity_score"), F.col("consumer_disputed"), F.col("timely_response")
         ).alias("enhanced"),
-        label_by_terms(F.lower("product"), PRODUCT_TERMS, PRODUCT_DEFAULT).alias("category"),
+        label_by_terms(F.col("_low"), PRODUCT_TERMS, PRODUCT_DEFAULT).alias("category"),
     )
     rolled = base.groupBy(*KEYS).agg(
         F.count(F.lit(1)).alias("complaints"),

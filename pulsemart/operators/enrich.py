@@ -27,14 +27,15 @@ def chosen_text(title: Column, body: Column, text: Column) -> Column:
     return F.when(title != "", titled).otherwise(F.coalesce(text, body, F.lit("")))
 
 
-def lexicon_scores(text: Column, cfg: EnrichSettings = DEFAULT_ENRICH) -> dict[str, Column]:
-    """Score columns of a text; texts that are too short get zeros.
+def prepared(df: DataFrame, text: Column, cfg: EnrichSettings = DEFAULT_ENRICH) -> DataFrame:
+    """Add the cleaned and the lower-cased text as working columns."""
+    return df.withColumn("_clean", scoring_text(text, cfg.max_chars)).withColumn("_low", F.lower("_clean"))
 
-    Expressions refer to the cleaned text several times; project them from a
-    column that already holds ``scoring_text`` (see :func:`enrich`).
-    """
-    short = F.length(text) < cfg.min_chars
-    lowered = F.lower(text)
+
+def lexicon_scores(cfg: EnrichSettings = DEFAULT_ENRICH) -> dict[str, Column]:
+    """Score columns over :func:`prepared` rows; texts that are too short get zeros."""
+    lowered = F.col("_low")
+    short = F.length("_clean") < cfg.min_chars
     good, bad = count_present(lowered, cfg.positive), count_present(lowered, cfg.negative)
     tone = (
         F.when(good > bad, F.least(F.lit(cfg.limit), good * cfg.sentiment_step))
@@ -64,17 +65,16 @@ def enrich(
 ) -> DataFrame:
     """Add scores and audit columns by the built-in scorer."""
     source = F.col("text") if text is None else text
-    cleaned = scoring_text(F.coalesce(source, F.lit("")), cfg.max_chars)
     return (
-        df.withColumn("_clean", cleaned)
+        prepared(df, F.coalesce(source, F.lit("")), cfg)
         .withColumns(
             {
-                **lexicon_scores(F.col("_clean"), cfg),
+                **lexicon_scores(cfg),
                 **_audit(cfg.scorer_name, cfg.scorer_version, processed_at),
                 "nlp_error": F.lit(None).cast("string"),
             }
         )
-        .drop("_clean")
+        .drop("_clean", "_low")
     )
 
 
@@ -174,13 +174,13 @@ def re_enrich(
     """
     stored = read_landing(spark, path, schema, days)
     source = F.nullif(F.col("text"), F.lit(""))
-    scores = lexicon_scores(F.col("_clean"), cfg)
+    scores = lexicon_scores(cfg)
     scores |= _audit(cfg.scorer_name, cfg.scorer_version, processed_at)
     before = {name: F.col(name) if name in stored.columns else F.lit(None) for name in scores}
     ready = stage(
-        stored.withColumn("_clean", scoring_text(source, cfg.max_chars))
+        prepared(stored, source, cfg)
         .withColumns({n: F.when(source.isNotNull(), s).otherwise(before[n]) for n, s in scores.items()})
-        .drop("_clean"),
+        .drop("_clean", "_low"),
         "re-enrich",
     )
     (

@@ -65,15 +65,17 @@ def text_features(complaints: DataFrame, cfg: FeatureSettings = DEFAULT_FEATURES
             "complaint_id", "source_type", "brand_id", "complaint_text", "complaint_date",
             "severity_level", "topics", "source_detail",
         )
+        .withColumn("_low", F.lower(text))
         .withColumns(
             {
-                "cleaned_text": alnum_only(text),
-                **feature_flags(F.lower(text), cfg),
+                "cleaned_text": alnum_only(F.col("_low")),
+                **feature_flags(F.col("_low"), cfg),
                 "original_length": F.length(text),
                 "word_count": space_pieces(text),
                 "sentence_count": sentence_marks(text),
             }
         )
+        .drop("_low")
         .withColumns(
             {
                 "feature_vector": F.concat_ws(",", *[F.col(f).cast("string") for f in flags]),

@@ -179,14 +179,13 @@ def _locate(text: str, terms: list[str], cfg: MentionSettings) -> list[dict]:
     return hits
 
 
-def mentions_any(text: Column, terms: Sequence[str]) -> Column:
-    """Simple filter: any term occurs, ignoring case."""
-    return contains_any(F.lower(text), [t.lower() for t in terms])
+def mentions_any(lowered: Column, terms: Sequence[str]) -> Column:
+    """Simple filter on lower-cased text: any term occurs, ignoring case."""
+    return contains_any(lowered, [t.lower() for t in terms])
 
 
-def keyword_matches(text: Column, keywords: Sequence[str]) -> Column:
-    """Keywords that occur in the text, in list order."""
-    lowered = F.lower(text)
+def keyword_matches(lowered: Column, keywords: Sequence[str]) -> Column:
+    """Keywords that occur in the lower-cased text, in list order."""
     listed = F.array(*[F.lit(k) for k in keywords])
     return F.filter(listed, lambda k: lowered.contains(F.lower(k)))
 
@@ -198,9 +197,9 @@ COVERAGE_DEFAULT = "needs improvement"
 
 def keyword_coverage(df: DataFrame, keywords: Sequence[str], text: str = "text") -> DataFrame:
     """Share of texts that match at least one keyword, with its band."""
-    counted = df.agg(
+    counted = df.select(F.lower(text).alias("_low")).agg(
         F.count(F.lit(1)).alias("samples"),
-        F.count_if(mentions_any(F.col(text), keywords)).alias("matched"),
+        F.count_if(mentions_any(F.col("_low"), keywords)).alias("matched"),
     ).withColumn("coverage_pct", F.try_divide(F.col("matched") * 100.0, F.col("samples")))
     band = F.lit(COVERAGE_DEFAULT)
     for cut, name in reversed(COVERAGE_BANDS):
@@ -211,7 +210,8 @@ def keyword_coverage(df: DataFrame, keywords: Sequence[str], text: str = "text")
 def keyword_hits(df: DataFrame, keywords: Sequence[str], text: str = "text") -> DataFrame:
     """Texts per keyword."""
     return (
-        df.select(F.explode(F.array_distinct(keyword_matches(F.col(text), keywords))).alias("keyword"))
+        df.select(F.lower(text).alias("_low"))
+        .select(F.explode(F.array_distinct(keyword_matches(F.col("_low"), keywords))).alias("keyword"))
         .groupBy("keyword")
         .agg(F.count(F.lit(1)).alias("texts"))
     )
@@ -221,10 +221,12 @@ def suggest_keywords(
     df: DataFrame, keywords: Sequence[str], candidates: Sequence[str], seed: str, text: str = "text"
 ) -> DataFrame:
     """Candidate terms found in texts that hold the seed but match no keyword."""
-    body = F.col(text)
-    missed = df.filter(F.lower(body).contains(seed.lower()) & ~mentions_any(body, keywords))
+    low = F.col("_low")
+    missed = df.select(F.lower(text).alias("_low")).filter(
+        low.contains(seed.lower()) & ~mentions_any(low, keywords)
+    )
     return (
-        missed.select(F.explode(keyword_matches(body, candidates)).alias("suggestion"))
+        missed.select(F.explode(keyword_matches(low, candidates)).alias("suggestion"))
         .groupBy("suggestion")
         .agg(F.count(F.lit(1)).alias("texts"))
         .orderBy(F.col("texts").desc(), "suggestion")

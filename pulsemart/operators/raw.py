@@ -82,7 +82,8 @@ def complaints_export(
     """Regulator export as the clustering chain reads it: only real narratives."""
     text = F.col("Consumer_complaint_narrative")
     brand = F.lit(brand_id) if isinstance(brand_id, str) else brand_id
-    return feed.filter(text.isNotNull() & (F.length(text) > min_chars)).select(
+    kept = feed.filter(text.isNotNull() & (F.length(text) > min_chars)).withColumn("_low", F.lower(text))
+    return kept.select(
         F.col("Complaint_ID").alias("complaint_id"),
         brand.alias("brand_id"),
         text.alias("complaint_text"),
@@ -101,7 +102,7 @@ def complaints_export(
         short_us_date(F.col("Date_sent_to_company")).alias("date_sent_to_company"),
         F.length(text).alias("text_length"),
         (F.length(text) > min_chars).alias("has_meaningful_text"),
-        label_by_terms(F.lower(text), severity_terms, SEVERITY_DEFAULT).alias("severity_level"),
+        label_by_terms(F.col("_low"), severity_terms, SEVERITY_DEFAULT).alias("severity_level"),
         F.lit(True).alias("is_complaint"),
     )
 
@@ -116,6 +117,7 @@ def reddit_events(
     kept = feed.filter(F.col("text").isNotNull() & (F.length("text") > min_chars))
     if brand_id is not None:
         kept = kept.filter(F.col("brand_id") == brand_id)
+    kept = kept.withColumn("_low", F.lower("text"))
     meta = F.col("metadata")
     negative = F.coalesce(F.col("sentiment") < 0, F.lit(False))
     return kept.select(
@@ -126,5 +128,5 @@ def reddit_events(
         *[json_whole(meta, name).alias(name) for name in ("score", "num_comments")],
         F.length("text").alias("text_length"),
         (F.length("text") > min_chars).alias("has_meaningful_text"),
-        (contains_any(F.lower("text"), complaint_terms) | negative).alias("is_complaint"),
+        (contains_any(F.col("_low"), complaint_terms) | negative).alias("is_complaint"),
     )

@@ -17,8 +17,14 @@ def assigned_complaints(
     return clusters.assign_clusters(features.text_features(unified, cfg))
 
 
-def complaint_clusters(assigned: DataFrame, literal_join: bool = False) -> DataFrame:
-    return clusters.complaint_clusters(assigned, clusters.cluster_summary(assigned), literal_join)
+def complaint_clusters(assigned: DataFrame, literal_join: bool = False, staged: bool = True) -> DataFrame:
+    """Complaints with the figures of their cluster.
+
+    Rows and figures both need the classified complaints, so they are staged
+    and every text is classified once.
+    """
+    rows = stage(assigned, "assigned") if staged else assigned
+    return clusters.complaint_clusters(rows, clusters.cluster_summary(rows), literal_join)
 
 
 def daily_stats(assigned: DataFrame, staged: bool = True) -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pulsemart.settings import FeatureSettings, ToneLexicon
+from pulsemart.sources.layout import spread
 
 DAY0 = "2024-01-01"
 SPAN = 35
@@ -44,8 +45,16 @@ MENTION_TERMS = {
 }
 
 
+# Tables whose rows are worth spreading, with the column to spread by.
+SPREAD_BY = {
+    "documents": "doc_id", "conversations": "text", "lineitem": "l_orderkey", "orders": "o_orderkey",
+    "events": "event_id", "embeddings": "vec_id",
+}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    rows = spark.read.parquet(f"{folder}/{name}.parquet")
+    return spread(rows, SPREAD_BY[name]) if name in SPREAD_BY else rows
 
 
 def brand_of(number: Column) -> Column:

@@ -22,8 +22,8 @@ def country(x: str) -> str:
     return f"(case when ({x}) % 4 <= 1 then 'US' when ({x}) % 4 = 2 then 'CA' end)"
 
 
-def r6(x: str) -> str:
-    return f"(round(({x})::double, 6) + 0.0)"
+def rnd(x: str, digits: int = 9) -> str:
+    return f"(round(({x})::double, {digits}) + 0.0)"
 
 
 def words(col: str, listed) -> str:

@@ -10,7 +10,7 @@ from pulsemart.settings import (
 from pulsemart.settings import BRAND_ROWS, URL_PATTERN
 from pulsemart.sources import samples as S
 from verification.feeds_sql import (
-    CE, CF, EV, RD, RE, SE, TR, TW, brand, contains, country, day, r6, with_, words,
+    CE, CF, EV, RD, RE, SE, TR, TW, brand, contains, country, day, rnd, with_, words,
 )
 
 SQL: dict[str, str] = {}
@@ -21,7 +21,7 @@ def listed(items) -> str:
 
 
 def rounded(*names: str) -> str:
-    return ", ".join(f"{r6(n)} {n}" for n in names)
+    return ", ".join(f"{rnd(n)} {n}" for n in names)
 
 
 def hash16(x: str) -> str:
@@ -171,8 +171,8 @@ select brand_id, date, country, region, rsv_max, rsv_min, data_points, unique_ke
   {rounded('rsv_avg', 'rsv_stddev', 'brand_rsv_avg', 'category_rsv_avg', 'brand_category_diff', 'rsv_trend_7d',
 'rsv_trend_28d', 'visibility_index')}, min_sample_size_met, anomaly_flag, data_freshness_ok from tr_day"""
 SQL["trends_daily_calendar"] = with_(TRD) + f"""
-select s.brand_id, s.date, s.country, s.region, {r6('s.rsv_avg')} rsv_avg, {r6(pct('s.rsv_avg', 'a.rsv_avg'))} rsv_trend_7d,
-  {r6(pct('s.rsv_avg', 'b.rsv_avg'))} rsv_trend_28d
+select s.brand_id, s.date, s.country, s.region, {rnd('s.rsv_avg')} rsv_avg, {rnd(pct('s.rsv_avg', 'a.rsv_avg'))} rsv_trend_7d,
+  {rnd(pct('s.rsv_avg', 'b.rsv_avg'))} rsv_trend_28d
 from tr_sum s
 left join tr_sum a on a.brand_id = s.brand_id and a.country = s.country and a.region = s.region and a.date = s.date - 7
 left join tr_sum b on b.brand_id = s.brand_id and b.country = s.country and b.region = s.region and b.date = s.date - 28"""
@@ -291,7 +291,7 @@ fit as (
     regr_intercept(composite_score, date_diff('day', DATE '1970-01-01', date)::double) b, max(date) last_date
   from scored group by all)
 select brand_id, country, last_date + k.k::int date, k.k::int days_ahead,
-  {r6("least(100, greatest(0, b + m * date_diff('day', DATE '1970-01-01', last_date + k.k::int)))")} predicted
+  {rnd("least(100, greatest(0, b + m * date_diff('day', DATE '1970-01-01', last_date + k.k::int)))", 5)} predicted
 from fit, (select unnest(range(1, 15)) k) k where m is not null and not isnan(m)"""
 
 # ------------------------------------------------------------------ reviews
@@ -329,7 +329,7 @@ four as (
     0.6::double * 50 + 0.4::double * coalesce(employee_review_index, 50) reviews
   from metrics m left join rv_ix using (brand_id, date, country))
 select brand_id, date, country, {rounded('social', 'search', 'complaints', 'reviews')},
-  {r6('least(100, greatest(0, 0.3::double * social + 0.2::double * search + 0.25::double * complaints + 0.25::double * reviews))')} composite_score
+  {rnd('least(100, greatest(0, 0.3::double * social + 0.2::double * search + 0.25::double * complaints + 0.25::double * reviews))')} composite_score
 from four"""
 SQL["approval_scaling"] = f"""
 with a as (select l_discount * case when l_linenumber % 2 = 0 then 1000 else 1 end v from lineitem)
@@ -390,7 +390,7 @@ select complaint_id, {hash16(r"trim(regexp_replace(regexp_replace(low, '[^a-zA-Z
   len(regexp_extract_all(complaint_text, '[.!?]'))::int sentence_count, {_VECTOR} feature_vector,
   ({' + '.join(n for n, _ in FLAGS)})::int feature_score from feat"""
 _FIGURES = f"""s.complaint_count cluster_total_complaints, s.days_with_complaints cluster_days_active,
-  {r6('s.avg_severity_score')} cluster_avg_severity, s.reddit_complaints cluster_reddit_count,
+  {rnd('s.avg_severity_score')} cluster_avg_severity, s.reddit_complaints cluster_reddit_count,
   s.cfpb_complaints cluster_cfpb_count, s.first_complaint_date cluster_first_date,
   s.last_complaint_date cluster_last_date, s.common_sources cluster_common_sources"""
 SQL["complaint_clusters"] = with_(CLU) + f"""
@@ -437,7 +437,7 @@ dd as (
       order by daily_complaint_count desc, avg_severity_score desc, cluster_name, cluster_priority)[1:10], '|') daily_cluster_ranking
   from dstat group by complaint_date)"""
 _DS = f"""d.complaint_date, d.cluster_name, d.cluster_description, d.cluster_priority, d.daily_complaint_count,
-  d.unique_complaints, {r6('d.avg_severity_score')} avg_severity_score, d.reddit_count, d.cfpb_count,
+  d.unique_complaints, {rnd('d.avg_severity_score')} avg_severity_score, d.reddit_count, d.cfpb_count,
   {', '.join(f'd.{m}_mentions' for m in _MENTION)}, d.sample_complaints"""
 SQL["daily_cluster_stats"] = with_(DAYS) + f"select {_DS} from dstat d"
 SQL["daily_complaint_trends"] = with_(DAYS) + f"""
@@ -480,7 +480,7 @@ select 'cluster_summary' report_type, TIMESTAMP '{S.AS_OF}' generated_at, cluste
 from tsum
 union all
 select 'daily_summary', TIMESTAMP '{S.AS_OF}', null, null, null, null, null, null, null, null, null, null, null, null,
-  complaint_date, total, active, {r6('severity')}, top from dsum"""
+  complaint_date, total, active, {rnd('severity')}, top from dsum"""
 
 # ---------------------------------------------------------- serving queries
 OVER = CLU + """,
@@ -497,7 +497,7 @@ select * exclude (avg_severity_score), {rounded('avg_severity_score')},
 SQL["kpi_tiles"] = with_(OVER) + f"""
 select sum(total_complaints)::bigint total_complaints,
   coalesce(sum(total_complaints) filter (where cluster_priority = 1), 0)::bigint critical_complaints,
-  count(*) filter (where cluster_priority = 1) critical_clusters, {r6('avg(avg_severity_score)')} avg_severity,
+  count(*) filter (where cluster_priority = 1) critical_clusters, {rnd('avg(avg_severity_score)')} avg_severity,
   max(days_active) active_days from over_"""
 SQL["overview_totals"] = with_(OVER) + """
 select count(*) total_clusters, count(*) filter (where cluster_priority = 1) critical_issues,
@@ -515,7 +515,7 @@ SQL["cluster_distribution"] = with_(DAYS) + _DIST
 SQL["top_categories"] = with_(DAYS) + _DIST + " order by value desc, cluster_name limit 5"
 _SAMPLES = f"""
 select r.complaint_id, r.source_type, r.severity_level, r.source_detail, r.complaint_date, r.cluster_name,
-  r.cluster_description, {r6('s.avg_severity_score')} avg_severity_score
+  r.cluster_description, {rnd('s.avg_severity_score')} avg_severity_score
 from ranked r join stat s using (complaint_date, cluster_name, cluster_priority) where place <= 5"""
 _ORDER = " order by r.complaint_date desc, case r.severity_level when 'high' then 3 when 'medium' then 2 else 1 end desc, r.cluster_name, r.complaint_id"
 SQL["newest_samples"] = with_(DAYS) + _SAMPLES + _ORDER + " limit 15"
@@ -563,21 +563,21 @@ best as (
   select * from (select *, row_number() over (partition by doc_id order by round(score, 12) desc, ord) place from conf) where place = 1)"""
 SQL["mention_detection"] = with_(HITS) + f"""
 select d.doc_id, b.brand_id mention_brand, coalesce(array_to_string(b.terms, ','), '') matched_terms,
-  {r6('coalesce(b.score, 0)')} mention_score, coalesce(b.found, 0)::int match_count
+  {rnd('coalesce(b.score, 0)')} mention_score, coalesce(b.found, 0)::int match_count
 from documents d left join best b using (doc_id)"""
 SQL["mention_acceptance"] = with_(HITS) + f"""
-select doc_id, {r6('score')} confidence_score, found::int match_count from best where brand_id = 'jpm' and score > 0.3"""
+select doc_id, {rnd('score')} confidence_score, found::int match_count from best where brand_id = 'jpm' and score > 0.3"""
 SQL["mention_positions"] = with_(HITS) + f"""
 select k.doc_id, k.brand_id mention_brand, k.term, count(*) hits, count(*) filter (where edged) edged,
   min(position)::int first_position, max(position)::int last_position, sum(position)::bigint position_sum,
   sum(least(length(text), position + n + 20) - greatest(0, position - 20))::bigint context_chars,
-  {r6('avg(case when edged then 1.0::double else 0.7::double end)')} confidence
+  {rnd('avg(case when edged then 1.0::double else 0.7::double end)')} confidence
 from kept k join best b on b.doc_id = k.doc_id and b.brand_id = k.brand_id group by k.doc_id, k.brand_id, k.term"""
 SQL["simple_mentions"] = "select doc_id, lang from documents where contains(lower(text), 'anon') or contains(lower(text), 'eau')"
 _COVER = contains("lower(text)", [w.lower() for w in COVERAGE_WORDS])
 SQL["keyword_coverage"] = f"""
 select count(*) samples, count(*) filter (where {_COVER}) matched,
-  {r6(f'count(*) filter (where {_COVER}) * 100.0 / count(*)')} coverage_pct,
+  {rnd(f'count(*) filter (where {_COVER}) * 100.0 / count(*)')} coverage_pct,
   case when count(*) filter (where {_COVER}) * 100.0 / count(*) >= 90 then 'excellent'
     when count(*) filter (where {_COVER}) * 100.0 / count(*) >= 75 then 'good' else 'needs improvement' end band
 from documents"""
@@ -735,12 +735,12 @@ SQL["enriched_messages"] = with_(enrich_ctes(
       when conv_id % 4 <> 0 then text else '' end body from conversations""")) + f"""
 select id, {rounded('sentiment', 'severity')}, topics, {rounded('nlp_confidence')} from enriched"""
 SQL["plugged_scorer"] = with_(enrich_ctes("select conv_id, turn, text body from conversations")) + f"""
-select conv_id, turn, {r6('(length(c) % 11 - 5) / 5.0')} sentiment, {r6('(length(c) % 7) / 7.0')} severity,
+select conv_id, turn, {rnd('(length(c) % 11 - 5) / 5.0')} sentiment, {rnd('(length(c) % 7) / 7.0')} severity,
   case when length(c) > 500 then 'long' else '' end topics, 'en' language, 0.9::double nlp_confidence,
   null::varchar nlp_error, 'length' nlp_model, 'v2' nlp_version, TIMESTAMP '{S.RUN_TS}' nlp_processed_at from clean"""
 SQL["parsed_responses"] = f"""
 select event_id, case when ok then least(1, greatest(-1, value)) else 0 end::double sentiment,
-  {r6('case when ok then least(1, greatest(0, 1 - value / 100)) else 0 end')} severity,
+  {rnd('case when ok then least(1, greatest(0, 1 - value / 100)) else 0 end')} severity,
   case when ok then 'a,b,c' else '' end topics, 'en' language,
   case when not ok then 0.0 when event_type = 'click' then 0.5 else 0.25 end::double confidence
 from (select *, event_type <> 'view' ok from events)"""
@@ -809,9 +809,9 @@ ev2 as (select * exclude (score), score * 2 score from bm2)
 select *, 'fr' asked from (select {_EVCOLS} from ev1 ev {_EVID})
 union all select *, 'eau thou' asked from (select {_EVCOLS} from ev2 ev {_EVID})"""
 SQL["search_facets"] = with_(SE) + f"""
-select 'source' facet, source bucket, count(*) events, {r6('avg(sentiment)')} avg_sentiment from se group by source
-union all select 'brand_id', brand_id, count(*), {r6('avg(sentiment)')} from se group by brand_id
-union all select 'all', null, count(*), {r6('avg(sentiment)')} from se"""
+select 'source' facet, source bucket, count(*) events, {rnd('avg(sentiment)')} avg_sentiment from se group by source
+union all select 'brand_id', brand_id, count(*), {rnd('avg(sentiment)')} from se group by brand_id
+union all select 'all', null, count(*), {rnd('avg(sentiment)')} from se"""
 VEC = """qv as (
   select list(x order by i) v from (
     select i, avg(x) x from (select unnest(embedding)::double x, generate_subscripts(embedding, 1) i from embeddings where label = 3)
@@ -828,7 +828,7 @@ near as (
 pair as (
   select bm.event_id, bm.score text_score, near.vector_score, bm.score + coalesce(near.vector_score, 0) total
   from bm left join near using (event_id) where ts_event >= TIMESTAMP '2024-01-06')
-select event_id, {rounded('text_score', 'vector_score')}, {r6('total')} score from pair where total > 0
+select event_id, {rounded('text_score', 'vector_score')}, {rnd('total')} score from pair where total > 0
 order by total desc, event_id limit 20"""
 
 
@@ -849,7 +849,7 @@ SQL["top_states"] = with_(CE) + """
 select state, count(*) complaints from ce_raw group by state order by complaints desc, state limit 10"""
 SQL["complaint_mix"] = with_(UNI) + " union all ".join(
     f"""(select '{c}' dimension, {c} as value, count(*) complaints,
-  {r6('count(*) / sum(count(*)) over () * 100')} share_pct from uni group by {c})""" for c in ("source_type", "severity_level")
+  {rnd('count(*) / sum(count(*)) over () * 100')} share_pct from uni group by {c})""" for c in ("source_type", "severity_level")
 )
 SQL["peak_days"] = with_(DAYS) + """,
 by_c as (select complaint_date, cluster_name, sum(daily_complaint_count)::bigint n from stat group by all)
@@ -873,25 +873,25 @@ SQL["topic_weeks"] = with_(RE) + f""",
 t as (select unnest(topics) topic, date_trunc('week', event_date)::date week_start, severity from re_raw),
 w as (select topic, week_start, count(*) volume, avg(severity) avg_severity from t group by all)
 select topic, week_start, volume, {rounded('avg_severity')},
-  {r6('(volume - lag(volume) over (partition by topic order by week_start)) / lag(volume) over (partition by topic order by week_start) * 100')} wow_change_pct
+  {rnd('(volume - lag(volume) over (partition by topic order by week_start)) / lag(volume) over (partition by topic order by week_start) * 100')} wow_change_pct
 from w"""
 SQL["topic_shares"] = with_(RE) + f""",
 t as (select brand_id, event_date as date, unnest(topics) topic from re_raw),
 n as (select brand_id, date, topic, count(*) mentions from t group by all)
-select *, {r6('mentions / sum(mentions) over (partition by brand_id, date)')} topic_share from n"""
+select *, {rnd('mentions / sum(mentions) over (partition by brand_id, date)')} topic_share from n"""
 SQL["share_of_voice"] = with_(TR) + f"""
 select brand_id, date, sum(value) filter (where keyword_type in ('brand_category', 'category_brand'))::bigint brand_category_searches,
   sum(value) filter (where keyword_type = 'category')::bigint category_searches,
-  {r6("sum(value) filter (where keyword_type in ('brand_category', 'category_brand')) / nullif(sum(value) filter (where keyword_type = 'category'), 0) * 100")} share_of_voice
+  {rnd("sum(value) filter (where keyword_type in ('brand_category', 'category_brand')) / nullif(sum(value) filter (where keyword_type = 'category'), 0) * 100")} share_of_voice
 from tr_raw group by brand_id, date"""
 SQL["intent_tiers"] = with_(TR) + f"""
 select brand_id, case keyword_type when 'brand' then 'low' when 'category' then 'medium' else 'high' end intent,
-  sum(value)::bigint searches, {r6('avg(value)')} avg_interest, count(*) points from tr_raw group by 1, 2"""
+  sum(value)::bigint searches, {rnd('avg(value)')} avg_interest, count(*) points from tr_raw group by 1, 2"""
 SQL["volume_alerts"] = with_(CF) + f""",
 d as (select brand_id, date, count(*) complaints, avg(severity_score) severity from cf_raw group by all),
 j as (select *, {pct('complaints', 'lag(complaints) over (partition by brand_id order by date)')} jump from d),
 a as (select *, coalesce(jump >= 50, false) volume_alert, severity >= 0.7::double severity_alert from j)
-select brand_id, date, complaints, {rounded('severity')}, {r6('jump')} volume_change_pct, volume_alert, severity_alert
+select brand_id, date, complaints, {rounded('severity')}, {rnd('jump')} volume_change_pct, volume_alert, severity_alert
 from a where volume_alert or severity_alert"""
 
 
@@ -955,20 +955,20 @@ SQL["landing_roundtrip"] = with_(LAND) + f"""
 select event_id, ts_event, brand_id, text, {rounded('value')}, ts_event::date dt from land
 where ts_event::date between DATE '2024-01-03' and DATE '2024-01-20'"""
 SQL["brand_day_roundtrip"] = with_(LAND) + f"""
-select ts_event::date as date, brand_id, count(*) n, {r6('sum(value)')} total from land group by 1, 2"""
+select ts_event::date as date, brand_id, count(*) n, {rnd('sum(value)')} total from land group by 1, 2"""
 SQL["mart_roundtrip"] = with_(CFD) + f"""
 select brand_id, date, country, complaints, {rounded('complaints_index')} from cf_day where date >= DATE '2024-01-20'"""
 SQL["upserted_table"] = with_(LATEST) + f"""
 select event_id, ts_event, nlp_processed_at, text, {rounded('value')} from latest"""
 SQL["re_enriched_days"] = with_(RE, enrich_ctes(
     "select event_id, event_date, text body, sentiment s0, severity v0 from re")) + f"""
-select event_id, {r6("case when event_date between DATE '2024-01-10' and DATE '2024-01-12' then sentiment else s0 end")} sentiment,
-  {r6("case when event_date between DATE '2024-01-10' and DATE '2024-01-12' then severity else v0 end")} severity from enriched"""
+select event_id, {rnd("case when event_date between DATE '2024-01-10' and DATE '2024-01-12' then sentiment else s0 end")} sentiment,
+  {rnd("case when event_date between DATE '2024-01-10' and DATE '2024-01-12' then severity else v0 end")} severity from enriched"""
 SQL["stream_deduplicated"] = with_(LAND) + f"select event_id, ts_event, brand_id, text, {rounded('value')} from land"
 SQL["stream_upserted"] = with_(LAND) + f"select event_id, ts_event, brand_id, {rounded('value')} from land"
 DAILY = LAND + """,
 d as (select ts_event::date as date, brand_id, count(*) volume, avg(value) mean_value from land group by 1, 2)"""
 SQL["stream_daily"] = with_(DAILY) + f"select date, brand_id, volume, {rounded('mean_value')} from d"
 SQL["stream_alerts"] = with_(DAILY) + f"""
-select d.date, d.brand_id, d.volume, p.volume previous_volume, {r6('(d.volume - p.volume) / p.volume * 100')} change_pct
+select d.date, d.brand_id, d.volume, p.volume previous_volume, {rnd('(d.volume - p.volume) / p.volume * 100')} change_pct
 from d join d p on p.brand_id = d.brand_id and p.date = d.date - 1 where (d.volume - p.volume) / p.volume * 100 >= 50"""
