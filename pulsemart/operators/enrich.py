@@ -101,35 +101,39 @@ def score_with(
     """Add scores by a plugged-in scorer, batch by batch.
 
     The scorer gets cleaned texts and returns the columns of ``SCORE_FIELDS``.
-    A batch that raises gets neutral scores and the message; the rest goes on.
+    Only the text column travels to Python.  A batch that raises gets neutral
+    scores and the message; the rest goes on.
     """
-    added = f"{SCORE_FIELDS}, nlp_error string"
-    base = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
     names = [f.split()[0] for f in SCORE_FIELDS.split(", ")]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            texts = batch.pop("_clean").fillna("")
+    @F.pandas_udf(f"{SCORE_FIELDS}, error string")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
             try:
-                scores = scorer(texts).reset_index(drop=True)[names]
-                scores["nlp_error"] = None
+                scores = scorer(texts).reset_index(drop=True)[names].assign(error=None)
             except Exception as problem:  # noqa: BLE001 - any scorer failure is recorded, not raised
                 scores = pd.DataFrame(
                     {
                         "sentiment": 0.0, "severity": 0.0, "topics": [[] for _ in texts],
-                        "language": cfg.language, "confidence": 0.0, "nlp_error": str(problem),
+                        "language": cfg.language, "confidence": 0.0, "error": str(problem),
                     }
                 )
-            yield pd.concat([batch.reset_index(drop=True), scores], axis=1)
+            yield scores
 
     cleaned = scoring_text(F.coalesce(F.col(text), F.lit("")), cfg.max_chars)
-    scored = df.withColumn("_clean", cleaned).mapInPandas(run, f"{base}, {added}")
-    failed = F.col("nlp_error").isNotNull()
-    return scored.withColumnRenamed("confidence", "nlp_confidence").withColumns(
-        {
-            **_audit(name, version, processed_at),
-            "nlp_model": F.when(failed, "none").otherwise(F.lit(name)),
-        }
+    scores = F.col("_scores")
+    return (
+        df.withColumn("_scores", run(cleaned))
+        .withColumns(
+            {
+                **{n: scores[n] for n in names if n != "confidence"},
+                "nlp_confidence": scores["confidence"],
+                **_audit(name, version, processed_at),
+                "nlp_model": F.when(scores["error"].isNotNull(), "none").otherwise(F.lit(name)),
+                "nlp_error": scores["error"],
+            }
+        )
+        .drop("_scores")
     )
 
 

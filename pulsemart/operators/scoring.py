@@ -112,7 +112,7 @@ def brand_daily_metrics(
         regional = trends.select(*KEYS, *[F.col(s).alias(d) for s, d in TRENDS_METRICS.items()])
         side_by_side = side_by_side.join(regional, list(KEYS), "left")
     named = side_by_side.withColumns({c: F.coalesce(c, F.lit(0)) for c in COUNTS}).join(
-        F.broadcast(brands.select("brand_id", "brand_name")), "brand_id", "left"
+        brands.select("brand_id", "brand_name"), "brand_id", "left"
     )
     return combine_social(named).select("brand_id", "brand_name", "date", "country", *PUBLISHED)
 

@@ -17,7 +17,11 @@ from pulsemart.settings import DEFAULT_BM25, Bm25
 
 
 def search_extract(events: DataFrame, min_chars: int = 10, limit: int | None = None) -> DataFrame:
-    """Events as they are indexed: texts of some length, no null scores, newest first."""
+    """Events as they are indexed: texts of some length, no null scores.
+
+    With a limit, the newest ones.  Without, the order of a whole table has no
+    use and is not worth a sort of all texts.
+    """
     topics = F.col("topics")
     if events.schema["topics"].dataType.typeName() == "string":
         topics = F.when(topics != "", F.split(topics, ","))
@@ -34,8 +38,8 @@ def search_extract(events: DataFrame, min_chars: int = 10, limit: int | None = N
         json_whole(meta, "score").alias("score"),
         json_whole(meta, "num_comments").alias("num_comments"),
     )
-    ordered = rows.orderBy(F.col("ts_event").desc_nulls_last(), "event_id")
-    return ordered.limit(limit) if limit else ordered
+    newest = rows.orderBy(F.col("ts_event").desc_nulls_last(), "event_id")
+    return newest.limit(limit) if limit else rows
 
 
 def search_table(events: DataFrame, text: str = "text", stop_words=None, hide_personal: bool = True) -> DataFrame:

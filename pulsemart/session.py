@@ -17,6 +17,8 @@ RECOMMENDED_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Plans are built from many small expressions; do not record a call site for each.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
+    # Aggregates with small map-like buffers stay hash-based for many groups per task.
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "8192",
     # Feeds are windowed on a subset of the join keys; let joins reuse that layout.
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pulsemart.settings import DateRange
+from pulsemart.sources.layout import by_partition
 
 _CORRUPT = "_corrupt_line"
 
@@ -43,18 +44,10 @@ def in_days(df: DataFrame, days: DateRange, column: str = "dt") -> DataFrame:
     return df
 
 
-def write_landing(df: DataFrame, path: str, ts: str = "ts_event", files_per_day: int = 1) -> None:
-    """Append compressed JSON lines under ``dt=<event day>``.
-
-    Rows are spread over ``files_per_day`` files of each day, so a day that
-    holds most rows is not written by one task.
-    """
-    spread = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_day))
+def write_landing(df: DataFrame, path: str, ts: str = "ts_event") -> None:
+    """Append compressed JSON lines under ``dt=<event day>``."""
     (
-        df.withColumn("dt", F.to_date(ts))
-        .withColumn("_spread", spread)
-        .repartition("dt", "_spread")
-        .drop("_spread")
+        by_partition(df.withColumn("dt", F.to_date(ts)), "dt")
         .write.mode("append")
         .partitionBy("dt")
         .option("compression", "gzip")
@@ -62,14 +55,10 @@ def write_landing(df: DataFrame, path: str, ts: str = "ts_event", files_per_day:
     )
 
 
-def write_brand_days(df: DataFrame, path: str, ts: str = "ts_event", files_per_day: int = 1) -> None:
+def write_brand_days(df: DataFrame, path: str, ts: str = "ts_event") -> None:
     """Older layout ``date=…/brand_id=…``: a rerun replaces the folders it touches."""
-    spread = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_day))
     (
-        df.withColumn("date", F.to_date(ts))
-        .withColumn("_spread", spread)
-        .repartition("date", "brand_id", "_spread")
-        .drop("_spread")
+        by_partition(df.withColumn("date", F.to_date(ts)), "date", "brand_id")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("date", "brand_id")

@@ -5,6 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
+def by_partition(df: DataFrame, *columns: str) -> DataFrame:
+    """Bring the rows of a table partition together before it is written.
+
+    A rebalance, unlike a repartition, splits a partition that holds far more
+    rows than the others over several tasks and merges small ones, so neither
+    one hot day nor many tiny files become a problem.
+    """
+    return df.hint("rebalance", *columns)
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Use every core on a table stored in very few row groups.
 

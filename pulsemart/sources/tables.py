@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pulsemart.operators.versions import latest_version
 from pulsemart.session import stage
+from pulsemart.sources.layout import by_partition
 
 
 def register_sources(spark: SparkSession, tables: Mapping[str, DataFrame | str]) -> None:
@@ -22,17 +23,13 @@ def write_mart(
     path: str,
     partition: str = "date",
     cluster: Sequence[str] = ("brand_id", "country"),
-    files_per_partition: int = 1,
 ) -> None:
     """Day-partitioned Parquet, sorted so that row-group statistics skip data.
 
     Only the partitions present in ``df`` are replaced.
     """
-    spread = F.pmod(F.xxhash64(*cluster), F.lit(files_per_partition))
     (
-        df.withColumn("_spread", spread)
-        .repartition(partition, "_spread")
-        .drop("_spread")
+        by_partition(df, partition)
         .sortWithinPartitions(partition, *cluster)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -69,24 +66,30 @@ def upsert(
     """
     incoming = latest_version(updates, keys, newest)
     if not _has_data(spark, path):
-        incoming.write.mode("append").partitionBy(partition).parquet(path)
+        by_partition(incoming, partition).write.mode("append").partitionBy(partition).parquet(path)
         return
     table = spark.read.parquet(path)
-    home = table.select(*keys, F.col(partition).alias("_home"))
+    # The staged batch has a known size: a small one is broadcast to the key
+    # scan, so the stored keys are shuffled only for a batch of their own order.
+    batch = stage(incoming, "upsert-in")
+    home = table.select(*keys, F.col(partition).alias("_home")).join(
+        batch.select(*keys), list(keys), "left_semi"
+    )
     placed = stage(
-        incoming.join(home, list(keys), "left")
+        batch.join(home, list(keys), "left")
         .withColumn(partition, F.coalesce("_home", partition))
         .drop("_home"),
-        "upsert-in",
+        "upsert-placed",
     )
-    touched = placed.select(partition).distinct()
-    affected = table.join(touched, partition, "left_semi")
+    # One value per table partition; as literals they prune the scan.
+    touched = [row[0] for row in placed.select(partition).distinct().collect()]
+    affected = table.filter(F.col(partition).isin(touched))
     merged = stage(
         latest_version(affected.unionByName(placed, allowMissingColumns=True), keys, newest),
         "upsert-out",
     )
     (
-        merged.repartition(partition)
+        by_partition(merged, partition)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)
@@ -100,7 +103,7 @@ def append_new(spark: SparkSession, path: str, incoming: DataFrame, keys: Sequen
     if _has_data(spark, path):
         known = spark.read.parquet(path).select(*keys)
         fresh = stage(incoming.join(known, list(keys), "left_anti"), "append")
-    fresh.write.mode("append").partitionBy(partition).parquet(path)
+    by_partition(fresh, partition).write.mode("append").partitionBy(partition).parquet(path)
 
 
 def _has_data(spark: SparkSession, path: str) -> bool:
