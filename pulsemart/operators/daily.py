@@ -116,13 +116,36 @@ def country_of_geo(geo: Column) -> Column:
     return F.when(geo.startswith("US-"), F.lit("US")).otherwise(geo)
 
 
+def _top_keywords(base: DataFrame, keys: tuple[str, ...], limit: int) -> DataFrame:
+    """The strongest keywords of each key, ranked before they are collected."""
+    best = Window.partitionBy(*keys).orderBy(F.col("value").desc(), "keyword")
+    return (
+        base.select(*keys, "keyword", "value")
+        .withColumn("place", F.row_number().over(best))
+        .filter(F.col("place") <= limit)
+        .groupBy(*keys)
+        .agg(F.array_sort(F.collect_list(F.struct("place", "keyword", "value"))).alias("top"))
+        .select(
+            *keys,
+            F.transform(
+                "top", lambda k: F.struct(k["keyword"].alias("keyword"), k["value"].alias("value"))
+            ).alias("top_keywords"),
+        )
+    )
+
+
 def trends_daily(
-    points: DataFrame, cfg: DailySettings = DEFAULT_DAILY, calendar_lag: bool = False
+    points: DataFrame,
+    cfg: DailySettings = DEFAULT_DAILY,
+    calendar_lag: bool = False,
+    top_keywords: bool = True,
 ) -> DataFrame:
     """Search interest per brand, day, country and region with changes and rank.
 
     Changes compare with the 7th and 28th earlier *row* of the series; with
-    ``calendar_lag`` they compare with the calendar day instead.
+    ``calendar_lag`` they compare with the calendar day instead.  The ranked
+    keywords need a second pass over the points; callers that do not read them
+    switch them off.
     """
     keys = (*KEYS, "region")
     base = points.select(
@@ -142,22 +165,10 @@ def trends_daily(
         F.count(F.lit(1)).alias("data_points"),
         F.count_distinct("keyword").alias("unique_keywords"),
     )
-    best = Window.partitionBy(*keys).orderBy(value.desc(), "keyword")
-    top = (
-        base.select(*keys, "keyword", "value")
-        .withColumn("place", F.row_number().over(best))
-        .filter(F.col("place") <= cfg.top_keywords)
-        .groupBy(*keys)
-        .agg(F.array_sort(F.collect_list(F.struct("place", "keyword", "value"))).alias("top"))
-        .select(
-            *keys,
-            F.transform(
-                "top", lambda k: F.struct(k["keyword"].alias("keyword"), k["value"].alias("value"))
-            ).alias("top_keywords"),
-        )
-    )
-    pairs = [F.col(f"r.{k}").eqNullSafe(F.col(f"t.{k}")) for k in keys]
-    joined = rolled.alias("r").join(top.alias("t"), pairs, "left").select("r.*", "t.top_keywords")
+    if top_keywords:
+        top = _top_keywords(base, keys, cfg.top_keywords)
+        same = [F.col(f"r.{k}").eqNullSafe(F.col(f"t.{k}")) for k in keys]
+        rolled = rolled.alias("r").join(top.alias("t"), same, "left").select("r.*", "t.top_keywords")
 
     series = Window.partitionBy("brand_id", "country", "region").orderBy("date")
     if calendar_lag:
@@ -167,7 +178,7 @@ def trends_daily(
     else:
         back = lambda n: F.lag("rsv_avg", n).over(series)
     now = F.col("rsv_avg")
-    moved = joined.withColumns({"_back7": back(7), "_back28": back(28)}).withColumns(
+    moved = rolled.withColumns({"_back7": back(7), "_back28": back(28)}).withColumns(
         {
             "rsv_trend_7d": change_pct(now, F.col("_back7")),
             "rsv_trend_28d": change_pct(now, F.col("_back28")),
@@ -179,7 +190,8 @@ def trends_daily(
         (F.col("brand_rsv_avg") - F.col("category_rsv_avg")).alias("brand_category_diff"),
         "rsv_trend_7d", "rsv_trend_28d",
         peer_percentile("rsv_avg", *PEERS).alias("visibility_index"),
-        "data_points", "unique_keywords", "top_keywords",
+        "data_points", "unique_keywords",
+        *(["top_keywords"] if top_keywords else []),
         # The region is part of the grain, so a row covers one region at most.
         F.col("region").isNotNull().cast("bigint").alias("regions_covered"),
         (F.col("data_points") >= cfg.trends_min_points).alias("min_sample_size_met"),

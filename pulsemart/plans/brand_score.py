@@ -42,9 +42,10 @@ def reddit_table(
 
 
 def trends_table(
-    feed: DataFrame, days: DateRange | None = None, cfg: DailySettings = DEFAULT_DAILY, calendar_lag: bool = False
+    feed: DataFrame, days: DateRange | None = None, cfg: DailySettings = DEFAULT_DAILY,
+    calendar_lag: bool = False, top_keywords: bool = True,
 ) -> DataFrame:
-    return daily.trends_daily(raw.trends_timeseries(_aligned(feed), days), cfg, calendar_lag)
+    return daily.trends_daily(raw.trends_timeseries(_aligned(feed), days), cfg, calendar_lag, top_keywords)
 
 
 def complaints_table(
@@ -64,7 +65,7 @@ def brand_metrics(
     return scoring.brand_daily_metrics(
         twitter_table(feeds.twitter, days, twitter_tone, cfg),
         reddit_table(feeds.reddit, days, reddit_tone, cfg),
-        trends_table(feeds.trends, days, cfg),
+        trends_table(feeds.trends, days, cfg, top_keywords=False),
         complaints_table(feeds.complaints, days, cfg),
         feeds.brands,
         literal_regions,

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pulsemart.settings import BRAND_ALIASES, BRAND_ROWS
-from pulsemart.sources.schemas import BRAND_DICTIONARY
 
 
 def read_brand_dictionary(spark: SparkSession, path: str) -> DataFrame:
@@ -18,10 +17,19 @@ def read_brand_dictionary(spark: SparkSession, path: str) -> DataFrame:
 
 
 def brand_dictionary(spark: SparkSession) -> DataFrame:
-    """The built-in dictionary."""
-    return spark.createDataFrame(
-        [(b, n, list(a), list(d), t, c) for b, n, a, d, t, c in BRAND_ROWS], BRAND_DICTIONARY
-    )
+    """The built-in dictionary, as literal rows: the planner knows how small it is."""
+
+    def listed(items) -> Column:
+        return F.array(*[F.lit(i) for i in items])
+
+    rows = [
+        F.struct(
+            F.lit(brand).alias("brand_id"), F.lit(name).alias("brand_name"), listed(aliases).alias("aliases"),
+            listed(domains).alias("domains"), F.lit(ticker).alias("ticker"), F.lit(country).alias("hq_country"),
+        )
+        for brand, name, aliases, domains, ticker, country in BRAND_ROWS
+    ]
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def canonical_brand(brand: Column) -> Column:
