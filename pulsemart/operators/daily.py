@@ -210,6 +210,35 @@ def heightened_severity(score: Column, disputed: Column, timely: Column) -> Colu
     )
 
 
+def _value_counts(base: DataFrame) -> DataFrame:
+    """Distinct states, categories and zip codes per key, and the commonest of the first two.
+
+    Values are counted per key first, which combines well before the shuffle;
+    on equal counts the smallest value is the commonest.
+    """
+    kinds = F.array(
+        *[F.struct(F.lit(k).alias("kind"), F.col(k).alias("value")) for k in ("state", "category", "zip_code")]
+    )
+    counted = (
+        base.select(*KEYS, F.inline(kinds))
+        .filter(F.col("value").isNotNull())
+        .groupBy(*KEYS, "kind", "value")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    order = F.struct(-F.col("n"), "value")
+
+    def commonest(kind: str) -> Column:
+        return F.min_by("value", F.when(F.col("kind") == kind, order))
+
+    return counted.groupBy(*KEYS).agg(
+        tally(F.col("kind") == "state").alias("states_affected"),
+        tally(F.col("kind") == "category").alias("product_categories"),
+        tally(F.col("kind") == "zip_code").alias("zip_codes_affected"),
+        commonest("category").alias("top_product_category"),
+        commonest("state").alias("top_state"),
+    )
+
+
 def complaints_daily(rows: DataFrame, cfg: DailySettings = DEFAULT_DAILY) -> DataFrame:
     """Complaint volume, answers, severity, products and places per day."""
     base = rows.withColumn("_low", F.lower("product")).select(
@@ -224,7 +253,6 @@ def complaints_daily(rows: DataFrame, cfg: DailySettings = DEFAULT_DAILY) -> Dat
     rolled = base.groupBy(*KEYS).agg(
         F.count(F.lit(1)).alias("complaints"),
         F.count_distinct("complaint_id").alias("unique_complaints"),
-        F.count_distinct("state").alias("states_affected"),
         share(F.col("timely_response")).alias("timely_rate"),
         share(F.col("consumer_disputed")).alias("dispute_rate"),
         share(F.col("has_narrative")).alias("narrative_rate"),
@@ -233,12 +261,15 @@ def complaints_daily(rows: DataFrame, cfg: DailySettings = DEFAULT_DAILY) -> Dat
         F.avg("enhanced").alias("enhanced_severity_avg"),
         F.max("severity_score").alias("severity_max"),
         F.stddev_samp("severity_score").alias("severity_stddev"),
-        F.count_distinct("category").alias("product_categories"),
-        F.mode("category", True).alias("top_product_category"),
         F.avg("narrative_length").alias("avg_narrative_length"),
         share(F.col("narrative_length") > cfg.long_narrative).alias("long_narrative_rate"),
-        F.mode("state", True).alias("top_state"),
-        F.count_distinct("zip_code").alias("zip_codes_affected"),
+    )
+    same = [F.col(f"r.{k}").eqNullSafe(F.col(f"v.{k}")) for k in KEYS]
+    rolled = (
+        rolled.alias("r")
+        .join(_value_counts(base).alias("v"), same, "left")
+        .select("r.*", *[f"v.{c}" for c in ("states_affected", "product_categories", "zip_codes_affected",
+                                            "top_product_category", "top_state")])
     )
     # Ranked on a rounded mean: equal means tie in whatever order rows were summed.
     indexed = rolled.withColumn("_severity", F.round("enhanced_severity_avg", 9)).withColumns(
@@ -263,6 +294,8 @@ def complaints_daily(rows: DataFrame, cfg: DailySettings = DEFAULT_DAILY) -> Dat
             "complaints_index": combined,
             "min_sample_size_met": F.col("complaints") >= cfg.complaints_min,
             "anomaly_flag": yes(unusual),
+            "states_affected": F.coalesce("states_affected", F.lit(0)),
+            "zip_codes_affected": F.coalesce("zip_codes_affected", F.lit(0)),
             "data_freshness_ok": F.lit(True),
         }
     ).drop("_severity")
