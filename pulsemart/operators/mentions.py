@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from pulsemart.functions.plan import computed_once
 from pulsemart.functions.text import contains_any, quote
-from pulsemart.settings import DEFAULT_MENTION, MentionSettings
+from pulsemart.settings import DEFAULT_MENTION, MENTION_TERMS, MentionSettings
 
 # A neighbour that is a letter or digit of any script means "inside a word".
 _NOT_AFTER = r"(?<![\p{L}\p{N}])"
@@ -70,7 +70,10 @@ def _brand_score(hits: Column, terms: Column, cfg: MentionSettings) -> Column:
 
 
 def detect_mentions(
-    df: DataFrame, dictionary: Dictionary, text: str = "text", cfg: MentionSettings = DEFAULT_MENTION
+    df: DataFrame,
+    dictionary: Dictionary = MENTION_TERMS,
+    text: str = "text",
+    cfg: MentionSettings = DEFAULT_MENTION,
 ) -> DataFrame:
     """Add the best brand of each text, its matched terms, score and hit count.
 

@@ -105,12 +105,14 @@ def top_matches(
     key: str = "event_id",
     cfg: Bm25 = DEFAULT_BM25,
     stop_words=None,
+    newest: bool = False,
 ) -> DataFrame:
-    """Best matches of a query; ``where`` filters hits, not the corpus figures."""
+    """Best (or newest) matches of a query; ``where`` filters hits, not the corpus figures."""
     hits = relevance(table, query, cfg, stop_words).filter(F.col("score") > 0)
     if where is not None:
         hits = hits.filter(where)
-    return hits.orderBy(F.col("score").desc(), key).limit(limit)
+    first = F.col("ts_event" if newest else "score").desc()
+    return hits.orderBy(first, key).limit(limit)
 
 
 def by_range(

@@ -155,6 +155,15 @@ def page_envelope(
     )
 
 
+def latest_scores(scores: DataFrame, limit: int = 10) -> DataFrame:
+    """The newest day's best brands first."""
+    return (
+        scores.select("brand_id", "date", "country", "composite_score", "composite_rank")
+        .orderBy(F.col("date").desc(), F.col("composite_score").desc(), "brand_id", "country")
+        .limit(limit)
+    )
+
+
 def severity_counts(complaints: DataFrame) -> DataFrame:
     level = F.col("severity_level")
     return complaints.agg(*[tally(level == name).alias(name) for name in SEVERITY_RANK])

@@ -157,6 +157,11 @@ def _review_scores(spark, folder) -> DataFrame:
     )
 
 
+@query
+def latest_scores(spark, folder):
+    return tidy(serving.latest_scores(scoring.composite_score(_metrics(spark, folder))))
+
+
 @query
 def four_part_score(spark, folder):
     rows = scoring.four_part_score(_metrics(spark, folder), reviews=_review_scores(spark, folder))
@@ -771,6 +776,13 @@ def filtered_match(spark, folder):
     return tidy(hits.select("event_id", "brand_id", "score"))
 
 
+@query
+def newest_match(spark, folder):
+    where = F.col("sentiment").between(-1, 1)
+    hits = search.top_matches(_search_table(spark, folder), "ontion", 3, where, newest=True)
+    return tidy(hits.select("event_id", "ts_event", "score"))
+
+
 @query
 def sentiment_range(spark, folder):
     rows = search.by_range(samples.search_events(spark, folder), "sentiment", -1.0, -0.5)

@@ -88,6 +88,10 @@ FINANCE_TOPICS = (
     "overdraft", "chargeback", "rewards", "interest_rates", "credit_score",
     "customer_service", "online_banking", "security", "billing", "loans",
 )
+CORE_TOPICS = (
+    "fees", "fraud", "mobile_app", "branch_service", "mortgage", "cards", "onboarding",
+    "support_latency", "outage", "ux", "account_lock", "atm", "overdraft", "chargeback",
+)
 URL_PATTERN = (
     r"http[s]?://(?:[a-zA-Z]|[0-9]|[$-_@.&+]|[!*\\(\\),]|(?:%[0-9a-fA-F][0-9a-fA-F]))+"
 )
@@ -300,6 +304,64 @@ COMPANY_NAMES = (
     ("truist", ("TRUIST BANK",)),
 )
 
+TD_COMPANY_NAMES = (
+    (
+        "td_bank",
+        (
+            "TD BANK USA, NATIONAL ASSOCIATION", "TD BANK, N.A.", "TD BANK US HOLDING COMPANY",
+            "TORONTO-DOMINION BANK", "TD AUTO FINANCE LLC", "TD AMERITRADE, INC.",
+            "TD AMERITRADE CLEARING, INC.",
+        ),
+    ),
+)
+
+# Default mention dictionary.  Repeated entries and case variants count as the
+# mention rules say, so the list is kept as it is.
+TD_BANK_TERMS = (
+    "TD Bank", "TD Bank N.A.", "TD Bank USA", "TD Bank US", "TD Bank National Association",
+    "Toronto Dominion Bank", "Toronto-Dominion Bank", "Toronto Dominion", "Toronto-Dominion",
+    "The Toronto-Dominion Bank", "TD Bank Group",
+    "TD", "TDB", "TD-Bank", "T-D", "T.D.", "T D Bank", "T.D. Bank",
+    "TD Banknorth", "TD Waterhouse", "TD Securities",
+    "TD Canada Trust", "TD Ameritrade", "TD Auto Finance", "TD Wealth Management",
+    "TD Direct Investing", "TD Insurance", "TD Commercial Banking", "TD Private Banking",
+    "TD Asset Management", "TD Securities", "TD Investment Services",
+    "TD Cash Credit Card", "TD Cash Back Credit Card", "TD Double Up Credit Card",
+    "TD First Class Travel Visa", "TD Aeroplan Visa", "TD Business Cash Back Visa",
+    "TD Business Travel Visa", "TD Student Credit Card", "TD Secured Credit Card",
+    "TD Rewards Credit Card", "TD Platinum Travel Visa", "TD Gold Elite Visa",
+    "TD Convenience Checking", "TD Beyond Checking", "TD Premier Checking",
+    "TD Student Checking", "TD 60+ Checking", "TD Business Checking",
+    "TD Simple Business Checking", "TD Commercial Checking",
+    "TD Simple Savings", "TD Growth Money Market", "TD Special Rate CD",
+    "TD Choice Promotional CD", "TD Signature Select", "TD IRA",
+    "TD Traditional IRA", "TD Roth IRA", "TD SEP IRA", "TD Simple IRA",
+    "TD Mortgage", "TD Home Equity", "TD Personal Loan", "TD Student Loan",
+    "TD Auto Loan", "TD Business Loan", "TD Line of Credit", "TD HELOC",
+    "TD Fixed Rate Mortgage", "TD Adjustable Rate Mortgage", "TD Jumbo Mortgage",
+    "TD EasyWeb", "TD Mobile App", "TD Online Banking", "TD Digital Banking",
+    "TD Mobile Deposit", "TD Zelle", "TD Bill Pay", "TD MySpend",
+    "TD GoalAssist", "TD Clari", "TD Mobile Banking",
+    "TD Customer Service", "TD Branch", "TD ATM", "TD Teller", "TD Call Center",
+    "TD Customer Care", "TD Support", "TD Help Desk", "TD Phone Banking",
+    "TD checking", "TD savings", "TD credit", "TD debit", "TD card",
+    "TD account", "TD online", "TD app", "TD mortgage", "TD loan",
+    "td bank", "td", "td checking", "td savings", "td credit card",
+    "td online banking", "td mobile app", "td customer service",
+    "TD Bankz", "T D Bank", "TD Can Trust", "TD Ameritrd", "TD Amertrade",
+    "Toronto Dom", "Toronto-Dom", "TD Banc", "TDBank", "TD_Bank",
+    "TD Green", "TD Canada", "TD US", "TD USA", "TD American",
+    "TD North", "TD East Coast", "TD New England", "TD Northeast",
+    "TD Business Banking", "TD Commercial", "TD Corporate Banking",
+    "TD Treasury Services", "TD Merchant Services", "TD Business Credit Card",
+    "TD Commercial Real Estate", "TD Equipment Finance",
+    "TD Wealth", "TD Investment", "TD Portfolio", "TD Financial Planning",
+    "TD Private Investment Counsel", "TD Asset Management USA",
+    "TD Epoch", "TD Greystone", "TDAM",
+    "Commerce Bank", "TD Commerce", "Banknorth", "TD Banknorth Group",
+)
+MENTION_TERMS = {"td_bank": TD_BANK_TERMS}
+
 TREND_BRAND_TERMS = (
     ("jpm", ("JPMorgan Chase", "Chase Bank")),
     ("wf", ("Wells Fargo",)),

@@ -285,6 +285,9 @@ select brand_id, brand_name, date, country, {rounded('composite_score')}, compos
     when abs(change_7d) > 20 then 'Significant change detected' end notes,
   'v1.0' calc_version
 from scored"""
+SQL["latest_scores"] = with_(SCORE) + f"""
+select brand_id, date, country, {rounded('composite_score')}, composite_rank::int composite_rank from scored s
+order by date desc, s.composite_score desc, brand_id, country limit 10"""
 SQL["score_forecast"] = with_(SCORE) + f""",
 fit as (
   select brand_id, country, regr_slope(composite_score, date_diff('day', DATE '1970-01-01', date)::double) m,
@@ -795,6 +798,9 @@ select event_id, {rounded('score')} from bm where score > 0"""
 SQL["filtered_match"] = with_(SE, bm25("ontion", "thou")) + f"""
 select event_id, brand_id, {rounded('score')} from bm where score > 0 and brand_id = 'wf'
 order by bm.score desc, event_id limit 5"""
+SQL["newest_match"] = with_(SE, bm25("ontion")) + f"""
+select event_id, ts_event, {rounded('score')} from bm where score > 0 and sentiment between -1 and 1
+order by ts_event desc, event_id limit 3"""
 SQL["sentiment_range"] = with_(SE) + f"""
 select event_id, brand_id, {rounded('sentiment')} from se where sentiment between -1 and -0.5
 order by se.sentiment, event_id limit 5"""
