@@ -10,27 +10,26 @@ from pyspark.sql import Column, functions as F
 from pulsemart.settings import ENGLISH_STOP_WORDS
 
 _WORD = r"[\p{L}\p{N}]+"
-_END = r"(?![\p{L}\p{N}])"
 # Plural endings of a light English stemmer, applied in order.
 _PLURALS = (
-    (rf"(?<=[\p{{L}}\p{{N}}])(?<![ae])ies{_END}", "y"),
-    (rf"(?<=[\p{{L}}\p{{N}}])(?<![aeo])es{_END}", "e"),
-    (rf"(?<=[\p{{L}}\p{{N}}])(?<![us])s{_END}", ""),
+    ("(?<=[^ae])ies$", "y"),
+    ("(?<=[^aeo])es$", "e"),
+    ("(?<=[^us])s$", ""),
 )
 
 
-def stemmed(lowered: Column) -> Column:
-    """Whole text with plural endings removed from every word."""
-    return reduce(lambda c, rule: F.regexp_replace(c, rule[0], rule[1]), _PLURALS, lowered)
+def stemmed(word: Column) -> Column:
+    """A lower-case word without its plural ending; most words have none to test."""
+    plain = reduce(lambda c, rule: F.regexp_replace(c, rule[0], rule[1]), _PLURALS, word)
+    return F.when(word.endswith("s"), plain).otherwise(word)
 
 
 def tokens(text: Column, stop_words: tuple[str, ...] = ENGLISH_STOP_WORDS, stem: bool = True) -> Column:
     """Words of a text in order; stop words are dropped before stemming."""
-    lowered = F.lower(text)
+    words = F.regexp_extract_all(F.lower(text), F.lit(_WORD), F.lit(0))
     if stop_words:
-        listed = "|".join(stop_words)
-        lowered = F.regexp_replace(lowered, rf"(?<![\p{{L}}\p{{N}}])(?:{listed}){_END}", " ")
-    return F.regexp_extract_all(stemmed(lowered) if stem else lowered, F.lit(_WORD), F.lit(0))
+        words = F.filter(words, lambda w: ~w.isin(list(stop_words)))
+    return F.transform(words, stemmed) if stem else words
 
 
 def most_tokens(query: str) -> int:
