@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from functools import reduce
 
 from pyspark.sql import Column, functions as F
@@ -30,8 +29,3 @@ def tokens(text: Column, stop_words: tuple[str, ...] = ENGLISH_STOP_WORDS, stem:
     if stop_words:
         words = F.filter(words, lambda w: ~w.isin(list(stop_words)))
     return F.transform(words, stemmed) if stem else words
-
-
-def most_tokens(query: str) -> int:
-    """Upper bound for the number of tokens of a query string."""
-    return max(1, len(re.findall(r"[^\W_]+", query)))

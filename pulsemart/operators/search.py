@@ -6,12 +6,12 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from pulsemart.functions.parsing import json_text, json_whole
 from pulsemart.functions.plan import computed_once
 from pulsemart.functions.text import redact
-from pulsemart.functions.tokens import most_tokens, tokens
+from pulsemart.functions.tokens import tokens
 from pulsemart.functions.vectors import cosine
 from pulsemart.settings import DEFAULT_BM25, Bm25
 
@@ -53,14 +53,20 @@ def search_table(events: DataFrame, text: str = "text", stop_words=None, hide_pe
     return events.withColumn("tokens", analysed).withColumn("token_count", F.size("tokens"))
 
 
-def _query_terms(query: str, stop_words) -> list[Column]:
+def query_terms(spark: SparkSession, query: str, stop_words=None) -> list[str]:
+    """Distinct analysed words of a query string.
+
+    Evaluated once on a one-row relation, so that the scoring plan compares
+    tokens with literals.
+    """
     analysed = tokens(F.lit(query)) if stop_words is None else tokens(F.lit(query), stop_words)
-    unique = F.array_distinct(analysed)
-    return [F.get(unique, i) for i in range(most_tokens(query))]
+    return list(dict.fromkeys(spark.range(1).select(analysed.alias("t")).first().t))
 
 
-def _occurrences(listed: Column, term: Column) -> Column:
-    return F.coalesce(F.size(F.filter(listed, lambda t: t == term)), F.lit(0))
+def _occurrences(listed: Column, term: str) -> Column:
+    """How often a term occurs in a token list."""
+    rest = F.size(F.array_remove(listed, F.lit(term)))
+    return F.coalesce(F.size(listed) - rest, F.lit(0))
 
 
 def relevance(
@@ -72,7 +78,9 @@ def relevance(
     mean length, documents per term) are one aggregate, read back as a scalar
     subquery, so texts are neither exploded nor shuffled.
     """
-    terms = _query_terms(query, stop_words)
+    terms = query_terms(table.sparkSession, query, stop_words)
+    if not terms:
+        return table.withColumn(score, F.lit(0.0))
     counts = [_occurrences(F.col("tokens"), term) for term in terms]
     figures = table.agg(
         F.struct(
