@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsemart.llm import mixing, quality
-from pulsemart.llm.common import stage, table, word_count
+from pulsemart.llm import mixing, packing, quality, token_files
+from pulsemart.llm.common import scratch_path, stage, table, word_count
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +18,26 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(measured, cutoffs).drop("lang")
 
 
+def vocabulary(name: str) -> str:
+    """Place of a public tokenizer's file; the package is installed wherever tasks run."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of all documents, written to files and read back from them."""
+    folder = scratch_path(spark, "tokens")
+    token_files.write_tokens(table(spark, sf_dir, "documents"), folder, vocabulary("word_bpe_49k.json"), 1)
+    return token_files.read_tokens(spark, folder)
+
+
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 2048 tokens."""
+    items = stage(packing.pieces(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), 0), "pieces")
+    return packing.pack(items).drop("key")
+
+
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a curriculum takes of each document, in the order of first use."""
     sizes = stage(table(spark, sf_dir, "documents").select("doc_id", "source", word_count().alias("size")), "sizes")
@@ -32,6 +52,8 @@ def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality_rules": op4_quality_rules,
+    "op6_token_files": op6_token_files,
+    "op7_best_fit_packing": op7_best_fit_packing,
     "op8_source_mixing": op8_source_mixing,
 }
 SQL: dict[str, str] = {}
