@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsemart.llm import mixing, packing, quality, token_files
+from pulsemart.llm import mixing, packing, quality, token_files, warc
 from pulsemart.llm.common import scratch_path, stage, table, word_count
 
 
@@ -18,6 +18,19 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(measured, cutoffs).drop("lang")
 
 
+def op5_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as WARC records and read back: responses with their payloads, revisits by their headers alone."""
+    folder = scratch_path(spark, "warc")
+    warc.register(spark)
+    warc.write_pages(table(spark, sf_dir, "pages"), folder)
+    responses = warc.read_archive(spark, folder).where("record_type = 'response'").select(
+        "page_id", F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha2("payload", 256).alias("payload_digest"),
+        "record_type", "refers_to",
+    )
+    headers = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
+    return responses.unionByName(warc.read_archive(spark, folder, headers).where("record_type = 'revisit'"))
+
+
 def vocabulary(name: str) -> str:
     """Place of a public tokenizer's file; the package is installed wherever tasks run."""
     import public_tokenizers
@@ -52,8 +65,19 @@ def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality_rules": op4_quality_rules,
+    "op5_warc_archive": op5_warc_archive,
     "op6_token_files": op6_token_files,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_source_mixing": op8_source_mixing,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op5_warc_archive": """
+        WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+        d AS (SELECT page_id, octet_length(b) AS payload_bytes, sha256(b) AS payload_digest FROM p),
+        f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM d)
+        SELECT page_id, payload_bytes, payload_digest,
+            CASE WHEN payload_bytes >= 100 AND page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
+            CASE WHEN payload_bytes >= 100 AND page_id IS DISTINCT FROM first THEN first END AS refers_to
+        FROM f
+    """,
+}

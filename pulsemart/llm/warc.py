@@ -48,7 +48,7 @@ def _record(row: dict) -> bytes:
     block = http + (payload or b"")
     headers = [
         ("WARC-Type", row["record_type"]), ("WARC-Record-ID", _ID.format(page)), ("WARC-Date", "1970-01-01T00:00:00Z"),
-        ("WARC-Target-URI", None if row["url"] is None else quote(row["url"], safe="".join(map(chr, range(33, 127))).replace("%", ""))),
+        ("WARC-Target-URI", None if row["url"] is None else quote(row["url"], safe="".join(map(chr, range(33, 127))))),
         ("WARC-Payload-Digest", f"sha256:{row['payload_digest']}"),
         ("WARC-Refers-To", None if row["refers_to"] is None else _ID.format(row["refers_to"])),
         ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest" if payload is None else None),
