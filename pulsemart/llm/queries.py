@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsemart.llm import fingerprints, mixing, packing, quality, token_files, warc
+from pulsemart.llm import fingerprints, mixing, packing, personal, quality, token_files, warc
 from pulsemart.llm.common import scratch_path, stage, table, word_count
 
 
@@ -63,6 +63,11 @@ def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).orderBy("position", "doc_id")
 
 
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all documents: strict patterns, and what the trained classifier adds."""
+    return personal.find(table(spark, sf_dir, "documents"))
+
+
 def op10_weighted_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Consistent-weighted-sampling fingerprints of all documents and their edited texts."""
     return fingerprints.compare_neighbours(table(spark, sf_dir, "documents"))
@@ -74,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_token_files": op6_token_files,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_source_mixing": op8_source_mixing,
+    "op9_personal_data": op9_personal_data,
     "op10_weighted_fingerprints": op10_weighted_fingerprints,
 }
 SQL: dict[str, str] = {
