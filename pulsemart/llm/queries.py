@@ -7,10 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsemart.llm import fingerprints, mixing, packing, personal, quality, token_files, warc
+from pulsemart.llm import fingerprints, mixing, ngram_model, packing, personal, quality, token_files, warc
 from pulsemart.llm.common import scratch_path, stage, table, word_count
 
 
+def op1_ngram_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language-model scores of all documents."""
+    return ngram_model.score(table(spark, sf_dir, "documents"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures and verdict of each document; cutoffs come from the labelled ones."""
     measured = stage(quality.measure(table(spark, sf_dir, "documents"), ["doc_id", "lang"]), "measures")
@@ -74,6 +79,7 @@ def op10_weighted_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ngram_scores": op1_ngram_scores,
     "op4_quality_rules": op4_quality_rules,
     "op5_warc_archive": op5_warc_archive,
     "op6_token_files": op6_token_files,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -19,6 +21,16 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
+def parts(batch: pa.RecordBatch, column: str, limit: int) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with about ``limit`` text bytes each; a longer text is a slice of its own."""
+    ends = np.cumsum(pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
+    row = 0
+    while row < batch.num_rows:
+        to = max(row + 1, int(np.searchsorted(ends, (ends[row - 1] if row else 0) + limit, "right")))
+        yield batch.slice(row, to - row)
+        row = to
+
+
 def coded_words(texts: pa.Array, lower: bool = True) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """Distinct words, each word's number among them, and where each text's words start, with the end.
 
