@@ -36,13 +36,15 @@ def coded_words(texts: pa.Array, lower: bool = True) -> tuple[list[bytes], np.nd
 
     Words are runs of anything but ASCII white space; A-Z are lower-cased; a missing text is empty.
     """
-    texts = texts.cast(pa.large_string()).fill_null("")
-    split = pc.ascii_split_whitespace(pc.ascii_lower(texts) if lower else texts)
+    split = pc.ascii_split_whitespace(texts.cast(pa.large_string()).fill_null(""))
     flat = split.flatten()
     starts = np.asarray(split.offsets).astype(np.int64) - split.offsets[0].as_py()
     coded = flat.dictionary_encode()
-    words = coded.dictionary.cast(pa.large_binary()).to_pylist()
     numbers = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    if lower:  # of the distinct words: the function must not see a slice
+        coded = pc.ascii_lower(coded.dictionary).dictionary_encode()
+        numbers = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)[numbers]
+    words = coded.dictionary.cast(pa.large_binary()).to_pylist()
     if b"" in words:  # white space at a text's ends
         empty = words.index(b"")
         real = numbers != empty
@@ -66,7 +68,7 @@ def shingles(hashes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nda
     counts = np.diff(starts)
     windows = np.zeros(len(hashes), np.uint64)
     for k in range(SHINGLE):
-        windows[:len(hashes) - k] += hashes[k:] * PLACES[k]
+        windows[:max(0, len(hashes) - k)] += hashes[k:] * PLACES[k]
     per = np.where(counts >= SHINGLE, counts - SHINGLE + 1, np.minimum(counts, 1))
     ends = np.concatenate([[0], np.cumsum(per)])
     at = np.arange(ends[-1]) + np.repeat(starts[:-1] - ends[:-1], per)
