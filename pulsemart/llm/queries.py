@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsemart.llm import fingerprints, mixing, ngram_join, ngram_model, packing, personal, quality, token_files, warc
+from pulsemart.llm import fingerprints, mixing, ngram_join, ngram_model, packing, personal, quality, suffix_dedup, token_files, warc
 from pulsemart.llm.common import scratch_path, stage, table, word_count
 
 
@@ -21,6 +21,11 @@ def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the byte strings that repeat."""
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures and verdict of each document; cutoffs come from the labelled ones."""
     measured = stage(quality.measure(table(spark, sf_dir, "documents"), ["doc_id", "lang"]), "measures")
@@ -86,6 +91,7 @@ def op10_weighted_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_scores": op1_ngram_scores,
     "op2_ngram_join": op2_ngram_join,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_quality_rules": op4_quality_rules,
     "op5_warc_archive": op5_warc_archive,
     "op6_token_files": op6_token_files,
