@@ -11,14 +11,24 @@ from pyspark.sql import functions as F
 
 from pulsemart.session import scratch_path, stage
 
-__all__ = ["SPACE", "WORD", "files", "scratch_path", "stage", "table", "text_of", "word_count", "write_file"]
+__all__ = ["SPACE", "WORD", "files", "scratch_path", "small_batches", "stage", "table", "text_of", "unwrapped", "word_count", "wrapped", "write_file"]
 
 #: White space and words of the contracts: ASCII space and 0x09 to 0x0D.
 SPACE = b" \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Rows and bytes of the batches that Python workers get: whole texts can be long, so both are bounded.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "16m"}
+
+
+def small_batches(spark: SparkSession) -> None:
+    for key, value in BATCHES.items():
+        spark.conf.set(key, value)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -27,6 +37,24 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def wrapped(docs: DataFrame) -> DataFrame:
+    """``row`` (all columns but the text) beside ``doc_id``, ``lang``, ``source`` and ``text``.
+
+    Whatever a caller's columns are called, they cannot clash with those of an operator.  A missing ``lang`` or
+    ``source`` column counts as missing values.
+    """
+    rest = [c for c in docs.columns if c != "text"]
+    row = F.struct(*(F.col(c).alias(f"c{k}") for k, c in enumerate(rest)))
+    known = [F.col(c) if c in rest else F.lit(None).cast("string").alias(c) for c in ("lang", "source")]
+    return docs.select(row.alias("row"), "doc_id", *known, "text")
+
+
+def unwrapped(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """The caller's columns again, in their order, with the text as it is now."""
+    places = iter(range(len(columns)))
+    return rows.select(*(F.col("text") if c == "text" else F.col(f"row.c{next(places)}").alias(c) for c in columns))
+
+
 def word_count(column: str = "text") -> Column:
     return F.regexp_count(text_of(column), F.lit(WORD)).cast("long")
 
