@@ -29,8 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsemart.llm.common import stage, text_of
-from pulsemart.llm.words import coded_words, mixed, parts, shingles, word_hashes
+from pulsemart.llm.common import stage, text_of, unwrapped, wrapped
+from pulsemart.llm.words import coded_words, mixed, parts, runs, shingles, word_hashes
 
 #: Documents link when OF x intersection >= PARTS x union.
 PARTS, OF = 80, 100
@@ -106,9 +106,8 @@ def _entries(docs: DataFrame, shards: int) -> DataFrame:
                 order = np.lexsort((owner, shard))
                 columns, owner, shard = columns[order], owner[order], shard[order].astype(np.int64)
                 keys = np.array(list(rows), np.int64)
-                heads = np.flatnonzero(np.diff(shard, prepend=-1))
                 out = []
-                for a, b in zip(heads, [*heads[1:], len(shard)], strict=True):
+                for a, b in runs(shard):
                     first = np.flatnonzero(np.diff(owner[a:b], prepend=-1))
                     own = owner[a + first]
                     out.append((
@@ -153,8 +152,7 @@ def _shared(entries: DataFrame, blocks: int) -> DataFrame:
         order = np.lexsort((owner, block))
         columns, owner, often, block = columns[order], owner[order], often[order], block[order]
         out = []
-        heads = np.flatnonzero(np.diff(block, prepend=-1))
-        for a, b in zip(heads, [*heads[1:], len(block)], strict=True):
+        for a, b in runs(block):
             starts = np.flatnonzero(np.diff(owner[a:b], prepend=-1))
             own = owner[a + starts]
             out.append((
@@ -300,17 +298,18 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
     Texts without words all stay.
     """
-    members = stage(with_sets(docs, ["doc_id"]), "members")
-    joined = stage(join(docs, members), "joined")
+    rows = wrapped(docs)
+    members = stage(with_sets(rows, ["doc_id"]), "members")
+    joined = stage(join(rows, members), "joined")
     kept = (
         joined.where("n_shingles > 0").groupBy("component_id")
-        .agg(F.min(F.when(F.col("doc_id").eqNullSafe(F.col("component_id")), F.col("set_key"))).alias("set_key"))
-        .select(F.col("component_id").alias("kept_id"), F.col("set_key").alias("kept_key"))
+        .agg(F.min(F.when(F.col("doc_id").eqNullSafe(F.col("component_id")), F.col("set_key"))).alias("kept_key"))
+        .withColumnRenamed("component_id", "kept_id")
     )
-    described = with_sets(docs, docs.columns)
+    described = with_sets(rows, ["row", "doc_id", "text"])
     one = (
         described.where("n_shingles > 0")
         .join(kept, (F.col("set_key") == F.col("kept_key")) & F.col("doc_id").eqNullSafe(F.col("kept_id")))
         .dropDuplicates(["doc_id", "set_key"])
     )
-    return one.unionByName(described.where("n_shingles = 0"), allowMissingColumns=True).select(*docs.columns)
+    return unwrapped(one.unionByName(described.where("n_shingles = 0"), allowMissingColumns=True), docs.columns)

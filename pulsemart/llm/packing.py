@@ -75,7 +75,7 @@ def _round(items: DataFrame, number: int, capacity: int, final: bool) -> DataFra
 
 
 def pack(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """Pack items (``key`` long and unique, ``length`` 0 to ``capacity``): adds ``sequence_id`` and ``offset``.
+    """Pack items (``key`` long and unique, ``length`` 1 to ``capacity``): adds ``sequence_id`` and ``offset``.
 
     Offsets within a sequence are gapless from 0.  An item of ``capacity`` has a sequence of its own.  An empty table
     gives an empty result.

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsemart.llm.common import stage, text_of
+from pulsemart.llm.common import stage, text_of, unwrapped, wrapped
 
 KINDS = ("email", "ip", "card", "phone")
 LABELERS = ("pattern", "check", "gazetteer", "context", "edges")
@@ -250,6 +250,7 @@ def chosen(proposals: list[dict], weights: np.ndarray, threshold: float = THRESH
         return []
     inputs = _design(*(np.array([p[c] for p in proposals]) for c in ("kind", "votes", "digits", "separators")))
     sure = 1 / (1 + np.exp(-np.clip(inputs @ weights, -50, 50))) >= threshold
+    sure &= np.array([p["votes"][1] for p in proposals]) >= 0  # whatever was learned, a span that fails its check is none
     return sorted((p for p, s in zip(proposals, sure, strict=True) if p["strict"] or s), key=lambda p: (p["start"], p["kind"]))
 
 
@@ -292,26 +293,29 @@ def redact(docs: DataFrame) -> DataFrame:
 
     ``n_chars``, where it is a column, follows the new text.
     """
-    proposals = stage(propose(docs, docs.columns), "proposals")
+    proposals = stage(propose(wrapped(docs), ["row", "text"]), "proposals")
     weights = fit(proposals)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = []
-            for text, items in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if text is not None and (spans := chosen(items, weights)):
-                    parts, at = [], 0
-                    for s in spans:
-                        if s["start"] >= at:
-                            parts += [text[at:s["start"]], f"<{KINDS[s['kind']]}>"]
-                        at = max(at, s["end"])
-                    text = "".join([*parts, text[at:]])
-                texts.append(text)
-            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), *batch.columns[2:]], names=["text", *rest_inner])
-
-    rest = [c for c in docs.columns if c != "text"]
-    rest_inner = [f"k{i}" for i in range(len(rest))]
-    schema = "text string" + "".join(f", {i} {docs.schema[c].dataType.simpleString()}" for c, i in zip(rest, rest_inner, strict=True))
-    out = proposals.select("text", "proposals", *(F.col(c).alias(i) for c, i in zip(rest, rest_inner, strict=True))).mapInArrow(run, schema)
-    out = out.select(F.col("text"), *(F.col(i).alias(c) for c, i in zip(rest, rest_inner, strict=True))).select(*docs.columns)
-    return out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in rest else out
+            texts = [
+                text if text is None else replaced(text, chosen(items, weights))
+                for text, items in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)
+            ]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["row", "text"])
+
+    row = proposals.schema["row"].dataType.simpleString()
+    out = unwrapped(proposals.mapInArrow(run, f"row {row}, text string"), docs.columns)
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+    return out
+
+
+def replaced(text: str, spans: list[dict]) -> str:
+    """The text with spans, in order, replaced by their kinds; of overlapping spans the first names all."""
+    parts, at = [], 0
+    for s in spans:
+        if s["start"] >= at:
+            parts += [text[at:s["start"]], f"<{KINDS[s['kind']]}>"]
+        at = max(at, s["end"])
+    return "".join([*parts, text[at:]])

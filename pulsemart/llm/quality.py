@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulsemart.llm.common import SPACE, stage, text_of
+from pulsemart.llm.common import SPACE, stage, text_of, unwrapped, wrapped
 
 #: Rules: name, measure, and width of a step of the cutoff grid.  All measures grow with badness.
 RULES: tuple[tuple[str, str, float], ...] = (
@@ -167,6 +167,6 @@ def judge(measured: DataFrame, cutoffs: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame, labels: DataFrame, **limits: float) -> DataFrame:
     """The documents that the rules keep, with their own columns.  Rows with equal content share their verdict."""
-    narrow = stage(measure(docs, ["doc_id", "lang"]), "measures")
-    cutoffs = stage(choose_cutoffs(narrow, labels, **limits), "cutoffs")
-    return judge(measure(docs, docs.columns), cutoffs).where("kept").select(*docs.columns)
+    rows = wrapped(docs)
+    cutoffs = stage(choose_cutoffs(stage(measure(rows, ["doc_id", "lang"]), "measures"), labels, **limits), "cutoffs")
+    return unwrapped(judge(measure(rows, ["row", "lang", "text"]), cutoffs).where("kept"), docs.columns)

@@ -21,6 +21,14 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
+def runs(values: np.ndarray) -> list[tuple[int, int]]:
+    """Start and end of each run of equal values."""
+    if not len(values):
+        return []
+    heads = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]])).tolist()
+    return list(zip(heads, [*heads[1:], len(values)], strict=True))
+
+
 def parts(batch: pa.RecordBatch, column: str, limit: int) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with about ``limit`` text bytes each; a longer text is a slice of its own."""
     ends = np.cumsum(pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
