@@ -38,7 +38,8 @@ def main() -> None:
 
     spark = build_session(
         "bench", f"local[{cpus}]",
-        **{"spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "16g", "spark.ui.showConsoleProgress": "false"},
+        **{"spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "16g", "spark.ui.showConsoleProgress": "false",
+           "spark.pulsemart.spreadPartitions": cpus},
     )
     spark.sparkContext.setLogLevel("ERROR")
 

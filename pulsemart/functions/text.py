@@ -105,10 +105,9 @@ def alnum_only(lowered: Column) -> Column:
     return F.array_join(F.regexp_extract_all(lowered, F.lit("[a-z0-9]+"), F.lit(0)), " ")
 
 
-def scoring_text(text: Column, max_chars: int) -> Column:
-    """Text as the enricher reads it: no links, single spaces, first characters."""
-    plain = F.regexp_replace(F.regexp_replace(text, URL_PATTERN, ""), r"\s+", " ")
-    return F.trim(F.substring(plain, 1, max_chars))
+def scoring_text(text: Column) -> Column:
+    """The whole text as the enricher reads it: no links, single spaces."""
+    return F.trim(F.regexp_replace(F.regexp_replace(text, URL_PATTERN, ""), r"\s+", " "))
 
 
 def strip(text: Column) -> Column:

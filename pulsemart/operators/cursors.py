@@ -16,36 +16,51 @@ def latest_state(state: DataFrame) -> DataFrame:
 
 
 def fetch_cutoff(
-    explicit_since: Column, cursor_iso: Column, now: Column, window: IngestWindow = IngestWindow()
+    explicit_since: Column,
+    cursor_iso: Column,
+    now: Column,
+    window: IngestWindow = IngestWindow(),
+    initial: Column | None = None,
 ) -> Column:
     """Seconds since the epoch from which records are read again.
 
     An explicit start and a stored cursor both step back by the overlap; a
-    first run goes back the initial number of days.
+    first run goes back the initial number of days.  An initial fetch ignores
+    both and goes back as a first run does.
     """
     overlap = F.lit(window.overlap_seconds)
     asked = F.nullif(explicit_since.cast("bigint"), F.lit(0).cast("bigint"))
-    return F.coalesce(
+    first = F.unix_timestamp(now) - window.initial_days * 86400
+    usual = F.coalesce(
         F.when(asked.isNotNull(), F.greatest(asked - overlap, F.lit(0).cast("bigint"))),
         F.unix_timestamp(F.try_to_timestamp(cursor_iso)) - overlap,
-        F.unix_timestamp(now) - window.initial_days * 86400,
+        first,
     )
+    return usual if initial is None else F.when(initial, first).otherwise(usual)
 
 
 def advance_cursor(accepted: DataFrame, state: DataFrame, updated_at: Column) -> DataFrame:
     """State rows to append: the largest (time, id) of each source that moved.
 
-    ``accepted`` has source, ts_event and native_id.
+    ``accepted`` has source, ts_event and native_id.  Cursors are kept in whole
+    seconds, so times are compared in whole seconds; at an equal time a larger
+    id moves the cursor on.  Ids compare as text, as the cursor stores them.
     """
-    reached = accepted.groupBy("source").agg(F.max(F.struct("ts_event", "native_id")).alias("m"))
-    before = latest_state(state).select("source", F.try_to_timestamp("cursor_iso").alias("_before"))
+    at = F.struct(F.date_trunc("second", "ts_event").alias("at"), F.col("native_id").cast("string").alias("id"))
+    reached = accepted.groupBy("source").agg(F.max(at).alias("m"))
+    before = latest_state(state).select(
+        "source",
+        F.struct(
+            F.try_to_timestamp("cursor_iso").alias("at"), F.coalesce("tie_breaker_id", F.lit("")).alias("id")
+        ).alias("_before"),
+    )
     return (
         reached.join(before, "source", "left")
-        .filter(F.col("_before").isNull() | (F.col("m.ts_event") > F.col("_before")))
+        .filter(F.col("_before.at").isNull() | (F.col("m") > F.col("_before")))
         .select(
             "source",
-            F.date_format("m.ts_event", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("cursor_iso"),
-            F.col("m.native_id").cast("string").alias("tie_breaker_id"),
+            F.date_format("m.at", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("cursor_iso"),
+            F.col("m.id").alias("tie_breaker_id"),
             updated_at.alias("updated_at"),
         )
     )

@@ -13,9 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pulsemart.functions.scores import clamp
 from pulsemart.functions.text import count_present, scoring_text
-from pulsemart.session import stage
 from pulsemart.settings import DEFAULT_ENRICH, DateRange, EnrichSettings
-from pulsemart.sources.landing import read_landing
+from pulsemart.sources.landing import in_days
 
 _NO_TOPICS = "array<string>"
 SCORE_FIELDS = "sentiment double, severity double, topics array<string>, language string, confidence double"
@@ -29,7 +28,7 @@ def chosen_text(title: Column, body: Column, text: Column) -> Column:
 
 def prepared(df: DataFrame, text: Column, cfg: EnrichSettings = DEFAULT_ENRICH) -> DataFrame:
     """Add the cleaned and the lower-cased text as working columns."""
-    return df.withColumn("_clean", scoring_text(text, cfg.max_chars)).withColumn("_low", F.lower("_clean"))
+    return df.withColumn("_clean", scoring_text(text)).withColumn("_low", F.lower("_clean"))
 
 
 def lexicon_scores(cfg: EnrichSettings = DEFAULT_ENRICH) -> dict[str, Column]:
@@ -101,26 +100,29 @@ def score_with(
     """Add scores by a plugged-in scorer, batch by batch.
 
     The scorer gets cleaned texts and returns the columns of ``SCORE_FIELDS``.
-    Only the text column travels to Python.  A batch that raises gets neutral
-    scores and the message; the rest goes on.
+    Only the text column travels to Python.  A text that raises gets neutral
+    scores and the message; a failing batch is halved until only such texts are
+    left, so the others keep their scores.
     """
     names = [f.split()[0] for f in SCORE_FIELDS.split(", ")]
 
+    def scored(texts: pd.Series) -> pd.DataFrame:
+        try:
+            return scorer(texts).reset_index(drop=True)[names].assign(error=None)
+        except Exception as problem:  # noqa: BLE001 - any scorer failure is recorded, not raised
+            if len(texts) > 1:
+                middle = len(texts) // 2
+                halves = (texts.iloc[:middle], texts.iloc[middle:])
+                return pd.concat([scored(h.reset_index(drop=True)) for h in halves], ignore_index=True)
+            neutral = {"sentiment": 0.0, "severity": 0.0, "topics": [[]], "language": cfg.language, "confidence": 0.0}
+            return pd.DataFrame({**neutral, "error": [str(problem)]})
+
     @F.pandas_udf(f"{SCORE_FIELDS}, error string")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
-            try:
-                scores = scorer(texts).reset_index(drop=True)[names].assign(error=None)
-            except Exception as problem:  # noqa: BLE001 - any scorer failure is recorded, not raised
-                scores = pd.DataFrame(
-                    {
-                        "sentiment": 0.0, "severity": 0.0, "topics": [[] for _ in texts],
-                        "language": cfg.language, "confidence": 0.0, "error": str(problem),
-                    }
-                )
-            yield scores
-
-    cleaned = scoring_text(F.coalesce(F.col(text), F.lit("")), cfg.max_chars)
+            yield scored(texts)
+
+    cleaned = scoring_text(F.coalesce(F.col(text), F.lit("")))
     scores = F.col("_scores")
     return (
         df.withColumn("_scores", run(cleaned))
@@ -166,32 +168,33 @@ def parse_response(response: Column, cfg: EnrichSettings = DEFAULT_ENRICH) -> Co
 def re_enrich(
     spark: SparkSession,
     path: str,
-    schema: str,
     days: DateRange,
     processed_at: Column,
     cfg: EnrichSettings = DEFAULT_ENRICH,
-) -> DataFrame:
+) -> None:
     """Recompute the scores of the chosen day folders in place.
 
-    Rows without text keep what they had.  The new rows are staged before the
-    folders are replaced.
+    Only the score members of a line change: its other members stay, whatever
+    they are.  Lines without text and lines that are not JSON objects are
+    written back as they are.
     """
-    stored = read_landing(spark, path, schema, days)
-    source = F.nullif(F.col("text"), F.lit(""))
-    scores = lexicon_scores(cfg)
-    scores |= _audit(cfg.scorer_name, cfg.scorer_version, processed_at)
-    before = {name: F.col(name) if name in stored.columns else F.lit(None) for name in scores}
-    ready = stage(
-        prepared(stored, source, cfg)
-        .withColumns({n: F.when(source.isNotNull(), s).otherwise(before[n]) for n, s in scores.items()})
-        .drop("_clean", "_low"),
-        "re-enrich",
+    lines = in_days(spark.read.schema("value string, dt date").text(path), days)
+    record = F.from_json("value", "map<string,variant>")
+    source = F.nullif(F.get_json_object("value", "$.text"), F.lit(""))
+    scores = {**lexicon_scores(cfg), **_audit(cfg.scorer_name, cfg.scorer_version, processed_at)}
+    fresh = F.from_json(F.to_json(F.struct(*[c.alias(n) for n, c in scores.items()])), "map<string,variant>")
+    kept = F.map_filter(F.col("_record"), lambda name, _: ~name.isin(list(scores)))
+    scored = F.to_json(F.map_concat(kept, fresh))
+    changed = (
+        prepared(lines.withColumn("_record", record), F.coalesce(source, F.lit("")), cfg)
+        .withColumn("value", F.when(F.col("_record").isNotNull() & source.isNotNull(), scored).otherwise(F.col("value")))
+        .select("value", "dt")
     )
+    # The scan ends before the new folders replace the old ones.
     (
-        ready.write.mode("overwrite")
+        changed.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "gzip")
         .partitionBy("dt")
-        .json(path)
+        .text(path)
     )
-    return ready

@@ -10,11 +10,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pulsemart.functions.plan import computed_once
-from pulsemart.functions.text import contains_any, quote
+from pulsemart.functions.text import contains_any, quote, strip
 from pulsemart.settings import DEFAULT_MENTION, MENTION_TERMS, MentionSettings
 
 # A neighbour that is a letter or digit of any script means "inside a word".
@@ -24,33 +23,24 @@ _NOT_BEFORE = r"(?![\p{L}\p{N}])"
 Dictionary = Mapping[str, Sequence[str]]
 
 
-def _term_table(terms: Sequence[str], cfg: MentionSettings) -> Column:
-    if len(terms) > cfg.max_terms:
-        raise ValueError(f"dictionary has {len(terms)} terms; at most {cfg.max_terms} fit in a plan")
-    return F.array(
-        *[
-            F.struct(
-                F.lit(t).alias("term"),
-                F.lit(t.lower()).alias("lowered"),
-                F.lit(f"(?={quote(t.lower())})").alias("anywhere"),
-                F.lit(f"{_NOT_AFTER}(?={quote(t.lower())}{_NOT_BEFORE})").alias("edged"),
-                F.lit(len(t) <= cfg.strict_length).alias("strict"),
-            )
-            for t in terms
-        ]
-    )
+def _anywhere(term: str) -> str:
+    return f"(?={quote(term.lower())})"
+
+
+def _edged(term: str) -> str:
+    return f"{_NOT_AFTER}(?={quote(term.lower())}{_NOT_BEFORE})"
 
 
 def _brand_hits(lowered: Column, terms: Sequence[str], cfg: MentionSettings) -> Column:
     """Per matched term: number of counted hits and of hits with word edges."""
-    present = F.filter(_term_table(terms, cfg), lambda t: lowered.contains(t["lowered"]))
 
-    def count(t: Column) -> Column:
-        edged = F.regexp_count(lowered, t["edged"])
-        counted = F.when(t["strict"], edged).otherwise(F.regexp_count(lowered, t["anywhere"]))
-        return F.struct(t["term"].alias("term"), counted.alias("hits"), edged.alias("edged"))
+    def count(term: str) -> Column:
+        edged = F.regexp_count(lowered, F.lit(_edged(term)))
+        counted = edged if len(term) <= cfg.strict_length else F.regexp_count(lowered, F.lit(_anywhere(term)))
+        found = F.struct(F.lit(term).alias("term"), counted.alias("hits"), edged.alias("edged"))
+        return F.when(lowered.contains(term.lower()), found)
 
-    return F.filter(F.transform(present, count), lambda h: h["hits"] > 0)
+    return F.filter(F.array(*[count(t) for t in terms]), lambda h: h.isNotNull() & (h["hits"] > 0))
 
 
 def _total(hits: Column, field: str) -> Column:
@@ -81,7 +71,7 @@ def detect_mentions(
     """
     brands = list(dictionary)
     lowered = F.col("_lowered")
-    usable = F.length(F.trim(F.col(text))) >= cfg.min_chars
+    usable = F.length(strip(F.col(text))) >= cfg.min_chars
     out = df.withColumn("_lowered", F.when(usable, F.lower(text)))
     out = out.withColumns(
         {
@@ -138,48 +128,62 @@ def accept_mentions(
     )
 
 
-_POSITION = (
-    "array<struct<term:string,position:int,length:int,context:string,word_boundary:boolean,confidence:double>>"
-)
+_POSITION = "array<struct<term:string,position:int,length:int,context:string,word_boundary:boolean,confidence:double>>"
 
 
-def mention_positions(
-    detected: DataFrame, key: str, text: str = "text", cfg: MentionSettings = DEFAULT_MENTION
-) -> DataFrame:
-    """One row per hit of the matched terms: offset, neighbours and context."""
-
-    @F.pandas_udf(_POSITION)
-    def locate(texts: pd.Series, terms: pd.Series) -> pd.Series:
-        return pd.Series([_locate(t, list(ts), cfg) for t, ts in zip(texts, terms)])
+def _starts(lowered: Column, term: str) -> Column:
+    """Offsets of all hits, overlapping ones too: a text cut before each hit, and the lengths of the pieces added up."""
+    pieces = F.split(lowered, _anywhere(term), -1)
+    none = F.array().cast("array<int>")
+    ends = F.aggregate(
+        F.slice(pieces, 1, F.size(pieces) - 1),
+        F.struct(none.alias("all"), F.lit(0).alias("at")),
+        lambda done, piece: F.struct(
+            F.concat(done["all"], F.array(done["at"] + F.length(piece))).alias("all"),
+            (done["at"] + F.length(piece)).alias("at"),
+        ),
+    )["all"]
+    # A hit at the very beginning cuts nothing off.
+    return F.concat(F.when(lowered.startswith(term.lower()), F.array(F.lit(0))).otherwise(none), ends)
+
+
+def _term_hits(lowered: Column, text: Column, term: str, cfg: MentionSettings) -> Column:
+    size = len(term)
+
+    def hit(at: Column) -> Column:
+        around = F.concat(F.when(at > 0, F.substring(lowered, at, 1)).otherwise(""), F.substring(lowered, at + size + 1, 1))
+        edged = ~around.rlike(r"[\p{L}\p{N}]")
+        first = F.greatest(at - cfg.context_chars, F.lit(0))
+        return F.struct(
+            F.lit(term).alias("term"),
+            at.alias("position"),
+            F.lit(size).alias("length"),
+            F.substring(text, first + 1, at + size + cfg.context_chars - first).alias("context"),
+            edged.alias("word_boundary"),
+            F.when(edged, cfg.edge_confidence).otherwise(cfg.inner_confidence).cast("double").alias("confidence"),
+        )
 
-    found = detected.filter(F.size("matched_terms") > 0)
-    return found.select(key, "mention_brand", F.explode(locate(text, "matched_terms")).alias("hit")).select(
-        key, "mention_brand", "hit.*"
-    )
+    hits = F.transform(_starts(lowered, term), hit)
+    return F.filter(hits, lambda h: h["word_boundary"]) if size <= cfg.strict_length else hits
 
 
-def _locate(text: str, terms: list[str], cfg: MentionSettings) -> list[dict]:
-    lowered, hits = text.lower(), []
-    for term in terms:
-        needle = term.lower()
-        at = lowered.find(needle)
-        while at >= 0:
-            end = at + len(needle)
-            before, after = lowered[at - 1 : at] if at else "", lowered[end : end + 1]
-            edged = not (before.isalnum() or after.isalnum())
-            if edged or len(needle) > cfg.strict_length:
-                hits.append(
-                    {
-                        "term": term,
-                        "position": at,
-                        "length": len(term),
-                        "context": text[max(0, at - cfg.context_chars) : at + len(term) + cfg.context_chars],
-                        "word_boundary": edged,
-                        "confidence": cfg.edge_confidence if edged else cfg.inner_confidence,
-                    }
-                )
-            at = lowered.find(needle, at + 1)
-    return hits
+def mention_positions(
+    detected: DataFrame,
+    key: str,
+    dictionary: Dictionary = MENTION_TERMS,
+    text: str = "text",
+    cfg: MentionSettings = DEFAULT_MENTION,
+) -> DataFrame:
+    """One row per hit of the matched terms: offset, neighbours and context."""
+    terms = list(dict.fromkeys(t for listed in dictionary.values() for t in listed))
+    lowered = F.col("_lowered")
+    parts = [
+        F.when(F.array_contains("matched_terms", t), _term_hits(lowered, F.col(text), t, cfg)) for t in terms
+    ]
+    hits = F.flatten(F.array_compact(F.array(*parts))).cast(_POSITION)
+    # Every hit looks at its neighbours, so the text is lowered once, not once per hit.
+    found = computed_once(detected.filter(F.size("matched_terms") > 0), "_lowered", F.lower(text))
+    return found.select(key, "mention_brand", F.explode(hits).alias("hit")).select(key, "mention_brand", "hit.*")
 
 
 def mentions_any(lowered: Column, terms: Sequence[str]) -> Column:

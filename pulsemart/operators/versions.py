@@ -32,18 +32,29 @@ def _hashable(df: DataFrame, name: str) -> Column:
     return F.to_json(F.struct(F.col(name))) if kind in ("map", "variant") else F.col(name)
 
 
+def merged_versions(
+    stored: DataFrame, updates: DataFrame, keys: Sequence[str], newest: Sequence[str | Column]
+) -> DataFrame:
+    """Stored and incoming rows, one per key; on equal ``newest`` columns the stored row stays.
+
+    Only stored rows whose key is updated are ranked; the others pass through a
+    filter by key, which costs no shuffle when the updates can be broadcast.
+    """
+    incoming = updates.select(*keys)
+    rivals = stored.join(incoming, list(keys), "left_semi").withColumn("_stored", F.lit(1)).unionByName(
+        updates.withColumn("_stored", F.lit(0)), allowMissingColumns=True
+    )
+    latest = latest_version(rivals, keys, [*newest, "_stored"]).drop("_stored")
+    return stored.join(incoming, list(keys), "left_anti").unionByName(latest, allowMissingColumns=True)
+
+
 def merge_latest(target: DataFrame, updates: DataFrame, keys: Sequence[str], changed: Column) -> DataFrame:
     """Result of an idempotent merge: insert new keys, update when newer.
 
     ``changed`` is the version stamp, e.g. ``coalesce(edited, ts_event)``.  On
     equal stamps the stored row stays.
     """
-    both = (
-        target.withColumn("_stored", F.lit(1))
-        .unionByName(updates.withColumn("_stored", F.lit(0)), allowMissingColumns=True)
-        .withColumn("_stamp", changed)
-    )
-    return latest_version(both, keys, ["_stamp", "_stored"]).drop("_stored", "_stamp")
+    return merged_versions(target, updates, keys, [changed])
 
 
 def only_new(incoming: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:

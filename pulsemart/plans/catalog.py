@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from pulsemart.functions.ids import fingerprint, social_event_id
 from pulsemart.functions.parsing import approval_share
@@ -366,7 +367,7 @@ def mention_acceptance(spark, folder):
 
 @query
 def mention_positions(spark, folder):
-    hits = mentions.mention_positions(_mentions(spark, folder), "doc_id")
+    hits = mentions.mention_positions(_mentions(spark, folder), "doc_id", samples.MENTION_TERMS)
     return tidy(
         hits.groupBy("doc_id", "mention_brand", "term").agg(
             F.count(F.lit(1)).alias("hits"), F.count_if("word_boundary").alias("edged"),
@@ -649,15 +650,27 @@ def fetch_cutoffs(spark, folder):
     rows = samples.table(spark, folder, "events")
     asked = F.when(F.col("user_id") % 3 == 0, F.col("user_id") * 100)
     cursor = F.when(F.col("user_id") % 3 == 1, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
-    return rows.select("event_id", cursors.fetch_cutoff(asked, cursor, _run_ts()).alias("cutoff"))
+    initial = F.col("user_id") % 5 == 0
+    return rows.select("event_id", cursors.fetch_cutoff(asked, cursor, _run_ts(), initial=initial).alias("cutoff"))
 
 
 @query
 def cursor_advance(spark, folder):
     state = _state(spark, folder).filter("source in ('reddit_view', 'reddit_error', 'reddit_click')")
-    accepted = samples.table(spark, folder, "events").select(
+    events = samples.table(spark, folder, "events")
+    # Signups arrive at the stored time, some with a larger id; purchases with none.
+    tie = events.filter("event_type in ('signup', 'purchase')").groupBy("event_type").agg(
+        F.min(F.col("event_id").cast("string")).alias("low"), F.max(F.col("event_id").cast("string")).alias("high")
+    )
+    state = state.unionByName(tie.select(
+        F.concat(F.lit("reddit_"), "event_type").alias("source"), F.lit("2024-01-05T00:00:00Z").alias("cursor_iso"),
+        F.when(F.col("event_type") == "signup", F.col("low")).otherwise(F.col("high")).alias("tie_breaker_id"),
+        _run_ts().alias("updated_at"),
+    ))
+    accepted = events.select(
         F.concat(F.lit("reddit_"), "event_type").alias("source"),
         F.when(F.col("event_type") == "click", F.timestamp_add("DAY", F.lit(-60), F.col("ts")))
+        .when(F.col("event_type").isin("signup", "purchase"), F.lit("2024-01-05 00:00:00.25").cast("timestamp"))
         .otherwise(F.timestamp_add("HOUR", F.lit(5), F.col("ts"))).alias("ts_event"),
         F.col("event_id").alias("native_id"),
     )
@@ -674,7 +687,6 @@ def run_report(spark, folder):
 ENRICH = EnrichSettings(
     positive=("ering", "onen", "les", "und"), negative=("thou", "elle", "der", "anon"),
     severe=("ontion", "eau", "erst"), topics=("of_the", "the_on", "le_les", "der_die", "ering", "que", "and_the"),
-    max_chars=10_000_000,
 )
 
 
@@ -985,51 +997,83 @@ def upserted_table(spark, folder):
     return tidy(spark.read.parquet(path).select("event_id", "ts_event", "nlp_processed_at", "text", "value"))
 
 
+@query
+def upserted_ties(spark, folder):
+    """Half of the incoming rows carry the stored stamp; those stay out."""
+    path = scratch_path(spark, "upsert")
+    rows = _landed(spark, folder).withColumn("dt", F.to_date("ts_event"))
+    tied = F.regexp_extract("event_id", r"(\d+)$", 1).cast("bigint") % 2 == 0
+    stamp = F.when(tied, F.col("ts_event")).otherwise(F.timestamp_add("SECOND", F.lit(1), F.col("ts_event")))
+    tables.upsert(spark, path, rows, ["event_id"], ["ts_event"])
+    changed = rows.filter("value > 20").withColumns({"ts_event": stamp, "text": F.lit("changed")})
+    tables.upsert(spark, path, changed, ["event_id"], ["ts_event"])
+    return tidy(spark.read.parquet(path).select("event_id", "ts_event", "text", "value"))
+
+
+@query
+def appended_events(spark, folder):
+    path = scratch_path(spark, "append")
+    rows = _landed(spark, folder).withColumn("dt", F.to_date("ts_event"))
+    tables.append_new(spark, path, rows.filter("value < 60"), ["event_id"])
+    tables.append_new(spark, path, rows.unionByName(rows.filter("value < 10")), ["event_id"])
+    return tidy(spark.read.parquet(path).select("event_id", "ts_event", "brand_id", "text", "value"))
+
+
 @query
 def re_enriched_days(spark, folder):
+    """Members outside the schema and lines that are not JSON survive."""
     path = scratch_path(spark, "re-enrich")
     rows = samples.reddit_events_feed(spark, folder).select("event_id", "ts_event", "text", "sentiment", "severity")
-    landing.write_landing(rows, path)
-    schema = "event_id string, ts_event timestamp, text string, sentiment double, severity double"
-    enrich.re_enrich(spark, path, schema, DateRange("2024-01-10", "2024-01-12"), _run_ts(), ENRICH)
-    return tidy(landing.read_landing(spark, path, schema).select("event_id", "sentiment", "severity"))
+    landing.write_landing(rows.withColumn("extra", F.struct(F.length("text").alias("chars"))), path)
+    bad = rows.select(F.concat(F.lit("not json "), F.col("event_id")).alias("value"), F.to_date("ts_event").alias("dt"))
+    bad.write.mode("append").partitionBy("dt").text(path)
+    enrich.re_enrich(spark, path, DateRange("2024-01-10", "2024-01-12"), _run_ts(), ENRICH)
+    schema = "event_id string, ts_event timestamp, text string, sentiment double, severity double, extra struct<chars:int>"
+    stored = landing.read_landing(spark, path, schema)
+    lines = spark.read.schema("value string, dt date").text(path).filter("value like 'not json %'")
+    good = stored.select("event_id", "sentiment", "severity", F.col("extra.chars").alias("chars"))
+    other = lines.select(F.substring("value", 10, 200).alias("event_id"), *[F.lit(None).cast(t).alias(n) for n, t in (("sentiment", "double"), ("severity", "double"), ("chars", "int"))])
+    return tidy(good.unionByName(other))
+
+
+def _in_runs(spark, folder, job: Callable[[DataFrame], StreamingQuery]) -> None:
+    """Land the events in three parts, each over all days, and run the job after each: two parts are late."""
+    path = scratch_path(spark, "landing")
+    rows = _landed(spark, folder)
+    for part in range(3):
+        again = rows.filter(F.abs(F.hash("event_id")) % 12 == part)  # some arrive a second time
+        landing.write_landing(rows.filter(F.abs(F.hash("event_id")) % 3 == part).unionByName(again), path)
+        job(jobs.landing_stream(spark, path, LANDED)).awaitTermination()
 
 
 @query
 def stream_deduplicated(spark, folder):
-    """Events written to landing day by day, then read as a stream without repeats."""
-    path, out = scratch_path(spark, "landing"), scratch_path(spark, "stream-out")
-    landing.write_landing(_landed(spark, folder), path)
-    stream = jobs.deduplicated(jobs.landing_stream(spark, path, LANDED))
-    jobs.append_parquet(stream, out, scratch_path(spark, "stream-state")).awaitTermination()
+    """Events that land late and repeatedly, each kept once."""
+    out, state = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-state")
+    _in_runs(spark, folder, lambda s: jobs.append_unique(s, out, state))
     return tidy(spark.read.parquet(out).select("event_id", "ts_event", "brand_id", "text", "value"))
 
 
 @query
 def stream_upserted(spark, folder):
-    path, out = scratch_path(spark, "landing"), scratch_path(spark, "stream-table")
-    landing.write_landing(_landed(spark, folder), path)
-    stream = jobs.landing_stream(spark, path, LANDED)
-    jobs.upsert_events(stream, out, scratch_path(spark, "stream-state"), ["event_id"], ["ts_event"]).awaitTermination()
+    out, state = scratch_path(spark, "stream-table"), scratch_path(spark, "stream-state")
+    _in_runs(spark, folder, lambda s: jobs.upsert_events(s, out, state, ["event_id"], ["ts_event"]))
     return tidy(spark.read.parquet(out).select("event_id", "ts_event", "brand_id", "value"))
 
 
-def _daily_stream(spark, folder) -> DataFrame:
-    path = scratch_path(spark, "landing")
-    landing.write_landing(_landed(spark, folder), path)
-    return jobs.daily_counts(jobs.landing_stream(spark, path, LANDED), F.col("value"))
+def _daily_tables(spark) -> jobs.DailyTables:
+    return jobs.DailyTables(scratch_path(spark, "stream-events"), scratch_path(spark, "stream-daily"))
 
 
 @query
 def stream_daily(spark, folder):
-    out = scratch_path(spark, "stream-daily")
-    jobs.publish_daily(_daily_stream(spark, folder), out, scratch_path(spark, "stream-state")).awaitTermination()
-    return tidy(spark.read.parquet(out).select("date", "brand_id", "volume", "mean_value"))
+    out, state = _daily_tables(spark), scratch_path(spark, "stream-state")
+    _in_runs(spark, folder, lambda s: jobs.publish_daily(s, out, state, F.col("value")))
+    return tidy(spark.read.parquet(out.daily).select("date", "brand_id", "volume", "mean_value"))
 
 
 @query
 def stream_alerts(spark, folder):
-    out, found = scratch_path(spark, "stream-daily"), scratch_path(spark, "stream-alerts")
-    state = scratch_path(spark, "stream-state")
-    jobs.alert_on_spikes(_daily_stream(spark, folder), out, found, state).awaitTermination()
-    return tidy(spark.read.parquet(found).select("date", "brand_id", "volume", "previous_volume", "change_pct"))
+    out, found, state = _daily_tables(spark), scratch_path(spark, "stream-alerts"), scratch_path(spark, "stream-state")
+    _in_runs(spark, folder, lambda s: jobs.alert_on_spikes(s, out, found, state, F.col("value")))
+    return tidy(spark.read.parquet(found).filter("alert").select("date", "brand_id", "volume", "previous_volume", "change_pct"))

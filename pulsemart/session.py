@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -66,3 +68,41 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+class Staging:
+    """Staged tables of one write: ``with Staging(spark) as area`` deletes them once the write is done."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.path = spark, scratch_path(spark, "staging")
+
+    def __enter__(self) -> Staging:
+        return self
+
+    def stage(self, df: DataFrame, name: str) -> DataFrame:
+        path = f"{self.path}/{name}-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def __exit__(self, *_: object) -> None:
+        folder = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
+        folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per session.
+
+    Needed where it is not installed on every machine; functions that run in workers are found by import.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_pulsemart_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="pulsemart-"), "pulsemart.zip")
+    with zipfile.ZipFile(target, "w") as bundle:
+        for folder, _, names in os.walk(root):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                path = os.path.join(folder, name)
+                bundle.write(path, os.path.join("pulsemart", os.path.relpath(path, root)))
+    context.addPyFile(target)
+    context._pulsemart_shipped = True

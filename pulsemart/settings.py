@@ -104,7 +104,6 @@ class EnrichSettings:
     severe: tuple[str, ...] = ENRICH_SEVERE
     topics: tuple[str, ...] = BANK_TOPICS
     max_topics: int = 3
-    max_chars: int = 2000
     min_chars: int = 10
     sentiment_step: float = 0.2
     severity_step: float = 0.3
@@ -393,7 +392,6 @@ class MentionSettings:
     min_chars: int = 2
     accept_above: float = 0.3
     context_chars: int = 20
-    max_terms: int = 5000
 
 
 @dataclass(frozen=True)

@@ -15,12 +15,15 @@ def by_partition(df: DataFrame, *columns: str) -> DataFrame:
     return df.hint("rebalance", *columns)
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Use every core on a table stored in very few row groups.
+#: Session setting: partitions to deal a table's rows over when it is read.
+SPREAD_SETTING = "spark.pulsemart.spreadPartitions"
 
-    A file with one row group is one task, however costly its rows are.  Such a
-    table is redistributed by a key with many values; a table that already has
-    a task per core, as any large one has, is left as it is.
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Deal out a table that is stored in very few row groups, if the session asks for it.
+
+    A file with one row group is one task, however costly its rows are.  The
+    plan depends on the setting alone; without it nothing is shuffled.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+    partitions = df.sparkSession.conf.get(SPREAD_SETTING, None)
+    return df.repartition(int(partitions), *keys) if partitions else df

@@ -45,16 +45,16 @@ MENTION_TERMS = {
 }
 
 
-# Tables whose rows are worth spreading, with the column to spread by.
+# Tables whose rows are worth spreading, with the columns to spread by.
 SPREAD_BY = {
-    "documents": "doc_id", "conversations": "text", "lineitem": "l_orderkey", "orders": "o_orderkey",
-    "events": "event_id", "embeddings": "vec_id",
+    "documents": ("doc_id",), "conversations": ("conv_id", "turn"), "lineitem": ("l_orderkey", "l_linenumber"),
+    "orders": ("o_orderkey",), "events": ("event_id",), "embeddings": ("vec_id",),
 }
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     rows = spark.read.parquet(f"{folder}/{name}.parquet")
-    return spread(rows, SPREAD_BY[name]) if name in SPREAD_BY else rows
+    return spread(rows, *SPREAD_BY[name]) if name in SPREAD_BY else rows
 
 
 def brand_of(number: Column) -> Column:
@@ -77,18 +77,18 @@ def country_of(number: Column) -> Column:
 
 
 def twitter_feed(spark: SparkSession, folder: str) -> DataFrame:
-    """One post per document; counters and author from the event of the same number."""
+    """One post per event; the document of the same number is the text, else the event's kind."""
     docs, events = table(spark, folder, "documents"), table(spark, folder, "events")
-    user, at = F.col("user_id"), iso(day_of(F.col("doc_id")), F.date_format("ts", "HH:mm:ss"))
-    return docs.join(events, docs["doc_id"] == events["event_id"]).select(
+    user, at = F.col("user_id"), iso(day_of(F.col("event_id")), F.date_format("ts", "HH:mm:ss"))
+    return events.join(docs, docs["doc_id"] == events["event_id"], "left").select(
         brand_of(user).alias("brand_id"),
-        F.col("doc_id").cast("string").alias("tweet_id"),
+        F.col("event_id").cast("string").alias("tweet_id"),
         at.alias("ts_event"),
         user.cast("string").alias("author_id"),
         F.concat(F.lit("user"), user.cast("string")).alias("author_username"),
         (user % 10 == 0).alias("author_verified"),
         F.lit(None).cast("string").alias("author_location"),
-        "text", "lang",
+        F.coalesce("text", "event_type").alias("text"), F.coalesce("lang", F.lit("en")).alias("lang"),
         F.floor(F.col("value") / 10).cast("bigint").alias("like_count"),
         (user % 5).cast("bigint").alias("reply_count"),
         F.floor(F.col("value") / 50).cast("bigint").alias("retweet_count"),
@@ -209,23 +209,24 @@ def complaints_feed(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def complaints_export_feed(spark: SparkSession, folder: str) -> DataFrame:
-    """One export row per document; order and customer give dates and places."""
+    """One export row per order; the document of the same number is the narrative, else a line about the order."""
     docs, orders, customers, nations = (
         table(spark, folder, n) for n in ("documents", "orders", "customer", "nation")
     )
-    received = day_of(F.col("doc_id"))
-    text = F.lit(None).cast("string")
+    number, text = F.col("o_orderkey"), F.lit(None).cast("string")
+    received = day_of(number)
+    line = F.concat(F.lit("Order of priority "), F.col("o_orderpriority"), F.lit(" with state "), F.col("o_orderstatus"))
     return (
-        docs.join(orders, docs["doc_id"] == orders["o_orderkey"])
+        orders.join(docs, docs["doc_id"] == orders["o_orderkey"], "left")
         .join(customers, orders["o_custkey"] == customers["c_custkey"])
         .join(nations, customers["c_nationkey"] == nations["n_nationkey"])
         .select(
-            F.col("doc_id").cast("string").alias("Complaint_ID"),
-            F.col("text").alias("Consumer_complaint_narrative"),
+            number.cast("string").alias("Complaint_ID"),
+            F.coalesce("text", line).alias("Consumer_complaint_narrative"),
             _cases("c_mktsegment", PRODUCTS, PRODUCT_ELSE).alias("Product"),
             text.alias("Sub_product"),
             F.col("o_orderpriority").alias("Issue"),
-            F.col("lang").alias("Sub_issue"),
+            F.coalesce("lang", F.lit("en")).alias("Sub_issue"),
             F.concat(F.lit("Company "), F.col("c_nationkey").cast("string")).alias("Company"),
             F.col("n_name").alias("State"),
             (F.col("c_custkey") % 100).cast("string").alias("ZIP_code"),
@@ -312,22 +313,22 @@ def event_versions(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def search_events(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents as enriched events with vectors where an embedding exists."""
+    """Events with the document and the vector of the same number, where they exist."""
     docs, vectors, events = (table(spark, folder, n) for n in ("documents", "embeddings", "events"))
-    d, size = F.col("doc_id"), F.col("n_chars")
+    e, size = F.col("event_id"), F.coalesce("n_chars", F.length("event_type"))
     return (
-        docs.join(events.select("event_id", "user_id"), docs["doc_id"] == events["event_id"])
-        .drop("event_id")
-        .join(vectors, docs["doc_id"] == vectors["vec_id"], "left")
+        events.select("event_id", "user_id", "event_type")
+        .join(docs, docs["doc_id"] == events["event_id"], "left")
+        .join(vectors, e == vectors["vec_id"], "left")
         .select(
-            d.alias("event_id"),
+            "event_id",
             brand_of(F.col("user_id")).alias("brand_id"),
-            "source",
-            day_of(d).cast("timestamp").alias("ts_event"),
-            "text",
+            F.coalesce("source", F.lit("events")).alias("source"),
+            day_of(e).cast("timestamp").alias("ts_event"),
+            F.coalesce("text", "event_type").alias("text"),
             F.when(size % 13 != 0, (size % 21 - 10) / F.lit(10.0)).alias("sentiment"),
             ((size % 10) / F.lit(10.0)).alias("severity"),
-            F.array(F.col("lang"), F.concat(F.lit("t"), (size % 4).cast("string"))).alias("topics"),
+            F.array(F.coalesce("lang", F.lit("en")), F.concat(F.lit("t"), (size % 4).cast("string"))).alias("topics"),
             F.lit(0.6).alias("nlp_confidence"),
             F.lit("lexicon").alias("nlp_model"),
             country_of(F.col("user_id")).alias("geo_country"),

@@ -6,8 +6,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pulsemart.operators.versions import latest_version
-from pulsemart.session import stage
+from pulsemart.operators.versions import latest_version, merged_versions
+from pulsemart.session import Staging
 from pulsemart.sources.layout import by_partition
 
 
@@ -46,8 +46,9 @@ def replace_with_backup(df: DataFrame, path: str, backup_path: str) -> DataFrame
     """
     spark = df.sparkSession
     spark.read.parquet(path).write.mode("overwrite").parquet(backup_path)
-    ready = stage(df, "replace")
-    ready.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    with Staging(spark) as area:
+        ready = area.stage(df, "replace")
+        ready.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
     return spark.read.parquet(path)
 
 
@@ -62,48 +63,49 @@ def upsert(
     """Keyed upsert of a partitioned Parquet table; repeating it changes nothing.
 
     A key keeps the partition of its first insert, so only partitions that hold
-    an incoming key, or receive a new one, are rewritten.
+    an incoming key, or receive a new one, are rewritten.  A stored row wins
+    against an incoming one with equal ``newest`` columns.  Rows of keys that
+    are not in the batch pass through without a shuffle when the batch is small
+    enough for Spark to broadcast.
     """
     incoming = latest_version(updates, keys, newest)
     if not _has_data(spark, path):
         by_partition(incoming, partition).write.mode("append").partitionBy(partition).parquet(path)
         return
     table = spark.read.parquet(path)
-    # The staged batch has a known size: a small one is broadcast to the key
-    # scan, so the stored keys are shuffled only for a batch of their own order.
-    batch = stage(incoming, "upsert-in")
-    home = table.select(*keys, F.col(partition).alias("_home")).join(
-        batch.select(*keys), list(keys), "left_semi"
-    )
-    placed = stage(
-        batch.join(home, list(keys), "left")
-        .withColumn(partition, F.coalesce("_home", partition))
-        .drop("_home"),
-        "upsert-placed",
-    )
-    # One value per table partition; as literals they prune the scan.
-    touched = [row[0] for row in placed.select(partition).distinct().collect()]
-    affected = table.filter(F.col(partition).isin(touched))
-    merged = stage(
-        latest_version(affected.unionByName(placed, allowMissingColumns=True), keys, newest),
-        "upsert-out",
-    )
-    (
-        by_partition(merged, partition)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition)
-        .parquet(path)
-    )
+    with Staging(spark) as area:
+        # Read several times below; staged, its size is known.
+        batch = area.stage(incoming, "batch")
+        home = table.select(*keys, F.col(partition).alias("_home")).join(batch.select(*keys), list(keys), "left_semi")
+        placed = (
+            batch.join(home, list(keys), "left")
+            .withColumn(partition, F.coalesce("_home", partition))
+            .drop("_home")
+        )
+        # A value per touched table partition, fewer than the file index lists; as literals they prune the scan.
+        touched = [row[0] for row in placed.select(partition).distinct().collect()]
+        affected = table.filter(F.col(partition).isin(touched))
+        merged = merged_versions(affected, placed, keys, newest)
+        # The scan ends before the new folders replace the old ones, so no copy of the result is staged.
+        (
+            by_partition(merged, partition)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(partition)
+            .parquet(path)
+        )
 
 
 def append_new(spark: SparkSession, path: str, incoming: DataFrame, keys: Sequence[str], partition: str = "dt") -> None:
-    """Insert only keys the table does not hold yet."""
-    fresh = incoming
-    if _has_data(spark, path):
+    """Insert only keys the table does not hold yet; of repeats in ``incoming``, one."""
+    fresh = latest_version(incoming, keys, [])
+    if not _has_data(spark, path):
+        by_partition(fresh, partition).write.mode("append").partitionBy(partition).parquet(path)
+        return
+    with Staging(spark) as area:
         known = spark.read.parquet(path).select(*keys)
-        fresh = stage(incoming.join(known, list(keys), "left_anti"), "append")
-    by_partition(fresh, partition).write.mode("append").partitionBy(partition).parquet(path)
+        ready = area.stage(fresh.join(known, list(keys), "left_anti"), "append")
+        by_partition(ready, partition).write.mode("append").partitionBy(partition).parquet(path)
 
 
 def _has_data(spark: SparkSession, path: str) -> bool:

@@ -2,24 +2,23 @@
 
 Each job reads what is new and stops (``availableNow``), which is how the daily
 schedule runs them; with another trigger they run continuously.  Checkpoints
-live in the folder the caller names.
+live in the folder the caller names.  Late and repeated events are settled by
+key in the tables themselves, never dropped by a watermark.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pulsemart.functions.scores import change_pct
-from pulsemart.session import stage
+from pulsemart.session import Staging
 from pulsemart.settings import AlertSettings
 from pulsemart.sources.landing import parse_lines
-from pulsemart.sources.tables import upsert
-
-OVERLAP = "2 hours"
-
+from pulsemart.sources.tables import append_new, upsert, write_mart
 
 def landing_stream(spark: SparkSession, path: str, schema: str, files_per_batch: int | None = None) -> DataFrame:
     """New landing files as a stream; lines that are not JSON are skipped."""
@@ -29,27 +28,6 @@ def landing_stream(spark: SparkSession, path: str, schema: str, files_per_batch:
     return parse_lines(reader.text(path), schema)
 
 
-def deduplicated(stream: DataFrame, key: str = "event_id", ts: str = "ts_event", overlap: str = OVERLAP) -> DataFrame:
-    """Drop repeats that arrive within the overlap window.
-
-    State is bounded by the watermark; repeats that come later are removed by
-    the keyed upsert behind it.
-    """
-    return stream.withWatermark(ts, overlap).dropDuplicatesWithinWatermark([key])
-
-
-def daily_counts(
-    stream: DataFrame, value: Column, ts: str = "ts_event", brand: str = "brand_id", late: str = "1 day"
-) -> DataFrame:
-    """Volume and mean value per brand and day, updated as data arrives."""
-    return (
-        stream.withWatermark(ts, late)
-        .groupBy(F.window(ts, "1 day"), F.col(brand).alias("brand_id"))
-        .agg(F.count(F.lit(1)).alias("volume"), F.avg(value).alias("mean_value"))
-        .select(F.col("window.start").cast("date").alias("date"), "brand_id", "volume", "mean_value")
-    )
-
-
 def _run(stream: DataFrame, work: Callable[[DataFrame, int], None], checkpoint: str, mode: str) -> StreamingQuery:
     return (
         stream.writeStream.foreachBatch(work)
@@ -60,16 +38,19 @@ def _run(stream: DataFrame, work: Callable[[DataFrame, int], None], checkpoint:
     )
 
 
-def append_parquet(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Exactly-once append of the stream to a Parquet folder."""
-    return (
-        stream.writeStream.format("parquet")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )
+def append_unique(
+    stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str] = ("event_id",), ts: str = "ts_event"
+) -> StreamingQuery:
+    """Every event once, however late it or a repeat of it arrives.
+
+    The table itself remembers the keys, so no watermark is needed, and no row
+    is dropped for being late.  A batch that is run again adds nothing.
+    """
+
+    def work(batch: DataFrame, _: int) -> None:
+        append_new(batch.sparkSession, path, batch.withColumn("dt", F.to_date(ts)), keys)
+
+    return _run(stream, work, checkpoint, "append")
 
 
 def upsert_events(
@@ -83,17 +64,53 @@ def upsert_events(
     return _run(stream, work, checkpoint, "append")
 
 
-def publish_daily(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Latest daily rows of every brand, replacing the day folders they belong to."""
+@dataclass(frozen=True)
+class DailyTables:
+    """Where a daily rollup keeps its events and its daily rows."""
+
+    events: str
+    daily: str
+
+
+def _record_days(
+    spark: SparkSession, area: Staging, batch: DataFrame, tables: DailyTables, value: Column, key: str, ts: str, brand: str
+) -> DataFrame:
+    """Add a batch's events, then count the days they belong to again; returns these days."""
+    rows = area.stage(batch.withColumn("dt", F.to_date(ts)), "events")
+    append_new(spark, tables.events, rows, [key])
+    days = area.stage(rows.select("dt").distinct(), "days")
+    stored = spark.read.parquet(tables.events).join(days, "dt", "left_semi")
+    counted = stored.groupBy(F.col("dt").alias("date"), F.col(brand).alias("brand_id")).agg(
+        F.count(F.lit(1)).alias("volume"), F.avg(value).alias("mean_value")
+    )
+    write_mart(counted.withColumn("dt", F.col("date")), tables.daily, "dt", ("brand_id",))
+    return days
+
+
+def publish_daily(
+    stream: DataFrame,
+    tables: DailyTables,
+    checkpoint: str,
+    value: Column,
+    key: str = "event_id",
+    ts: str = "ts_event",
+    brand: str = "brand_id",
+) -> StreamingQuery:
+    """Volume and mean value per brand and day, from all events so far.
+
+    Events are kept by key; each batch counts only the days it touches again,
+    from the table, so a late event or a repeat changes a day as it should.
+    """
 
     def work(batch: DataFrame, _: int) -> None:
-        upsert(batch.sparkSession, path, batch.withColumn("dt", F.col("date")), ["brand_id", "date"], ["volume"])
+        with Staging(batch.sparkSession) as area:
+            _record_days(batch.sparkSession, area, batch, tables, value, key, ts, brand)
 
-    return _run(stream, work, checkpoint, "update")
+    return _run(stream, work, checkpoint, "append")
 
 
-def spike_alerts(daily: DataFrame, cfg: AlertSettings = AlertSettings()) -> DataFrame:
-    """Rows of the published daily table whose volume jumped over the day before.
+def compared_days(daily: DataFrame, cfg: AlertSettings = AlertSettings()) -> DataFrame:
+    """Each daily row beside the day before, with the change and whether it calls for an alert.
 
     The previous day is found by an equi-join on brand and date, so it works on
     the few days a batch touched as well as on the whole table.
@@ -102,32 +119,44 @@ def spike_alerts(daily: DataFrame, cfg: AlertSettings = AlertSettings()) -> Data
         "brand_id", F.date_add("date", 1).alias("date"), F.col("volume").alias("previous_volume")
     )
     return (
-        daily.join(before, ["brand_id", "date"])
+        daily.join(before, ["brand_id", "date"], "left")
         .withColumn("change_pct", change_pct(F.col("volume"), F.col("previous_volume")))
-        .filter(F.col("change_pct") >= cfg.volume_increase)
-        .select("brand_id", "date", "volume", "previous_volume", "change_pct")
+        .withColumn("alert", F.coalesce(F.col("change_pct") >= cfg.volume_increase, F.lit(False)))
+        .select("brand_id", "date", "volume", "previous_volume", "change_pct", "alert")
     )
 
 
+def spike_alerts(daily: DataFrame, cfg: AlertSettings = AlertSettings()) -> DataFrame:
+    """Rows of the published daily table whose volume jumped over the day before."""
+    return compared_days(daily, cfg).filter("alert").drop("alert")
+
+
 def alert_on_spikes(
-    stream: DataFrame, daily_path: str, alert_path: str, checkpoint: str, cfg: AlertSettings = AlertSettings()
+    stream: DataFrame,
+    tables: DailyTables,
+    alert_path: str,
+    checkpoint: str,
+    value: Column,
+    cfg: AlertSettings = AlertSettings(),
+    key: str = "event_id",
+    ts: str = "ts_event",
+    brand: str = "brand_id",
 ) -> StreamingQuery:
-    """Publish daily rows and write the alerts of the days the batch touched."""
+    """Publish daily rows and the alerts of the days that a batch can change.
 
-    def work(batch: DataFrame, epoch: int) -> None:
+    A day is compared again when it, or the day before it, was touched.  Its
+    folder then holds a row for each brand with a comparison, with ``alert``
+    set or not, so an alert that no longer holds is replaced.
+    """
+
+    def work(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
-        # Read three times below; staging runs the batch once.
-        rows = stage(batch.withColumn("dt", F.col("date")), "alert-batch")
-        upsert(spark, daily_path, rows, ["brand_id", "date"], ["volume"])
-        stored = spark.read.parquet(daily_path)
-        # A new day, or a day before it, may change the comparison.
-        days = rows.select(
-            F.explode(F.array(F.col("date"), F.date_add("date", 1), F.date_sub("date", 1))).alias("date")
-        ).distinct()
-        spike_alerts(stored.join(days, "date", "left_semi").drop("dt"), cfg).withColumn(
-            "batch", F.lit(epoch)
-        ).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(
-            alert_path
-        )
-
-    return _run(stream, work, checkpoint, "update")
+        with Staging(spark) as area:
+            days = _record_days(spark, area, batch, tables, value, key, ts, brand)
+            near = days.select(F.explode(F.array(F.date_sub("dt", 1), F.col("dt"), F.date_add("dt", 1))).alias("dt"))
+            stored = spark.read.parquet(tables.daily).join(near.distinct(), "dt", "left_semi").drop("dt")
+            due = days.select(F.explode(F.array(F.col("dt"), F.date_add("dt", 1))).alias("date")).distinct()
+            compared = compared_days(stored, cfg).join(due, "date", "left_semi")
+            write_mart(compared.withColumn("dt", F.col("date")), alert_path, "dt", ("brand_id",))
+
+    return _run(stream, work, checkpoint, "append")

@@ -1,13 +1,15 @@
 import datetime as dt
 import gzip
 import json
+import pathlib
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from pulsemart.operators import cursors, monitors, quality, search, serving, versions
+from pulsemart.operators import cursors, enrich, monitors, quality, search, serving, versions
 from pulsemart.settings import DateRange
 from pulsemart.sources import dimensions, landing, tables
 from pulsemart.streaming import jobs
@@ -128,6 +130,8 @@ def test_cutoff(values):
     base = int(T0.replace(tzinfo=dt.timezone.utc).timestamp())
     rows = [(None, "2024-03-04T12:00:00Z"), (100, None), (base, "2024-01-01T00:00:00Z"), (None, None)]
     assert values(expr, rows, "since bigint, cursor string") == [base - 7200, 0, base - 7200, base - 7 * 86400]
+    expr = cursors.fetch_cutoff(F.col("since"), F.col("cursor"), F.lit("2024-03-04 12:00:00").cast("timestamp"), initial=F.lit(True))
+    assert values(expr, rows, "since bigint, cursor string") == [base - 7 * 86400] * 4
 
 
 def test_cursor_moves_only_forward(spark):
@@ -137,7 +141,10 @@ def test_cursor_moves_only_forward(spark):
                                  "source string, ts_event timestamp, native_id string")
     out = cursors.advance_cursor(seen, state, F.lit(hours(4))).collect()
     assert sorted((r.source, r.cursor_iso, r.tie_breaker_id) for r in out) == [
-        ("n", "2024-02-29T09:00:00Z", "k"), ("s", "2024-03-04T15:00:00Z", "b")]
+        ("n", "2024-02-29T09:00:00Z", "k"), ("q", "2024-03-04T12:00:00Z", "z"), ("s", "2024-03-04T15:00:00Z", "b")]
+    # The stored second with its own id, or a smaller one, moves nothing, whatever the fraction.
+    stay = spark.createDataFrame([("q", hours(0) + dt.timedelta(milliseconds=700), "x"), ("s", hours(0), "a")], seen.schema)
+    assert cursors.advance_cursor(stay, state, F.lit(hours(4))).collect() == []
 
 
 # --------------------------------------------------------------- retrieval
@@ -219,26 +226,78 @@ def land(spark, path, rows):
     landing.write_landing(spark.createDataFrame(rows, SCHEMA), path)
 
 
-def test_stream_picks_up_only_new_files_and_drops_repeats(spark, tmp_path):
+def test_stream_keeps_late_rows_and_drops_repeats(spark, tmp_path):
     src, out, state = (str(tmp_path / n) for n in ("src", "out", "state"))
     land(spark, src, [("a", hours(0), "x", 1.0), ("a", hours(0), "x", 1.0), ("b", hours(1), "x", 2.0)])
 
     def run():
-        stream = jobs.deduplicated(jobs.landing_stream(spark, src, SCHEMA))
-        jobs.append_parquet(stream, out, state).awaitTermination()
+        jobs.append_unique(jobs.landing_stream(spark, src, SCHEMA), out, state).awaitTermination()
         return sorted(r.event_id for r in spark.read.parquet(out).collect())
 
     assert run() == ["a", "b"]
     land(spark, src, [("b", hours(1), "x", 2.0), ("c", hours(2), "x", 2.0)])
     assert run() == ["a", "b", "c"]
     assert run() == ["a", "b", "c"]
+    land(spark, src, [("d", hours(-30), "x", 2.0), ("a", hours(0), "x", 1.0)])
+    assert run() == ["a", "b", "c", "d"]
 
 
-def test_stream_upsert_and_alerts(spark, tmp_path):
-    src, table, alerts, state = (str(tmp_path / n) for n in ("src", "table", "alerts", "state"))
-    land(spark, src, [(f"a{i}", hours(0), "x", 1.0) for i in range(4)] + [(f"b{i}", hours(24), "x", 1.0) for i in range(6)])
-    stream = jobs.daily_counts(jobs.landing_stream(spark, src, SCHEMA), F.col("value"))
-    jobs.alert_on_spikes(stream, table, alerts, state).awaitTermination()
-    assert sorted((str(r.date), r.volume) for r in spark.read.parquet(table).collect()) == [("2024-03-04", 4), ("2024-03-05", 6)]
-    found = {(str(r.date), r.volume, r.previous_volume, r.change_pct) for r in spark.read.parquet(alerts).collect()}
-    assert found == {("2024-03-05", 6, 4, 50.0)}
+def test_late_events_change_days_and_alerts(spark, tmp_path):
+    src, events, daily, alerts, state = (str(tmp_path / n) for n in ("src", "events", "daily", "alerts", "state"))
+
+    def run(rows):
+        land(spark, src, rows)
+        stream = jobs.landing_stream(spark, src, SCHEMA)
+        jobs.alert_on_spikes(stream, jobs.DailyTables(events, daily), alerts, state, F.col("value")).awaitTermination()
+        volumes = sorted((str(r.date), r.volume) for r in spark.read.parquet(daily).collect())
+        found = {(str(r.date), r.volume, r.previous_volume, r.change_pct) for r in spark.read.parquet(alerts).filter("alert").collect()}
+        return volumes, found
+
+    first = [(f"a{i}", hours(0), "x", 1.0) for i in range(4)] + [(f"b{i}", hours(24), "x", 1.0) for i in range(6)]
+    assert run(first) == ([("2024-03-04", 4), ("2024-03-05", 6)], {("2024-03-05", 6, 4, 50.0)})
+    # Late events of the day before: its volume rises, and the alert of the next day goes.
+    late = [("a9", hours(1), "x", 1.0), ("a0", hours(0), "x", 1.0)]
+    assert run(late) == ([("2024-03-04", 5), ("2024-03-05", 6)], set())
+
+
+def test_staged_tables_are_deleted(spark, tmp_path):
+    shared = pathlib.Path(spark.conf.get("spark.checkpoint.dir"))
+    before = sorted(p.name for p in shared.iterdir())
+    rows = spark.createDataFrame([("a", hours(0), "x", 1.0)], SCHEMA).withColumn("dt", F.to_date("ts_event"))
+    for _ in range(2):
+        tables.upsert(spark, str(tmp_path / "t"), rows, ["event_id"], ["ts_event"])
+        tables.append_new(spark, str(tmp_path / "t"), rows, ["event_id"])
+    assert sorted(p.name for p in shared.iterdir()) == before
+
+
+def test_stored_row_wins_ties(spark, tmp_path):
+    path = str(tmp_path / "t")
+    frame = lambda v, h: spark.createDataFrame([(f"k{i}", hours(h), "x", v) for i in range(20)], SCHEMA).withColumn("dt", F.to_date("ts_event"))
+    for value, stamp in ((1.0, 0), (2.0, 0), (3.0, 0)):
+        tables.upsert(spark, path, frame(value, stamp), ["event_id"], ["ts_event"])
+    assert {r.value for r in spark.read.parquet(path).collect()} == {1.0}
+    tables.upsert(spark, path, frame(4.0, 1).limit(5), ["event_id"], ["ts_event"])
+    assert spark.read.parquet(path).groupBy("value").count().orderBy("value").collect() == [(1.0, 15), (4.0, 5)]
+
+
+def test_re_enrichment_keeps_members_and_lines(spark, tmp_path):
+    folder = tmp_path / "dt=2024-01-01"
+    folder.mkdir()
+    lines = [{"text": "a great service, thanks a lot for it", "extra": {"deep": [1, 2.5]}, "sentiment": 9, "n": None}, {"text": "", "sentiment": 5}, {"other": 1}]
+    (folder / "part-1.txt").write_text("\n".join([*map(json.dumps, lines), "not json", '{"text": "cut'] ) + "\n")
+    enrich.re_enrich(spark, str(tmp_path), DateRange("2024-01-01", "2024-01-01"), F.lit("2024-02-01").cast("timestamp"))
+    stored = [r.value for r in spark.read.text(str(tmp_path)).collect()]
+    assert {"not json", '{"text": "cut', json.dumps(lines[1]), json.dumps(lines[2])} < set(stored) and len(stored) == 5
+    (done,) = [json.loads(v) for v in stored if "great" in v]
+    assert done["extra"] == {"deep": [1, 2.5]} and done["n"] is None and done["sentiment"] != 9 and done["nlp_processed_at"]
+
+
+def test_only_the_failing_text_is_neutral(spark):
+    def scorer(texts):
+        if texts.str.contains("bad").any():
+            raise ValueError("cannot score")
+        return pd.DataFrame({"sentiment": 0.5, "severity": 0.25, "topics": [["t"]] * len(texts), "language": "en", "confidence": 0.9})
+
+    df = spark.createDataFrame([(i, "bad" if i == 37 else f"text {i}") for i in range(100)], "i int, text string").coalesce(1)
+    out = {r.i: (r.sentiment, r.nlp_error) for r in enrich.score_with(df, scorer, "m", "1", F.lit("2024-01-01").cast("timestamp")).collect()}
+    assert out.pop(37) == (0.0, "cannot score") and set(out.values()) == {(0.5, None)}

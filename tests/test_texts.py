@@ -6,8 +6,8 @@ from pulsemart.functions.tokens import tokens
 from pulsemart.operators import enrich, features
 from pulsemart.settings import EnrichSettings, TWITTER_TONE
 
-SERVICE = "TD Bank's customer service is absolutely terrible. Worst bank ever!"
-APP = "Love the new mobile app! Makes banking so easy."
+SERVICE = "Their customer service was terrible, and the worst of it is the queue"
+APP = "I love what the mobile app does"
 
 
 def scored(spark, *texts, cfg=EnrichSettings()):
@@ -34,9 +34,9 @@ def test_enrichment_limits(spark):
     assert many.topics == ["atm", "fees", "overdraft"]
 
 
-def test_scoring_text_drops_links_and_cuts(values):
-    out = values(T.scoring_text(F.col("text"), 12), ["see  https://a.b/c?d=1  now\n\tplease wait"])
-    assert out == ["see now plea"]
+def test_scoring_text_drops_links_and_keeps_the_rest(values):
+    out = values(T.scoring_text(F.col("text")), ["see  https://a.b/c?d=1  now\n\tplease wait", "w " * 5000 + "end"])
+    assert out == ["see now please wait", "w " * 5000 + "end"]
 
 
 def test_chosen_text(values):

@@ -41,14 +41,15 @@ def cases(col: str, values: dict, other) -> str:
 
 
 TW = f"""tw as (
-  select {brand('e.user_id')} brand_id, d.doc_id::varchar tweet_id, {day('d.doc_id')} as date,
-    {day('d.doc_id')}::timestamp + (date_trunc('second', e.ts) - date_trunc('day', e.ts)) ts_event,
-    e.user_id::varchar author_id, d.text, lower(d.text) low, d.lang,
+  select {brand('e.user_id')} brand_id, e.event_id::varchar tweet_id, {day('e.event_id')} as date,
+    {day('e.event_id')}::timestamp + (date_trunc('second', e.ts) - date_trunc('day', e.ts)) ts_event,
+    e.user_id::varchar author_id, coalesce(d.text, e.event_type) as text, lower(coalesce(d.text, e.event_type)) low,
+    coalesce(d.lang, 'en') lang,
     floor(e.value / 10)::bigint like_count, (e.user_id % 5)::bigint reply_count,
     floor(e.value / 50)::bigint retweet_count,
     case when e.event_type <> 'signup' then 0::bigint end quote_count,
     e.event_type = 'error' possibly_sensitive, {country('e.user_id')} geo_country
-  from documents d join events e on e.event_id = d.doc_id),
+  from events e left join documents d on e.event_id = d.doc_id),
 tw_raw as (
   select *, like_count + reply_count + retweet_count + quote_count total_engagements,
     length(text)::bigint text_length from tw where text <> '')"""
@@ -98,13 +99,15 @@ cf_raw as (
     coalesce(narrative <> '', false) has_narrative from cf)"""
 
 CE = f"""ce as (
-  select d.doc_id::varchar complaint_id, d.text complaint_text, lower(d.text) low,
-    {cases('c.c_mktsegment', S.PRODUCTS, S.PRODUCT_ELSE)} product, o.o_orderpriority issue, d.lang sub_issue,
-    'Company ' || c.c_nationkey::varchar company, n.n_name state, (c.c_custkey % 100)::varchar zip_code,
-    {day('d.doc_id')} complaint_date,
-    case when o.o_orderstatus <> 'O' then {day('d.doc_id')} + 2 end date_sent_to_company
-  from documents d join orders o on d.doc_id = o.o_orderkey join customer c on o.o_custkey = c.c_custkey
-  join nation n on c.c_nationkey = n.n_nationkey),
+  select *, lower(complaint_text) low from (
+    select o.o_orderkey::varchar complaint_id,
+      coalesce(d.text, 'Order of priority ' || o.o_orderpriority || ' with state ' || o.o_orderstatus) complaint_text,
+      {cases('c.c_mktsegment', S.PRODUCTS, S.PRODUCT_ELSE)} product, o.o_orderpriority issue, coalesce(d.lang, 'en') sub_issue,
+      'Company ' || c.c_nationkey::varchar company, n.n_name state, (c.c_custkey % 100)::varchar zip_code,
+      {day('o.o_orderkey')} complaint_date,
+      case when o.o_orderstatus <> 'O' then {day('o.o_orderkey')} + 2 end date_sent_to_company
+    from orders o left join documents d on d.doc_id = o.o_orderkey join customer c on o.o_custkey = c.c_custkey
+    join nation n on c.c_nationkey = n.n_nationkey)),
 ce_raw as (
   select *, length(complaint_text)::bigint text_length,
     case when {contains('low', S.SEVERITY_WORDS[0][1])} then 'high'
@@ -139,11 +142,14 @@ EV = """ev as (
   from events where event_type = 'purchase')"""
 
 SE = f"""se as (
-  select d.doc_id event_id, {brand('e.user_id')} brand_id, d.source, {day('d.doc_id')}::timestamp ts_event, d.text,
-    case when d.n_chars % 13 <> 0 then (d.n_chars % 21 - 10) / 10.0::double end sentiment,
-    (d.n_chars % 10) / 10.0::double severity, [d.lang, 't' || (d.n_chars % 4)::varchar] topics,
-    {country('e.user_id')} geo_country, v.embedding dense_vec, v.label
-  from documents d join events e on e.event_id = d.doc_id left join embeddings v on v.vec_id = d.doc_id)"""
+  select event_id, {brand('user_id')} brand_id, source, {day('event_id')}::timestamp ts_event, text,
+    case when size % 13 <> 0 then (size % 21 - 10) / 10.0::double end sentiment,
+    (size % 10) / 10.0::double severity, [lang, 't' || (size % 4)::varchar] topics,
+    {country('user_id')} geo_country, embedding dense_vec, label
+  from (
+    select e.event_id, e.user_id, coalesce(d.source, 'events') source, coalesce(d.text, e.event_type) as text,
+      coalesce(d.n_chars, length(e.event_type)) size, coalesce(d.lang, 'en') lang, v.embedding, v.label
+    from events e left join documents d on e.event_id = d.doc_id left join embeddings v on v.vec_id = e.event_id))"""
 
 
 def with_(*parts: str) -> str:

@@ -689,18 +689,26 @@ cur as (
     order by updated_at desc, cursor_iso desc, tie_breaker_id desc) place from st) where place = 1)"""
 SQL["ingest_state"] = with_(STATE) + "select source, cursor_iso, tie_breaker_id, updated_at from cur"
 SQL["fetch_cutoffs"] = f"""
-select event_id, case when user_id % 3 = 0 and user_id > 0 then greatest(user_id * 100 - 7200, 0)
+select event_id, case when user_id % 5 = 0 then epoch(TIMESTAMP '{S.RUN_TS}')::bigint - 7 * 86400
+  when user_id % 3 = 0 and user_id > 0 then greatest(user_id * 100 - 7200, 0)
   when user_id % 3 = 1 then floor(epoch(ts))::bigint - 7200
   else epoch(TIMESTAMP '{S.RUN_TS}')::bigint - 7 * 86400 end cutoff from events"""
 SQL["cursor_advance"] = with_(STATE) + f""",
 acc as (
-  select 'reddit_' || event_type source, event_id native_id,
-    case when event_type = 'click' then ts - interval 60 day else ts + interval 5 hour end t from events),
-top as (select source, max(t) t, arg_max(native_id, (t, native_id)) native_id from acc group by source)
-select top.source, strftime(t, '%Y-%m-%dT%H:%M:%SZ') cursor_iso, native_id::varchar tie_breaker_id,
+  select 'reddit_' || event_type source, event_id::varchar native_id, date_trunc('second',
+    case when event_type = 'click' then ts - interval 60 day
+    when event_type in ('signup', 'purchase') then TIMESTAMP '2024-01-05 00:00:00.25' else ts + interval 5 hour end) t from events),
+top as (select source, max(t) t, arg_max(native_id, (t, native_id)) native_id from acc group by source),
+had as (
+  select source, cursor_iso, tie_breaker_id from cur where source in ('reddit_view', 'reddit_error', 'reddit_click')
+  union all select 'reddit_' || event_type, '2024-01-05T00:00:00Z',
+    case when event_type = 'signup' then min(event_id::varchar) else max(event_id::varchar) end
+  from events where event_type in ('signup', 'purchase') group by event_type)
+select top.source, strftime(t, '%Y-%m-%dT%H:%M:%SZ') cursor_iso, native_id tie_breaker_id,
   TIMESTAMP '{S.RUN_TS}' updated_at
-from top left join (select * from cur where source in ('reddit_view', 'reddit_error', 'reddit_click')) cur using (source)
-where cur.source is null or t > strptime(cursor_iso, '%Y-%m-%dT%H:%M:%SZ')"""
+from top left join had using (source)
+where had.source is null or t > strptime(cursor_iso, '%Y-%m-%dT%H:%M:%SZ')
+  or (t = strptime(cursor_iso, '%Y-%m-%dT%H:%M:%SZ') and native_id > tie_breaker_id)"""
 SQL["run_report"] = with_(RE) + """
 select count(*) total_records, count(distinct event_date) files_saved,
   array_to_string(list_sort(list_distinct(list(brand_id))), ',') brands_found from re"""
@@ -967,9 +975,16 @@ select brand_id, date, country, complaints, {rounded('complaints_index')} from c
 SQL["upserted_table"] = with_(LATEST) + f"""
 select event_id, ts_event, nlp_processed_at, text, {rounded('value')} from latest"""
 SQL["re_enriched_days"] = with_(RE, enrich_ctes(
-    "select event_id, event_date, text body, sentiment s0, severity v0 from re")) + f"""
+    "select event_id, event_date, text body, sentiment s0, severity v0, length(text)::int chars from re")) + f"""
 select event_id, {rnd("case when event_date between DATE '2024-01-10' and DATE '2024-01-12' then sentiment else s0 end")} sentiment,
-  {rnd("case when event_date between DATE '2024-01-10' and DATE '2024-01-12' then severity else v0 end")} severity from enriched"""
+  {rnd("case when event_date between DATE '2024-01-10' and DATE '2024-01-12' then severity else v0 end")} severity, chars from enriched
+union all select event_id, null, null, null from re"""
+KEPT = LAND.replace("date_trunc('millisecond', ts)", "ts")  # Parquet keeps the microseconds
+SQL["upserted_ties"] = with_(KEPT) + f"""
+select event_id, case when changed then ts_event + interval 1 second else ts_event end ts_event,
+  case when changed then 'changed' else text end as text, {rounded('value')}
+from (select *, value > 20 and regexp_extract(event_id, '[0-9]+$')::bigint % 2 = 1 changed from land)"""
+SQL["appended_events"] = with_(KEPT) + f"select event_id, ts_event, brand_id, text, {rounded('value')} from land"
 SQL["stream_deduplicated"] = with_(LAND) + f"select event_id, ts_event, brand_id, text, {rounded('value')} from land"
 SQL["stream_upserted"] = with_(LAND) + f"select event_id, ts_event, brand_id, {rounded('value')} from land"
 DAILY = LAND + """,
