@@ -131,9 +131,9 @@ def accept_mentions(
 _POSITION = "array<struct<term:string,position:int,length:int,context:string,word_boundary:boolean,confidence:double>>"
 
 
-def _starts(lowered: Column, term: str) -> Column:
+def _starts(lowered: Column, term: str, edged: bool) -> Column:
     """Offsets of all hits, overlapping ones too: a text cut before each hit, and the lengths of the pieces added up."""
-    pieces = F.split(lowered, _anywhere(term), -1)
+    pieces = F.split(lowered, _edged(term) if edged else _anywhere(term), -1)
     none = F.array().cast("array<int>")
     ends = F.aggregate(
         F.slice(pieces, 1, F.size(pieces) - 1),
@@ -144,11 +144,12 @@ def _starts(lowered: Column, term: str) -> Column:
         ),
     )["all"]
     # A hit at the very beginning cuts nothing off.
-    return F.concat(F.when(lowered.startswith(term.lower()), F.array(F.lit(0))).otherwise(none), ends)
+    first = lowered.rlike("^" + (_edged(term) if edged else _anywhere(term)))
+    return F.concat(F.when(first, F.array(F.lit(0))).otherwise(none), ends)
 
 
 def _term_hits(lowered: Column, text: Column, term: str, cfg: MentionSettings) -> Column:
-    size = len(term)
+    size, strict = len(term), len(term) <= cfg.strict_length
 
     def hit(at: Column) -> Column:
         around = F.concat(F.when(at > 0, F.substring(lowered, at, 1)).otherwise(""), F.substring(lowered, at + size + 1, 1))
@@ -163,8 +164,7 @@ def _term_hits(lowered: Column, text: Column, term: str, cfg: MentionSettings) -
             F.when(edged, cfg.edge_confidence).otherwise(cfg.inner_confidence).cast("double").alias("confidence"),
         )
 
-    hits = F.transform(_starts(lowered, term), hit)
-    return F.filter(hits, lambda h: h["word_boundary"]) if size <= cfg.strict_length else hits
+    return F.transform(_starts(lowered, term, strict), hit)
 
 
 def mention_positions(
