@@ -4,15 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pulsemart.functions.parsing import json_text, json_whole
 from pulsemart.functions.plan import computed_once
 from pulsemart.functions.text import redact
 from pulsemart.functions.tokens import tokens
-from pulsemart.functions.vectors import cosine
+from pulsemart.functions.vectors import dot, similarity_to, unit
+from pulsemart.session import Staging, stage
 from pulsemart.settings import DEFAULT_BM25, Bm25
 
 
@@ -189,11 +188,14 @@ def facets(df: DataFrame) -> DataFrame:
 
 def nearest(vectors: DataFrame, query_vector: Column, limit: int = 100, key: str = "event_id",
             vector: str = "dense_vec") -> DataFrame:
-    """Exact nearest neighbours by cosine similarity."""
+    """Exact nearest neighbours by cosine similarity.
+
+    The asked vector is one row: it is read once, brought to unit length, and
+    compared with whole batches of vectors.
+    """
+    asked = vectors.sparkSession.range(1).select(query_vector.alias("v")).head()["v"]
     return (
-        vectors.withColumn("_asked", query_vector)
-        .withColumn("similarity", cosine(F.col(vector), F.col("_asked")))
-        .drop("_asked")
+        vectors.withColumn("similarity", similarity_to(asked)(F.col(vector)))
         .filter(F.col("similarity").isNotNull())
         .orderBy(F.col("similarity").desc(), key)
         .limit(limit)
@@ -240,46 +242,38 @@ def diverse(
     score: str,
     vector: str,
     limit: int = 10,
-    candidates: int = 50,
     relevance_weight: float = 0.7,
 ) -> DataFrame:
-    """Maximal-marginal-relevance pick per topic.
+    """Maximal-marginal-relevance pick per topic, over all rows of the topic.
 
-    Each topic is first cut to its best candidates, so a group handed to Python
-    has a fixed size however large the topic is.
+    A round picks the best row of every topic in one aggregation, and then
+    updates each row's similarity to the closest pick so far, so a topic is
+    never gathered in one place.  Values are compared to nine digits; of equal
+    ones the higher score, then the smaller key wins.  Rows without a vector
+    are not candidates.
     """
-    w = Window.partitionBy(topic).orderBy(F.col(score).desc(), key)
-    pool = (
-        df.select(topic, key, score, vector)
-        .withColumn("_place", F.row_number().over(w))
-        .filter(F.col("_place") <= candidates)
-    )
-    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-
-    def pick(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("_place", ignore_index=True)
-        unit = np.stack(group[vector].to_numpy()).astype("float64")
-        unit /= np.maximum(np.linalg.norm(unit, axis=1, keepdims=True), 1e-12)
-        gain = group[score].to_numpy("float64")
-        closest = np.zeros(len(group))
-        order: list[int] = []
-        left = np.ones(len(group), dtype=bool)
-        while left.any() and len(order) < limit:
-            value = relevance_weight * gain - (1 - relevance_weight) * closest
-            best = int(np.argmax(np.where(left, np.round(value, 9), -np.inf)))
-            order.append(best)
-            left[best] = False
-            closest = np.maximum(closest, unit @ unit[best]) if len(order) > 1 else unit @ unit[best]
-        return pd.DataFrame(
-            {
-                topic: group[topic].iloc[order], key: group[key].iloc[order],
-                "pick": range(1, len(order) + 1), score: gain[order],
-            }
+    gain = relevance_weight * F.col("_score") - (1 - relevance_weight) * F.coalesce("_closest", F.lit(0.0))
+    order = F.struct((-F.round(gain, 9)).alias("value"), (-F.col("_score")).alias("gain"), F.col(key).alias("key"), F.col("_unit").alias("unit"))
+    with Staging(df.sparkSession) as area:
+        rows = area.stage(
+            df.filter(F.col(vector).isNotNull()).select(
+                topic, key, F.col(score).cast("double").alias("_score"), unit(F.col(vector)).alias("_unit"),
+                F.lit(None).cast("double").alias("_closest"),
+            ),
+            "candidates",
         )
-
-    return pool.groupBy(topic).applyInPandas(
-        pick, f"{topic} {kinds[topic]}, {key} {kinds[key]}, pick int, {score} double"
-    )
+        found = None
+        for pick in range(1, limit + 1):
+            best = area.stage(rows.groupBy(topic).agg(F.min(order).alias("_best")).withColumn("pick", F.lit(pick)), "pick")
+            found = best if found is None else found.unionByName(best)
+            closer = F.greatest("_closest", dot(F.col("_unit"), F.col("_best.unit")))
+            rows = area.stage(
+                rows.join(best, topic).filter(F.col(key) != F.col("_best.key"))
+                .select(topic, key, "_score", "_unit", closer.alias("_closest")),
+                "candidates",
+            )
+        picked = found.select(topic, F.col("_best.key").alias(key), "pick", (-F.col("_best.gain")).alias(score))
+        return stage(picked, "picks")
 
 
 def contributors(

@@ -170,9 +170,9 @@ def test_diverse_equals_greedy_pick(spark):
     rnd = np.random.default_rng(5)
     rows = [(i, i % 2, float(rnd.random()), [float(x) for x in rnd.normal(size=4)]) for i in range(40)]
     df = spark.createDataFrame(rows, "k int, topic int, score double, v array<double>")
-    out = search.diverse(df, "topic", "k", "score", "v", limit=6, candidates=15).collect()
+    out = search.diverse(df, "topic", "k", "score", "v", limit=6).collect()
     for topic in (0, 1):
-        pool = sorted((r for r in rows if r[1] == topic), key=lambda r: (-r[2], r[0]))[:15]
+        pool = sorted((r for r in rows if r[1] == topic), key=lambda r: (-r[2], r[0]))
         unit = {r[0]: np.array(r[3]) / np.linalg.norm(r[3]) for r in pool}
         picked = []
         while len(picked) < 6:

@@ -846,6 +846,28 @@ select event_id, {rounded('text_score', 'vector_score')}, {rnd('total')} score f
 order by total desc, event_id limit 20"""
 
 
+
+def picks(limit: int) -> str:
+    """The greedy pick written out: one best row per label and round, then the closest pick so far of the rest."""
+    parts = ["""u0 as (
+  select event_id, label, severity gain, null::double closest,
+    list_transform(dense_vec::double[], lambda x: x / greatest(sqrt(list_dot_product(dense_vec::double[], dense_vec::double[])), 1e-12)) unit
+  from se where dense_vec is not null)"""]
+    for k in range(limit):
+        parts.append(f"""p{k} as (
+  select * from u{k} qualify row_number() over (partition by label
+    order by round(0.7 * gain - 0.3 * coalesce(closest, 0), 9) desc, gain desc, event_id) = 1),
+u{k + 1} as (
+  select u.event_id, u.label, u.gain, greatest(u.closest, list_dot_product(u.unit, p.unit)) closest, u.unit
+  from u{k} u join p{k} p on u.label = p.label and u.event_id <> p.event_id)""")
+    return ",\n".join(parts)
+
+
+SQL["diverse_quotes"] = with_(SE, picks(10)) + " union all ".join(
+    f"select event_id, label, {k + 1}::int pick, {rnd('gain')} relevance from p{k}" for k in range(10)
+)
+
+
 def contrib(name: str, value: str, source: str) -> str:
     return f"""(select '{name}' dimension, {value} as value, count(*) filter (where event_date >= DATE '2024-01-20') as current,
     count(*) filter (where event_date < DATE '2024-01-20') as previous,
