@@ -116,24 +116,6 @@ def country_of_geo(geo: Column) -> Column:
     return F.when(geo.startswith("US-"), F.lit("US")).otherwise(geo)
 
 
-def _top_keywords(base: DataFrame, keys: tuple[str, ...], limit: int) -> DataFrame:
-    """The strongest keywords of each key, ranked before they are collected."""
-    best = Window.partitionBy(*keys).orderBy(F.col("value").desc(), "keyword")
-    return (
-        base.select(*keys, "keyword", "value")
-        .withColumn("place", F.row_number().over(best))
-        .filter(F.col("place") <= limit)
-        .groupBy(*keys)
-        .agg(F.array_sort(F.collect_list(F.struct("place", "keyword", "value"))).alias("top"))
-        .select(
-            *keys,
-            F.transform(
-                "top", lambda k: F.struct(k["keyword"].alias("keyword"), k["value"].alias("value"))
-            ).alias("top_keywords"),
-        )
-    )
-
-
 def trends_daily(
     points: DataFrame,
     cfg: DailySettings = DEFAULT_DAILY,
@@ -144,8 +126,9 @@ def trends_daily(
 
     Changes compare with the 7th and 28th earlier *row* of the series; with
     ``calendar_lag`` they compare with the calendar day instead.  The ranked
-    keywords need a second pass over the points; callers that do not read them
-    switch them off.
+    keywords share the one shuffle of the points, but need all points in it;
+    callers that do not read them switch them off, and points are summed up
+    before they are shuffled.
     """
     keys = (*KEYS, "region")
     base = points.select(
@@ -155,6 +138,18 @@ def trends_daily(
         "keyword", "value", "is_brand_keyword",
     )
     brand, value = F.col("is_brand_keyword"), F.col("value")
+    ranked = []
+    if top_keywords:
+        best = Window.partitionBy(*keys).orderBy(F.col("value").desc(), "keyword")
+        base = base.withColumn("place", F.row_number().over(best))
+        # The place filter keeps the list at its fixed size.
+        strongest = F.collect_list(F.when(F.col("place") <= cfg.top_keywords, F.struct("place", "keyword", "value")))
+        ranked = [
+            F.transform(
+                F.array_sort(strongest),
+                lambda k: F.struct(k["keyword"].alias("keyword"), k["value"].alias("value")),
+            ).alias("top_keywords")
+        ]
     rolled = base.groupBy(*keys).agg(
         F.avg(F.when(brand, value)).alias("brand_rsv_avg"),
         F.avg(F.when(~brand, value)).alias("category_rsv_avg"),
@@ -164,11 +159,8 @@ def trends_daily(
         F.stddev_samp(value).alias("rsv_stddev"),
         F.count(F.lit(1)).alias("data_points"),
         F.count_distinct("keyword").alias("unique_keywords"),
+        *ranked,
     )
-    if top_keywords:
-        top = _top_keywords(base, keys, cfg.top_keywords)
-        same = [F.col(f"r.{k}").eqNullSafe(F.col(f"t.{k}")) for k in keys]
-        rolled = rolled.alias("r").join(top.alias("t"), same, "left").select("r.*", "t.top_keywords")
 
     series = Window.partitionBy("brand_id", "country", "region").orderBy("date")
     if calendar_lag:
@@ -210,33 +202,9 @@ def heightened_severity(score: Column, disputed: Column, timely: Column) -> Colu
     )
 
 
-def _value_counts(base: DataFrame) -> DataFrame:
-    """Distinct states, categories and zip codes per key, and the commonest of the first two.
-
-    Values are counted per key first, which combines well before the shuffle;
-    on equal counts the smallest value is the commonest.
-    """
-    kinds = F.array(
-        *[F.struct(F.lit(k).alias("kind"), F.col(k).alias("value")) for k in ("state", "category", "zip_code")]
-    )
-    counted = (
-        base.select(*KEYS, F.inline(kinds))
-        .filter(F.col("value").isNotNull())
-        .groupBy(*KEYS, "kind", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    order = F.struct(-F.col("n"), "value")
-
-    def commonest(kind: str) -> Column:
-        return F.min_by("value", F.when(F.col("kind") == kind, order))
-
-    return counted.groupBy(*KEYS).agg(
-        tally(F.col("kind") == "state").alias("states_affected"),
-        tally(F.col("kind") == "category").alias("product_categories"),
-        tally(F.col("kind") == "zip_code").alias("zip_codes_affected"),
-        commonest("category").alias("top_product_category"),
-        commonest("state").alias("top_state"),
-    )
+def _kinds(column: str) -> Column:
+    """Number of different values; states, categories and zip codes are closed lists, so the set stays small."""
+    return F.size(F.collect_set(column)).cast("bigint")
 
 
 def complaints_daily(rows: DataFrame, cfg: DailySettings = DEFAULT_DAILY) -> DataFrame:
@@ -263,13 +231,12 @@ def complaints_daily(rows: DataFrame, cfg: DailySettings = DEFAULT_DAILY) -> Dat
         F.stddev_samp("severity_score").alias("severity_stddev"),
         F.avg("narrative_length").alias("avg_narrative_length"),
         share(F.col("narrative_length") > cfg.long_narrative).alias("long_narrative_rate"),
-    )
-    same = [F.col(f"r.{k}").eqNullSafe(F.col(f"v.{k}")) for k in KEYS]
-    rolled = (
-        rolled.alias("r")
-        .join(_value_counts(base).alias("v"), same, "left")
-        .select("r.*", *[f"v.{c}" for c in ("states_affected", "product_categories", "zip_codes_affected",
-                                            "top_product_category", "top_state")])
+        _kinds("state").alias("states_affected"),
+        _kinds("category").alias("product_categories"),
+        _kinds("zip_code").alias("zip_codes_affected"),
+        # On equal counts the smallest value is the commonest.
+        F.mode("category", True).alias("top_product_category"),
+        F.mode("state", True).alias("top_state"),
     )
     # Ranked on a rounded mean: equal means tie in whatever order rows were summed.
     indexed = rolled.withColumn("_severity", F.round("enhanced_severity_avg", 9)).withColumns(
@@ -294,8 +261,6 @@ def complaints_daily(rows: DataFrame, cfg: DailySettings = DEFAULT_DAILY) -> Dat
             "complaints_index": combined,
             "min_sample_size_met": F.col("complaints") >= cfg.complaints_min,
             "anomaly_flag": yes(unusual),
-            "states_affected": F.coalesce("states_affected", F.lit(0)),
-            "zip_codes_affected": F.coalesce("zip_codes_affected", F.lit(0)),
             "data_freshness_ok": F.lit(True),
         }
     ).drop("_severity")
