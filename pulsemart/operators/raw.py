@@ -10,7 +10,16 @@ from pulsemart.settings import COMPLAINT_TERMS, SEVERITY_DEFAULT, SEVERITY_TERMS
 
 
 def within(df: DataFrame, days: DateRange | None, column: str = "date") -> DataFrame:
-    """Optional inclusive date range."""
+    """Optional inclusive date range.
+
+    A feed read from day folders also has ``dt``; the folders in range, with a
+    day to spare on either side, are all that is read then.
+    """
+    if days and "dt" in df.columns and column != "dt":
+        if days.start:
+            df = df.filter(F.col("dt") >= F.date_sub(F.lit(days.start).cast("date"), 1))
+        if days.end:
+            df = df.filter(F.col("dt") <= F.date_add(F.lit(days.end).cast("date"), 1))
     if days and days.start:
         df = df.filter(F.col(column) >= F.lit(days.start).cast("date"))
     if days and days.end:

@@ -972,6 +972,50 @@ def landing_roundtrip(spark, folder):
     return tidy(landing.read_landing(spark, path, LANDED, DateRange("2024-01-03", "2024-01-20")))
 
 
+@query
+def landed_posts_in_range(spark, folder):
+    """A date range over landed posts reads only the day folders around it."""
+    path = scratch_path(spark, "landing")
+    landing.write_landing(samples.twitter_feed(spark, folder), path)
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in samples.twitter_feed(spark, folder).schema)
+    feed = landing.read_landing(spark, path, schema)
+    posts = raw.twitter_posts(feed, DateRange("2024-01-05", "2024-01-09"))
+    return tidy(posts.select("tweet_id", "brand_id", "date", "total_engagements", "text_length"))
+
+
+@query
+def dictionary_from_file(spark, folder):
+    """A brand dictionary file with one brand per nation."""
+    path = scratch_path(spark, "brands")
+    listed = lambda *parts: F.to_json(F.array(*parts))
+    samples.table(spark, folder, "nation").select(
+        F.lower("n_name").alias("brand_id"), F.concat("n_name", F.lit(", Bank")).alias("brand_name"),
+        listed("n_name", F.lit("x, y")).alias("aliases"), listed(F.concat(F.lower("n_name"), F.lit(".example"))).alias("domains"),
+        F.substring("n_name", 1, 3).alias("ticker"), F.lit("US").alias("hq_country"),
+    ).write.option("header", True).option("escape", '"').csv(path)
+    rows = dimensions.read_brand_dictionary(spark, path)
+    return rows.select("brand_id", "brand_name", F.array_join("aliases", "|").alias("aliases"), F.array_join("domains", "|").alias("domains"), "ticker", "hq_country")
+
+
+@query
+def registered_sources(spark, folder):
+    tables.register_sources(spark, {"event_source": samples.table(spark, folder, "events"), "nation_source": f"{folder}/nation.parquet"})
+    return spark.sql(
+        "select event_type as name, count(*) n from event_source group by 1 union all select n_name, count(*) from nation_source group by 1"
+    )
+
+
+@query
+def replaced_with_backup(spark, folder):
+    """Duplicates removed in place; the table as it was stays beside it."""
+    path, backup = scratch_path(spark, "table"), scratch_path(spark, "backup")
+    samples.event_versions(spark, folder).write.parquet(path)
+    once = versions.latest_version(spark.read.parquet(path), ["event_id"], versions.EVENT_RECENCY)
+    now = tables.replace_with_backup(once, path, backup)
+    counted = lambda df, name: df.groupBy("text").agg(F.count(F.lit(1)).alias("n")).withColumn("stored", F.lit(name))
+    return counted(now, "table").unionByName(counted(spark.read.parquet(backup), "backup"))
+
+
 @query
 def brand_day_roundtrip(spark, folder):
     path = scratch_path(spark, "brand-days")

@@ -9,7 +9,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from pulsemart.operators import cursors, enrich, monitors, quality, search, serving, versions
+from pulsemart.operators import cursors, enrich, monitors, quality, raw, search, serving, versions
 from pulsemart.settings import DateRange
 from pulsemart.sources import dimensions, landing, tables
 from pulsemart.streaming import jobs
@@ -301,3 +301,14 @@ def test_only_the_failing_text_is_neutral(spark):
     df = spark.createDataFrame([(i, "bad" if i == 37 else f"text {i}") for i in range(100)], "i int, text string").coalesce(1)
     out = {r.i: (r.sentiment, r.nlp_error) for r in enrich.score_with(df, scorer, "m", "1", F.lit("2024-01-01").cast("timestamp")).collect()}
     assert out.pop(37) == (0.0, "cannot score") and set(out.values()) == {(0.5, None)}
+
+
+def test_date_range_reads_only_near_day_folders(spark, tmp_path):
+    rows = spark.createDataFrame([(str(d), "b", "text", f"2024-01-{d:02d}T08:00:00") for d in range(1, 20)], "tweet_id string, brand_id string, text string, ts_event string")
+    rows = rows.selectExpr("*", "1L as like_count", "1L as reply_count", "1L as retweet_count", "1L as quote_count", "ts_event as collected_at")
+    landing.write_landing(rows, str(tmp_path))
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
+    posts = raw.twitter_posts(landing.read_landing(spark, str(tmp_path), schema), DateRange("2024-01-05", "2024-01-06"))
+    assert sorted(r.tweet_id for r in posts.collect()) == ["5", "6"]
+    plan = posts._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(dt" in plan and "2024-01-04" in plan

@@ -1015,3 +1015,14 @@ SQL["stream_daily"] = with_(DAILY) + f"select date, brand_id, volume, {rounded('
 SQL["stream_alerts"] = with_(DAILY) + f"""
 select d.date, d.brand_id, d.volume, p.volume previous_volume, {rnd('(d.volume - p.volume) / p.volume * 100')} change_pct
 from d join d p on p.brand_id = d.brand_id and p.date = d.date - 1 where (d.volume - p.volume) / p.volume * 100 >= 50"""
+SQL["landed_posts_in_range"] = with_(TW) + """
+select tweet_id, brand_id, date, total_engagements, text_length from tw_raw
+where date between DATE '2024-01-05' and DATE '2024-01-09'"""
+SQL["dictionary_from_file"] = """
+select lower(n_name) brand_id, n_name || ', Bank' brand_name, n_name || '|x, y' aliases, lower(n_name) || '.example' domains,
+  substr(n_name, 1, 3) ticker, 'US' hq_country from nation"""
+SQL["registered_sources"] = """
+select event_type as name, count(*) n from events group by 1 union all select n_name, count(*) from nation group by 1"""
+SQL["replaced_with_backup"] = with_(LATEST) + """
+select text, count(*) n, 'table' stored from latest group by 1
+union all select text, count(*), 'backup' from ev group by 1"""
