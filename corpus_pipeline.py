@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from pulsemart.llm import mixing, ngram_join, packing, personal, quality
-from pulsemart.llm.common import small_batches, stage, table, unwrapped, wrapped
+from pulsemart.llm.common import prepare, stage, table, unwrapped, wrapped
 from pulsemart.llm.queries import vocabulary
 
 
@@ -16,25 +16,25 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate component."""
-    small_batches(spark)
+    prepare(spark)
     return ngram_join.keep_one(docs)
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with personal data replaced by its kind."""
-    small_batches(spark)
+    prepare(spark)
     return personal.redact(docs)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Whole copies of documents as the curriculum takes them, in training order."""
-    small_batches(spark)
+    prepare(spark)
     return unwrapped(mixing.in_training_order(mixing.mix(wrapped(docs), cut=False)), docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces with their places in sequences of at most 2048 tokens."""
-    small_batches(spark)
+    prepare(spark)
     items = stage(packing.pieces(docs, vocabulary("word_bpe_49k.json"), 0), "pieces")
     return packing.pack(items).drop("key")
 

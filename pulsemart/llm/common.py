@@ -11,24 +11,28 @@ from pyspark.sql import functions as F
 
 from pulsemart.session import scratch_path, stage
 
-__all__ = ["SPACE", "WORD", "files", "scratch_path", "small_batches", "stage", "table", "text_of", "unwrapped", "word_count", "wrapped", "write_file"]
+__all__ = ["SPACE", "WORD", "files", "prepare", "scratch_path", "stage", "table", "text_of", "unwrapped", "word_count", "wrapped", "write_file"]
 
 #: White space and words of the contracts: ASCII space and 0x09 to 0x0D.
 SPACE = b" \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-#: Rows and bytes of the batches that Python workers get: whole texts can be long, so both are bounded.
-BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "16m"}
+#: Session settings of these operators.  Batches for Python workers are bounded by rows and bytes, as whole texts can be
+#: long.  Each step ends in a written table, so a finished step's shuffle files are of no use and leave at once.
+SETTINGS = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "16m",
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+}
 
 
-def small_batches(spark: SparkSession) -> None:
-    for key, value in BATCHES.items():
+def prepare(spark: SparkSession) -> None:
+    for key, value in SETTINGS.items():
         spark.conf.set(key, value)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    small_batches(spark)
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

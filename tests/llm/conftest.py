@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from pulsemart.llm.common import small_batches
+from pulsemart.llm.common import prepare
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -31,7 +31,7 @@ def rows() -> list[tuple]:
 
 @pytest.fixture(scope="session")
 def sample(spark):
-    small_batches(spark)
+    prepare(spark)
     return rows()
 
 
@@ -42,7 +42,7 @@ def docs(spark, sample):
 
 @pytest.fixture(scope="session")
 def empty(spark):
-    small_batches(spark)
+    prepare(spark)
     return spark.createDataFrame([], SCHEMA)
 
 
