@@ -207,6 +207,16 @@ def daily_complaint_trends(stats: DataFrame) -> DataFrame:
     )
 
 
+def daily_severity(stats: DataFrame) -> DataFrame:
+    """Severity per day: the published mean of cluster means beside the mean over complaints."""
+    count = F.col("daily_complaint_count")
+    return stats.groupBy("complaint_date").agg(
+        F.sum(count).alias("total_daily_complaints"),
+        F.avg("avg_severity_score").alias("overall_daily_severity"),
+        (F.sum(count * F.col("avg_severity_score")) / F.sum(count)).alias("weighted_daily_severity"),
+    )
+
+
 def weekly_trends(stats: DataFrame) -> DataFrame:
     """Monday weeks per cluster."""
     return stats.groupBy(

@@ -149,6 +149,12 @@ def composite_score(spark, folder):
     return tidy(scoring.composite_score(_metrics(spark, folder)))
 
 
+@query
+def composite_score_calendar(spark, folder):
+    """The same score; changes compare with the calendar day."""
+    return tidy(scoring.composite_score(_metrics(spark, folder), calendar_lag=True))
+
+
 def _review_scores(spark, folder) -> DataFrame:
     """Customer and employee scores per day from the review feed."""
     index = scoring.employee_review_index(ingest.reviews_by_day(_reviews(spark, folder)))
@@ -240,6 +246,11 @@ def daily_cluster_stats(spark, folder):
     return tidy(_stats(spark, folder).withColumn("sample_complaints", _sample_text()))
 
 
+@query
+def daily_severity(spark, folder):
+    return tidy(clusters.daily_severity(_stats(spark, folder)))
+
+
 @query
 def daily_complaint_trends(spark, folder):
     rows = complaint_marts.daily_trends(_assigned(spark, folder))

@@ -1026,3 +1026,14 @@ select event_type as name, count(*) n from events group by 1 union all select n_
 SQL["replaced_with_backup"] = with_(LATEST) + """
 select text, count(*) n, 'table' stored from latest group by 1
 union all select text, count(*), 'backup' from ev group by 1"""
+SQL["daily_severity"] = with_(DAYS) + f"""
+select complaint_date, sum(daily_complaint_count)::bigint total_daily_complaints,
+  {rnd('avg(avg_severity_score)')} overall_daily_severity,
+  {rnd('sum(daily_complaint_count * avg_severity_score) / sum(daily_complaint_count)')} weighted_daily_severity
+from stat group by complaint_date"""
+SQL["composite_score_calendar"] = SQL["composite_score"]
+for _n in (7, 28):
+    SQL["composite_score_calendar"] = SQL["composite_score_calendar"].replace(
+        f"lag(raw, {_n}) over (partition by brand_id, country order by date)",
+        f"max(raw) over (partition by brand_id, country order by date range between interval {_n} day preceding and interval {_n} day preceding)",
+    )
