@@ -141,16 +141,16 @@ def choose_cutoffs(measured: DataFrame, labels: DataFrame, risk: float = 0.05, c
         .select(F.coalesce("lang", F.lit("")).alias("stratum"), steps.alias("s"))
         .groupBy("stratum", "s.rule", "s.step").agg(F.count("*").alias("n"))
     )
-    strata = counts.agg(F.greatest(F.count_distinct("stratum"), F.lit(1)).alias("strata"))
+    strata = max(1, counts.select("stratum").distinct().count())
 
     def choose(rows: pd.DataFrame) -> pd.DataFrame:
         good = np.zeros(STEPS + 1, np.int64)
         np.add.at(good, rows["step"].to_numpy(), rows["n"].to_numpy())
-        left = (1 - confidence) / (int(rows["strata"].iloc[0]) * len(RULES))
+        left = (1 - confidence) / (strata * len(RULES))
         step = strictest(good, risk / len(RULES), left)
         return pd.DataFrame({"stratum": [rows["stratum"].iloc[0]], "rule": [rows["rule"].iloc[0]], "step": [step]})
 
-    chosen = counts.crossJoin(F.broadcast(strata)).groupBy("stratum", "rule").applyInPandas(choose, "stratum string, rule string, step int")
+    chosen = counts.groupBy("stratum", "rule").applyInPandas(choose, "stratum string, rule string, step int")
     return chosen.groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "step"))).alias("cutoffs"))
 
 
