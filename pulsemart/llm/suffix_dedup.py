@@ -37,7 +37,7 @@ from pulsemart.llm.words import mixed, parts
 #: Bytes of a repeated string, places searched for its anchor, and bytes behind an anchor that are always part of it.
 LENGTH, WINDOW = 400, 256
 SURE = LENGTH - WINDOW
-PART_BYTES, RUN_BYTES = 4_000_000, 8_000_000
+PART_BYTES, RUN_BYTES = 1_000_000, 8_000_000
 #: Regular samples of a run for the choice of splitters, samples that decide per shard, and anchors per shard.
 SAMPLES, DECIDING, SHARD_RECORDS = 32, 16, 100_000
 _FACTORS = mixed(np.arange(1, SURE // 8 + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
@@ -204,17 +204,32 @@ def _records(rows: list[tuple[str, bytes, list[int]]]) -> list[tuple]:
     ``right`` is what follows from the anchor, ``left`` what precedes, backwards, as far as strings of this anchor
     reach; ``least`` and ``most`` are the distances of such strings' starts before the anchor.
     """
-    data, starts = _row([r[1] for r in rows])
-    text, at, first, last = anchors(data, starts)
-    wanted = np.unique(np.array([h for r in rows for h in r[2]], np.int64))
-    keep = np.isin(_hashes(data, at).view(np.int64), wanted)
-    raw, out = data.tobytes(), []
-    for t, a, lo, hi in zip(text[keep].tolist(), at[keep].tolist(), first[keep].tolist(), last[keep].tolist(), strict=True):
-        out.append((raw[a:min(a + LENGTH, int(starts[t + 1]))], raw[lo:a][::-1], rows[t][0], a - int(starts[t]), a - hi, a - lo))
+    out: list[tuple] = []
+    for part in _parts(rows):
+        data, starts = _row([r[1] for r in part])
+        text, at, first, last = anchors(data, starts)
+        wanted = np.unique(np.array([h for r in part for h in r[2]], np.int64))
+        keep = np.isin(_hashes(data, at).view(np.int64), wanted)
+        raw = data.tobytes()
+        for t, a, lo, hi in zip(text[keep].tolist(), at[keep].tolist(), first[keep].tolist(), last[keep].tolist(), strict=True):
+            out.append((raw[a:min(a + LENGTH, int(starts[t + 1]))], raw[lo:a][::-1], part[t][0], a - int(starts[t]), a - hi, a - lo))
     out.sort()
     return out
 
 
+def _parts(rows: list[tuple[str, bytes, list[int]]]) -> Iterator[list[tuple]]:
+    """Rows with about ``PART_BYTES`` of text at a time: finding anchors takes some 80 bytes per byte of text."""
+    part, held = [], 0
+    for row in rows:
+        part.append(row)
+        held += len(row[1])
+        if held >= PART_BYTES:
+            yield part
+            part, held = [], 0
+    if part:
+        yield part
+
+
 def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
     rows, held = [], 0
     for batch in batches:
