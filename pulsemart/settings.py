@@ -82,16 +82,6 @@ BANK_TOPICS = (
     "cross_border_banking", "currency_exchange", "international_transfers",
     "canada_us_banking",
 )
-FINANCE_TOPICS = (
-    "fees", "fraud", "mobile_app", "branch_service", "mortgage", "cards",
-    "onboarding", "support_latency", "outage", "ux", "account_lock", "atm",
-    "overdraft", "chargeback", "rewards", "interest_rates", "credit_score",
-    "customer_service", "online_banking", "security", "billing", "loans",
-)
-CORE_TOPICS = (
-    "fees", "fraud", "mobile_app", "branch_service", "mortgage", "cards", "onboarding",
-    "support_latency", "outage", "ux", "account_lock", "atm", "overdraft", "chargeback",
-)
 URL_PATTERN = (
     r"http[s]?://(?:[a-zA-Z]|[0-9]|[$-_@.&+]|[!*\\(\\),]|(?:%[0-9a-fA-F][0-9a-fA-F]))+"
 )
@@ -303,16 +293,6 @@ COMPANY_NAMES = (
     ("truist", ("TRUIST BANK",)),
 )
 
-TD_COMPANY_NAMES = (
-    (
-        "td_bank",
-        (
-            "TD BANK USA, NATIONAL ASSOCIATION", "TD BANK, N.A.", "TD BANK US HOLDING COMPANY",
-            "TORONTO-DOMINION BANK", "TD AUTO FINANCE LLC", "TD AMERITRADE, INC.",
-            "TD AMERITRADE CLEARING, INC.",
-        ),
-    ),
-)
 
 # Default mention dictionary.  Repeated entries and case variants count as the
 # mention rules say, so the list is kept as it is.
@@ -361,15 +341,6 @@ TD_BANK_TERMS = (
 )
 MENTION_TERMS = {"td_bank": TD_BANK_TERMS}
 
-TREND_BRAND_TERMS = (
-    ("jpm", ("JPMorgan Chase", "Chase Bank")),
-    ("wf", ("Wells Fargo",)),
-    ("bac", ("Bank of America",)),
-    ("c", ("Citibank", "Citi")),
-    ("gs", ("Goldman Sachs",)),
-    ("ms", ("Morgan Stanley",)),
-    ("td", ("TD Bank", "Toronto-Dominion Bank")),
-)
 TREND_CATEGORIES = ("savings account", "checking account", "credit card", "mortgage rates")
 TREND_COMBINATIONS = (
     "savings account", "checking account", "credit card", "mortgage rates",
