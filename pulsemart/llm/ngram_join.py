@@ -12,9 +12,12 @@ formed as a whole:
 * Of the rest, a row's rarest columns suffice to find its partners: two rows
   that reach the bound share one of their first n - ceil(0.8 n) + 1 columns in
   order of frequency.
-* Entries are accumulated exactly for one hub row per column block first.  Rows
-  linked with the hub are one class, and pairs inside a class need no entry;
-  pairs of different classes that are left are accumulated in full.
+* Entries are accumulated exactly for one hub row per column first.  Rows that
+  link with the hub are one class, and pairs inside a class need no entry.  The
+  overlaps with the hub bound all others of its column: two rows share at most
+  the smaller of their overlaps with the hub, and what each has outside of it
+  in columns with other rows.  Rows and pairs that cannot reach the bound leave
+  (in a crowd of near copies, all but a few); what is left is accumulated.
 
 Equal shingle sets are one row throughout.  Rows are known by a 64-bit hash of
 their set, columns by 46 or more bits of theirs.
@@ -26,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsemart.llm.common import stage, text_of, unwrapped, wrapped
@@ -37,8 +40,6 @@ PARTS, OF = 80, 100
 CHUNK_BYTES = 4_000_000
 #: Column entries per shard, and bytes of a column's number inside its shard.
 SHARD_ENTRIES, COLUMN_BYTES = 1_000_000, 5
-#: Rounds with one hub per column before the pairs that are left are accumulated in full.
-HUB_ROUNDS = 2
 
 
 def needed(n: int | np.ndarray) -> int | np.ndarray:
@@ -194,22 +195,37 @@ def _candidates(shared: DataFrame) -> DataFrame:
     return shared.groupBy("block").applyInArrow(run, "key long, n long, alone long, columns binary, rare array<long>")
 
 
-def _linked(pairs: DataFrame, rows: DataFrame) -> DataFrame:
-    """Of candidate pairs ``(a, b)``, those whose overlap reaches the bound."""
-    one = rows.select(F.col("key").alias("a"), F.col("n").alias("n_a"), F.col("columns").alias("columns_a"))
-    two = rows.select(F.col("key").alias("b"), F.col("n").alias("n_b"), F.col("columns").alias("columns_b"))
+def _overlaps(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+    """Exact overlap of pairs ``(a, b)``: adds ``both`` and ``linked``, and ``strays_a``, ``last_a`` (and ``_b``).
+
+    Strays are a row's deciding columns that its partner lacks; last is the place of the last of them, from 0.
+    """
+    one, two = (
+        rows.select(F.col("key").alias(s), *(F.col(c).alias(f"{c}_{s}") for c in ("n", "columns", "rare"))) for s in ("a", "b")
+    )
+
+    def strays(rare: np.ndarray, columns: np.ndarray) -> tuple[int, int]:
+        at = np.flatnonzero(~np.isin(rare, columns))
+        return len(at), int(at[-1]) if len(at) else -1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["both", "linked", "strays_a", "last_a", "strays_b", "last_b"]
         for batch in batches:
-            keep = []
-            for n_a, columns_a, n_b, columns_b in zip(*(batch.column(k).to_pylist() for k in range(2, 6)), strict=True):
-                both = np.intersect1d(np.frombuffer(columns_a, "<u8"), np.frombuffer(columns_b, "<u8"), assume_unique=True).size
-                keep.append(OF * both >= PARTS * (n_a + n_b - both))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            out = []
+            for n_a, columns_a, rare_a, n_b, columns_b, rare_b in zip(*(batch.column(k).to_pylist() for k in range(2, 8)), strict=True):
+                x, y = np.frombuffer(columns_a, "<i8"), np.frombuffer(columns_b, "<i8")
+                both = np.intersect1d(x, y, assume_unique=True).size
+                out.append((both, OF * both >= PARTS * (n_a + n_b - both), *strays(np.array(rare_a), y), *strays(np.array(rare_b), x)))
+            kinds = [pa.int64(), pa.bool_(), *[pa.int64()] * 4]
+            columns = list(zip(*out, strict=True)) or [()] * 6
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], names=["a", "b", *names]
+            )
 
     return (
-        pairs.join(one, "a").join(two, "b").select("a", "b", "n_a", "columns_a", "n_b", "columns_b")
-        .mapInArrow(run, "a long, b long")
+        pairs.join(one, "a").join(two, "b")
+        .select("a", "b", "n_a", "columns_a", "rare_a", "n_b", "columns_b", "rare_b")
+        .mapInArrow(run, "a long, b long, both long, linked boolean, strays_a long, last_a long, strays_b long, last_b long")
     )
 
 
@@ -246,30 +262,71 @@ def classes(docs: DataFrame, total_shingles: int) -> DataFrame:
     """``(key, label)`` of all shingle sets that link with a different one."""
     shards = max(64, -(-total_shingles // SHARD_ENTRIES))
     rows = stage(_candidates(_shared(_entries(docs, shards), shards)), "rows")
-    columns = stage(rows.select("key", "n", "alone", F.explode("rare").alias("column")), "columns")
-    fits = OF * F.least("n", "n_other") >= PARTS * F.greatest("n", "n_other")
-    links: DataFrame | None = None
-    found: DataFrame | None = None
-    for turn in range(HUB_ROUNDS + 1):
-        if found is None:
-            open_ = columns.withColumn("label", F.col("key"))
-        else:
-            open_ = columns.join(found, "key", "left").withColumn("label", F.coalesce("label", "key"))
-            torn = open_.groupBy("column").agg(F.min("label").alias("l"), F.max("label").alias("h")).where("l != h").select("column")
-            open_ = open_.join(torn, "column")
-        if turn < HUB_ROUNDS:
-            # the row with the fewest columns of its own; in later turns, of another class than the first one's
-            order = F.struct((F.col("alone") / F.col("n")).alias("share"), "key", "n", "label")
-            hubs = open_.groupBy("column").agg((F.min(order) if turn == 0 else F.max(F.struct("label", order.alias("o")))["o"]).alias("hub"))
-            pairs = open_.join(hubs, "column").select("key", "n", "label", F.col("hub.key").alias("other"), F.col("hub.n").alias("n_other"), F.col("hub.label").alias("label_other"))
-        else:
-            other = open_.select("column", F.col("key").alias("other"), F.col("n").alias("n_other"), F.col("label").alias("label_other"))
-            pairs = open_.join(other, "column")
-        pairs = pairs.where((F.col("label") != F.col("label_other")) & fits).select(F.least("key", "other").alias("a"), F.greatest("key", "other").alias("b")).distinct()
-        new = stage(_linked(pairs, rows), "links")
-        links = new if links is None else links.unionByName(new)
-        found = stage(components(links), "classes")
-    return found
+    columns = stage(rows.select("key", "n", "alone", F.posexplode("rare").alias("place", "column")), "columns")
+    # The row with the fewest columns of its own, as a crowd's pattern has.
+    best = F.struct((F.col("alone") / F.col("n")).alias("share"), "key", "n")
+    hubs = columns.groupBy("column").agg(F.min(best).alias("hub"), F.count("*").alias("height")).where("height > 1")
+    placed = stage(
+        columns.join(hubs, "column").select("column", "place", "key", "n", "alone", F.col("hub.key").alias("hub"), F.col("hub.n").alias("n_hub")),
+        "placed",
+    )
+    first = placed.where((F.col("key") != F.col("hub")) & _fits("n", "n_hub")).select(*_pair("key", "hub")).distinct()
+    overlaps = stage(_overlaps(first, rows), "overlaps")
+    links = overlaps.where("linked").select("a", "b")
+    found = stage(components(links), "classes")
+    left = stage(_overlaps(_open_pairs(placed, overlaps, found), rows), "left")
+    more = left.where("linked").select("a", "b")
+    return found if more.isEmpty() else stage(components(links.unionByName(more)), "classes")
+
+
+def _fits(n: str, other: str) -> Column:
+    return OF * F.least(n, other) >= PARTS * F.greatest(n, other)
+
+
+def _pair(one: str, two: str) -> tuple[Column, Column]:
+    return F.least(one, two).alias("a"), F.greatest(one, two).alias("b")
+
+
+def _open_pairs(placed: DataFrame, overlaps: DataFrame, found: DataFrame) -> DataFrame:
+    """Pairs of different classes that share a deciding column and may reach the bound, by what the hubs show.
+
+    Two rows share at most the smaller of their overlaps with the column's hub, and columns outside of the hub.  If all
+    of a row's columns outside of the hub come before this column in the order of frequency, a pair that needs one of
+    them meets there, and is left to that column.  Of each column, only rows outside the hub's class are held against
+    the others, so a column costs its height times the number of rows that neither link with its hub nor are ruled out.
+    """
+    known = overlaps.select("a", "b", "both", "strays_a", "last_a", "strays_b", "last_b")
+    label = found.select("key", "label")
+    is_hub, own = F.col("key") == F.col("hub"), F.col("key") == F.col("a")
+    inside = F.when(is_hub, F.col("n") - F.col("alone")).otherwise(F.coalesce("both", F.least("n", "n_hub")))
+    outside = F.col("n") - F.col("alone") - F.when(is_hub | F.col("both").isNotNull(), F.col("inside")).otherwise(0)
+    strays, last = (F.when(own, F.col(f"{c}_a")).otherwise(F.col(f"{c}_b")) for c in ("strays", "last"))
+    rows = (
+        placed.select("*", *_pair("key", "hub")).join(known, ["a", "b"], "left")
+        .withColumn("inside", inside).withColumn("outside", outside)
+        .withColumn("closed", F.coalesce((strays == F.col("outside")) & (last < F.col("place")), F.lit(False)) | is_hub)
+        .select("column", "key", "n", "alone", "hub", "inside", F.when(F.col("closed"), 0).otherwise(F.col("outside")).alias("outside"))
+        .join(label, "key", "left").withColumn("label", F.coalesce("label", "key"))
+        .join(label.select(F.col("key").alias("hub"), F.col("label").alias("hub_label")), "hub", "left")
+        .withColumn("hub_label", F.coalesce("hub_label", "hub"))
+    )
+    reach = F.ceil((F.col("n") + F.col("n_least")) * PARTS / (OF + PARTS))
+    bounds = rows.groupBy("column").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"), F.min("n").alias("n_least"), F.max("outside").alias("outside_most")
+    ).where("low != high").drop("low", "high")
+    able = F.least(F.col("n") - F.col("alone"), F.col("inside") + F.least("outside", "outside_most")) >= reach
+    rows = stage(rows.join(bounds, "column").where(able).select("column", "key", "n", "alone", "label", "hub_label", "inside", "outside"), "able")
+    other = rows.select("column", *(F.col(c).alias(f"{c}_other") for c in ("key", "n", "alone", "label", "inside", "outside")))
+    need = F.ceil((F.col("n") + F.col("n_other")) * PARTS / (OF + PARTS))
+    bound = F.least(
+        F.least("inside", "inside_other") + F.least("outside", "outside_other"),
+        F.col("n") - F.col("alone"), F.col("n_other") - F.col("alone_other"),
+    )
+    return (
+        rows.where("label != hub_label").join(other, "column")
+        .where((F.col("label") != F.col("label_other")) & _fits("n", "n_other") & (bound >= need))
+        .select(*_pair("key", "key_other")).distinct()
+    )
 
 
 def join(docs: DataFrame, members: DataFrame) -> DataFrame:

@@ -138,11 +138,24 @@ def test_join(spark, docs, sample, empty):
     assert ngram_join.near_duplicates(empty).collect() == []
 
 
-@pytest.mark.parametrize("rounds", [0, 2])
-def test_join_of_chains_and_crowds(spark, rounds, monkeypatch):
-    monkeypatch.setattr(ngram_join, "HUB_ROUNDS", rounds)
-    table = spark.createDataFrame(chained(), "doc_id long, text string")
-    sets = [(i, shingled(t)) for i, t in chained()]
+def crowds():
+    """Near copies of two patterns with one to four edits each, some of them shared, and columns common to both patterns."""
+    rng, out = random.Random(12), []
+    for g in range(2):
+        pattern = [f"c{j}" for j in range(30)] + [f"p{g}x{j}" for j in range(90)]
+        for k in range(40):
+            text = list(pattern)
+            for _ in range(rng.randrange(5)):
+                at = rng.randrange(len(text))
+                text[at] = rng.choice([f"e{at}", f"e{g}y{k}z{at}"])
+            out.append((1000 * g + k, " ".join(text[rng.randrange(4):])))
+    return out
+
+
+@pytest.mark.parametrize("make", [chained, crowds])
+def test_join_of_chains_and_crowds(spark, make):
+    table = spark.createDataFrame(make(), "doc_id long, text string")
+    sets = [(i, shingled(t)) for i, t in make()]
     assert ordered(map(tuple, ngram_join.near_duplicates(table).collect())) == ordered((i, len(s), c) for (i, s), c in zip(sets, brute_components(sets), strict=True))
 
 
