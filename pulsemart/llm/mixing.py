@@ -81,9 +81,9 @@ def source_targets(
 
 def mix(
     docs: DataFrame, schedules: Sequence[Schedule] = CURRICULUM, budget: float = 1.5, most: float = 2.0,
-    cut: bool = True, rows_per_range: int = 100_000, size: Column | None = None,
+    cut: bool = True, size: Column | None = None,
 ) -> DataFrame:
-    """The documents with what the mix takes of them.
+    """The documents with what the mix takes of them.  Columns named ``mix_…`` belong to the operator.
 
     Adds ``mix_size`` (words; a missing text has none), ``mix_source_size``, ``mix_target`` and ``mix_copies``, an
     array of (copy, words, position): position is the training time of the copy's middle, in 0 to 1.  A source whose
@@ -95,31 +95,31 @@ def mix(
     """
     hashed = F.xxhash64("doc_id")
     base = docs.withColumns({
-        "mix_size": word_count() if size is None else size, "_h": hashed,
-        "_missing": F.col("source").isNull(), "_name": F.coalesce("source", F.lit("")),
+        "mix_size": word_count() if size is None else size, "mix_h": hashed,
+        "mix_missing": F.col("source").isNull(), "mix_name": F.coalesce("source", F.lit("")),
     })
-    ranges = max(1, math.ceil(docs.count() / rows_per_range))
-    base = base.withColumn("_range", F.least(F.floor((F.col("_h") / 2.0**64 + 0.5) * ranges), F.lit(ranges - 1)))
+    ranges = max(1, math.isqrt(docs.count()))
+    base = base.withColumn("mix_range", F.least(F.floor((F.col("mix_h") / 2.0**64 + 0.5) * ranges), F.lit(ranges - 1)))
 
-    sums = base.groupBy("_missing", "_name", "_range").agg(F.sum("mix_size").alias("_sum"))
-    earlier = Window.partitionBy("_missing", "_name").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sums.withColumn("_base", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)))
+    sums = base.groupBy("mix_missing", "mix_name", "mix_range").agg(F.sum("mix_size").alias("mix_sum"))
+    earlier = Window.partitionBy("mix_missing", "mix_name").orderBy("mix_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sums.withColumn("mix_base", F.coalesce(F.sum("mix_sum").over(earlier), F.lit(0)))
     targets = source_targets(
-        sums.select(F.col("_missing").alias("missing"), F.col("_name").alias("name"), F.col("_sum").alias("size")),
+        sums.select(F.col("mix_missing").alias("missing"), F.col("mix_name").alias("name"), F.col("mix_sum").alias("size")),
         schedules, budget, most,
     ).select(
-        F.col("missing").alias("_missing"), F.col("name").alias("_name"), F.col("rank").alias("_rank"),
+        F.col("missing").alias("mix_missing"), F.col("name").alias("mix_name"), F.col("rank").alias("mix_rank"),
         F.col("source_size").alias("mix_source_size"), F.col("target").alias("mix_target"),
     )
-    before = Window.partitionBy("_missing", "_name", "_range").orderBy("_h", "doc_id", "mix_size").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("mix_missing", "mix_name", "mix_range").orderBy("mix_h", "doc_id", "mix_size").rowsBetween(Window.unboundedPreceding, -1)
     placed = (
-        base.join(starts.join(targets, ["_missing", "_name"]).drop("_sum"), ["_missing", "_name", "_range"])
-        .withColumn("_start", F.col("_base") + F.coalesce(F.sum("mix_size").over(before), F.lit(0)))
+        base.join(starts.join(targets, ["mix_missing", "mix_name"]).drop("mix_sum"), ["mix_missing", "mix_name", "mix_range"])
+        .withColumn("mix_start", F.col("mix_base") + F.coalesce(F.sum("mix_size").over(before), F.lit(0)))
     )
     limit = F.floor("mix_target").cast("long")
 
     def copy(k: int) -> Column:
-        start = F.col("_start") + F.col("mix_source_size") * k
+        start = F.col("mix_start") + F.col("mix_source_size") * k
         if cut:
             words = F.greatest(F.lit(0), F.least(F.col("mix_size"), limit - start)).cast("long")
         else:
@@ -127,11 +127,11 @@ def mix(
         share = F.least((start + words / 2) / F.greatest(limit, F.lit(1)), F.lit(1.0))
         position = F.lit(None).cast("double")
         for k_s, schedule in enumerate(schedules):
-            position = F.when(F.col("_rank") % len(schedules) == k_s, _time_of(share, schedule)).otherwise(position)
+            position = F.when(F.col("mix_rank") % len(schedules) == k_s, _time_of(share, schedule)).otherwise(position)
         return F.struct(F.lit(k).alias("copy"), words.alias("words"), position.alias("position"))
 
     copies = F.filter(F.array(*(copy(k) for k in range(math.ceil(most)))), lambda c: c["words"] > 0)
-    return placed.withColumn("mix_copies", copies).drop("_missing", "_name", "_range", "_h", "_base", "_rank", "_start")
+    return placed.withColumn("mix_copies", copies).drop("mix_missing", "mix_name", "mix_range", "mix_h", "mix_base", "mix_rank", "mix_start")
 
 
 def in_training_order(mixed: DataFrame) -> DataFrame:
