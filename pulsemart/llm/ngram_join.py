@@ -330,10 +330,11 @@ def _open_pairs(placed: DataFrame, overlaps: DataFrame, found: DataFrame) -> Dat
 
 
 def join(docs: DataFrame, members: DataFrame) -> DataFrame:
-    """Component of each row of ``members`` (``doc_id``, ``n_shingles``, ``set_key``): adds ``component_id``.
+    """Component of each row of ``members`` (``doc_id``, ``n_shingles``, ``set_key``): adds ``label`` and ``component_id``.
 
     The component is the smallest id among all rows reachable by links.  A text without words is linked with nothing
-    and has its own id; a missing text is empty; a missing id is never the smallest, unless all are missing.
+    and has its own id; a missing text is empty; a missing id is never the smallest, unless all are missing.  Ids may
+    be missing or repeated, so components of several texts can have the same id; ``label`` tells them apart.
     """
     total = members.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).head()[0]
     found = classes(docs, total)
@@ -341,7 +342,7 @@ def join(docs: DataFrame, members: DataFrame) -> DataFrame:
     smallest = labelled.where("n_shingles > 0").groupBy("label").agg(F.min("doc_id").alias("smallest"))
     return labelled.join(smallest, "label", "left").withColumn(
         "component_id", F.when(F.col("n_shingles") > 0, F.col("smallest")).otherwise(F.col("doc_id"))
-    ).drop("label", "smallest")
+    ).drop("smallest")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -353,15 +354,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """The documents with one row of each component: that with the smallest id (of equal rows, any).
 
-    Texts without words all stay.
+    A missing id comes last.  Texts without words all stay.
     """
     rows = wrapped(docs)
     members = stage(with_sets(rows, ["doc_id"]), "members")
     joined = stage(join(rows, members), "joined")
+    first = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "set_key")
     kept = (
-        joined.where("n_shingles > 0").groupBy("component_id")
-        .agg(F.min(F.when(F.col("doc_id").eqNullSafe(F.col("component_id")), F.col("set_key"))).alias("kept_key"))
-        .withColumnRenamed("component_id", "kept_id")
+        joined.where("n_shingles > 0").groupBy("label").agg(F.min(first).alias("kept"))
+        .select(F.col("kept.doc_id").alias("kept_id"), F.col("kept.set_key").alias("kept_key"))
     )
     described = with_sets(rows, ["row", "doc_id", "text"])
     one = (

@@ -171,6 +171,14 @@ def test_keep_one(clashing, sample, empty):
     assert ngram_join.keep_one(empty).collect() == []
 
 
+def test_keep_one_of_real_components(spark):
+    own = [" ".join(f"u{k}x{j}" for j in range(20)) for k in range(5)]
+    near = " ".join(f"u4x{j}" for j in range(19))  # links with the last text, 15 of 16 shingles
+    table = [(None, own[0]), (None, own[1]), (3, own[2]), (3, own[3]), (None, own[4]), (9, near), (9, near), (None, "")]
+    kept = ngram_join.keep_one(spark.createDataFrame(table, "doc_id long, text string").repartition(3)).collect()
+    assert ordered(map(tuple, kept)) == ordered([*table[:4], (9, near), (None, "")])
+
+
 def brute_repeats(texts):
     length, seen = suffix_dedup.LENGTH, Counter()
     for t in texts:
