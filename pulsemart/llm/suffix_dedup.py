@@ -16,6 +16,8 @@ are sorted, and each string belongs to exactly one of them.
    with the last one put out, and compares bytes only beyond it.
 5. Neighbours with long common prefixes are repeated to the right of their
    anchors; among them, common bytes to the left decide which strings repeat.
+   Anchors whose next bytes are very frequent take no part in 2 to 5: their
+   strings are counted by hashes of both sides, so no task holds such a group.
 
 Texts that are equal as a whole are one text in all this, and are removed if
 they have ``LENGTH`` bytes.
@@ -28,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsemart.llm.common import stage, text_of
@@ -40,6 +42,8 @@ SURE = LENGTH - WINDOW
 PART_BYTES, RUN_BYTES = 1_000_000, 8_000_000
 #: Regular samples of a run for the choice of splitters, samples that decide per shard, and anchors per shard.
 SAMPLES, DECIDING, SHARD_RECORDS = 32, 16, 100_000
+#: Anchors with equal next bytes that are merged; more of them are counted.  Distances of a node, counted together first.
+HOT_RECORDS, NODE = 2_000, 16
 _FACTORS = mixed(np.arange(1, SURE // 8 + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
@@ -261,18 +265,8 @@ def _runs(texts: DataFrame, splitters: list[bytes]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for records in _batches(batches):
-            kept, spans = [], []
-            k = 0
-            while k < len(records):
-                end = k + 1
-                while end < len(records) and records[end][0] == records[k][0] and records[end][1] == records[k][1]:
-                    end += 1
-                if end - k > 1:  # equal on both sides: all strings of these anchors are repeated
-                    spans += [(sha, a - most, a - least + LENGTH) for _, _, sha, a, least, most in records[k:end]]
-                # one goes on, with the widest range of strings
-                widest = records[k]
-                kept.append((*widest[:4], min(r[4] for r in records[k:end]), widest[5], end - k))
-                k = end
+            kept, equal = _condensed(records)
+            spans = [(sha, a - most, a - least + LENGTH) for _, _, sha, a, least, most in equal]
             out = []
             if spans:
                 out.append((-1, b"", b"", "\n".join(f"{s} {a} {b}" for s, a, b in spans).encode()))
@@ -287,6 +281,23 @@ def _runs(texts: DataFrame, splitters: list[bytes]) -> DataFrame:
     return texts.mapInArrow(run, "shard int, numbers binary, strings binary, names binary")
 
 
+def _condensed(records: list[tuple]) -> tuple[list[tuple], list[tuple]]:
+    """One of all records equal on both sides, with their number, and those of which all strings are repeated."""
+    kept, equal = [], []
+    k = 0
+    while k < len(records):
+        end = k + 1
+        while end < len(records) and records[end][0] == records[k][0] and records[end][1] == records[k][1]:
+            end += 1
+        if end - k > 1:  # equal on both sides: all strings of these anchors are repeated
+            equal += records[k:end]
+        # one goes on, with the widest range of strings
+        widest = records[k]
+        kept.append((*widest[:4], min(r[4] for r in records[k:end]), widest[5], end - k))
+        k = end
+    return kept, equal
+
+
 def _first_at(records: list[tuple], splitter: bytes) -> int:
     low, high = 0, len(records)
     while low < high:
@@ -360,6 +371,81 @@ def _merged(runs: DataFrame) -> DataFrame:
     return runs.groupBy("shard").applyInArrow(run, "sha string, start long, end long")
 
 
+def _hot_records(texts: DataFrame) -> DataFrame:
+    """``sha, anchor, near, far, copies, right, left`` of the anchors listed; without copies, a run has settled them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for records in _batches(batches):
+            kept, equal = _condensed(records)
+            out = [(sha, a, least, most, None, None, None) for _, _, sha, a, least, most in equal]
+            out += [(sha, a, least, most, min(copies, 2), right, left) for right, left, sha, a, least, most, copies in kept]
+            columns = list(zip(*out, strict=True)) or [()] * 7
+            kinds = [pa.string(), *[pa.int64()] * 4, pa.binary(), pa.binary()]
+            names = ["sha", "anchor", "near", "far", "copies", "right", "left"]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
+
+    return texts.mapInArrow(run, "sha string, anchor long, near long, far long, copies long, right binary, left binary")
+
+
+def _prints(distance_right: Column, distance_left: Column) -> Column:
+    """128 bits of hash of what is common to strings that start between the two distances before their anchors."""
+    right, left = F.col("right").substr(F.lit(1), F.lit(LENGTH) - distance_right), F.col("left").substr(F.lit(1), distance_left)
+    return F.struct(F.xxhash64(right, left).alias("one"), F.xxhash64(F.lit(1), left, right).alias("two"))
+
+
+def _counted(texts: DataFrame) -> DataFrame:
+    """Spans of repeated strings at anchors whose next bytes are so frequent that no task may hold all of them.
+
+    The string that starts d bytes before its anchor is known by ``LENGTH - d`` bytes to the right and d to the left,
+    and repeated if this occurs twice.  Distances are counted a node at a time first.  If no other anchor has what all
+    strings of the node have in common, none is repeated; if another has all that the node's strings reach, all are;
+    such anchors are one class.  The strings of what is left are counted by themselves, against one of each class.  All
+    strings of an anchor contain it, so its first and last repeated one make one span.  Counts are added up in each task
+    before they are exchanged, and only keys that occur once are joined to their one anchor, so no key is hot.
+    """
+    found = stage(_hot_records(texts).withColumn("id", F.monotonically_increasing_id()), "hot")
+    open_ = found.where("copies is not null")
+    low, high = F.col("node") * NODE, F.col("node") * NODE + NODE - 1
+    asked = (
+        open_.select("*", F.explode(F.sequence(F.floor(F.col("near") / NODE), F.floor(F.col("far") / NODE))).alias("node"))
+        .withColumn("whole", (F.col("near") <= low) & (F.col("far") >= high))
+        .select(
+            "id", "node", "copies", _prints(high, low).alias("common"), F.when(F.col("whole"), _prints(low, high)).alias("all"),
+            F.when(~F.col("whole"), F.col("id")).alias("part"),
+        )
+    )
+    lonely = asked.groupBy("node", "common").agg(F.sum("copies").alias("n"), F.min("id").alias("id")).where("n = 1").select("id", "node", F.lit(True).alias("lonely"))
+    nodes = stage(
+        asked.groupBy("node", "all", "part").agg(F.sum("copies").alias("n"), F.min("id").alias("id"))
+        .join(lonely, ["id", "node"], "left")
+        .select("id", "node", "n", (F.col("part").isNotNull() | (F.col("n") == 1)).alias("single"), F.coalesce("lonely", F.lit(False)).alias("lonely")),
+        "nodes",
+    )
+    once = (
+        nodes.where("not lonely").join(open_.select("id", "near", "far", "right", "left"), "id")
+        .select("id", "n", "right", "left", F.explode(F.sequence(F.greatest(low, "near"), F.least(high, "far"))).alias("distance"))
+        .select("n", "id", "distance", _prints(F.col("distance"), F.col("distance")).alias("string"))
+        .groupBy("distance", "string").agg(F.sum("n").alias("n"), F.min("id").alias("id")).where("n = 1").select("id", "distance")
+    )
+    # What is known of each anchor's nodes and distances; a node or distance of which nothing is said is repeated.
+    no = F.lit(None).cast("long")
+    known = (
+        nodes.where("single").select("id", F.when(F.col("lonely"), F.col("node")).alias("gone"), no.alias("once"))
+        .unionByName(once.select("id", no.alias("gone"), F.col("distance").alias("once")))
+        .groupBy("id").agg(F.collect_set("gone").alias("gone"), F.collect_set("once").alias("once"))  # at most WINDOW
+    )
+    nothing = F.array().cast("array<long>")
+    repeated_ = F.filter(
+        F.sequence("near", "far"),
+        lambda d: ~F.array_contains(F.coalesce("gone", nothing), F.floor(d / NODE)) & ~F.array_contains(F.coalesce("once", nothing), d),
+    )
+    spans = (
+        open_.select("id", "sha", "anchor", "near", "far").join(known, "id", "left").withColumn("distances", repeated_).where(F.size("distances") > 0)
+        .select("sha", (F.col("anchor") - F.array_max("distances")).alias("start"), (F.col("anchor") - F.array_min("distances") + LENGTH).alias("end"))
+    )
+    return found.where("copies is null").select("sha", F.expr("anchor - far").alias("start"), (F.col("anchor") - F.col("near") + LENGTH).alias("end")).unionByName(spans)
+
+
 def _settled(runs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -388,14 +474,20 @@ def repeated(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     described = stage(_describe(docs), "anchors")
     texts = described.groupBy("sha").agg(F.count("*").alias("copies"), F.any_value("hashes").alias("hashes"))
     places = stage(texts.where(F.size("hashes") > 0).select("sha", F.explode("hashes").alias("hash")), "places")
-    often = places.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
-    wanted = places.join(often, "hash").groupBy("sha").agg(F.collect_set("hash").alias("hashes"))
-    open_ = stage(_once(docs).join(wanted, "sha").groupBy("sha").agg(F.first("text").alias("text"), F.first("hashes").alias("hashes")), "open")
-    records = open_.agg(F.coalesce(F.sum(F.size("hashes")), F.lit(0))).head()[0]
-    source = open_.select("sha", "text", "hashes")
+    often = places.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash", (F.col("n") > HOT_RECORDS).alias("hot"))
+    wanted = places.join(often, "hash").groupBy("sha").agg(
+        F.collect_set(F.when(~F.col("hot"), F.col("hash"))).alias("hashes"), F.collect_set(F.when(F.col("hot"), F.col("hash"))).alias("hot")
+    )
+    open_ = stage(
+        _once(docs).join(wanted, "sha").groupBy("sha").agg(*(F.first(c).alias(c) for c in ("text", "hashes", "hot"))), "open"
+    )
+    records, hot = open_.agg(*(F.coalesce(F.sum(F.size(c)), F.lit(0)) for c in ("hashes", "hot"))).head()
+    source = open_.where(F.size("hashes") > 0).select("sha", "text", "hashes")
     shards = max(64, -(-records // SHARD_RECORDS))
     runs = stage(_runs(source, _splitters(source, shards)), "runs")
     spans = _settled(runs).unionByName(_merged(runs.where("shard >= 0")))
+    if hot:
+        spans = spans.unionByName(_counted(open_.where(F.size("hot") > 0).select("sha", "text", "hot")))
     by_text = spans.groupBy("sha").agg(F.collect_set(F.struct("start", "end")).alias("spans"))  # at most two per anchor and level
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -410,7 +502,7 @@ def repeated(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
             kinds = [pa.string(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.string(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["sha", "spans", "kept_sha256", "kept"])
 
-    done = source.select("sha", "text").join(by_text, "sha").select("sha", "text", "spans").mapInArrow(
+    done = open_.select("sha", "text").join(by_text, "sha").select("sha", "text", "spans").mapInArrow(
         cut, "sha string, spans array<struct<start:bigint,end:bigint>>, kept_sha256 string, kept binary"
     )
     return described.select("doc_id", "sha", "n_bytes").join(texts.select("sha", "copies"), "sha"), done

@@ -215,6 +215,23 @@ def test_removal_of_passages_that_differ_at_either_end(spark, monkeypatch):
     assert sorted(map(tuple, suffix_dedup.remove_repeats(table).collect())) == want
 
 
+def test_no_task_merges_a_frequent_passage(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "HOT_RECORDS", 4, raising=False)
+    merged, runs = [], suffix_dedup._runs
+    monkeypatch.setattr(suffix_dedup, "_runs", lambda texts, splitters: merged.append(texts) or runs(texts, splitters))
+    rng = random.Random(9)
+    rand = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    passage, other = rand("abcdef ghij", 900), rand("abcdef ghij", 500)
+    texts = [rand("klmnop", rng.randrange(300)) + passage[rng.randrange(200):rng.randrange(560, 900)] + rand("qrstu", rng.randrange(300)) for _ in range(60)]
+    texts += [rand("klmnop", 90) + passage[a:b] + rand("qrstu", 90) for a, b in ((0, 300), (300, 560), (100, 499), (100, 500), (101, 501))]
+    texts += [passage, passage + rand("klm", 20), rand("klm", 20) + passage, other + "k", "l" + other, "z" * 1500, "ab" * 450]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(7)
+    got = sorted(map(tuple, suffix_dedup.remove_repeats(table).collect()))
+    assert got == [(k, *x) for k, x in enumerate(brute_repeats([t.encode() for t in texts]))]
+    (listed,) = [r.hashes for texts in merged for r in texts.selectExpr("explode(hashes) as h").groupBy("h").count().selectExpr("max(count) as hashes").collect()]
+    assert listed and listed <= 4
+
+
 def test_loser_tree_carries_prefixes():
     rng = random.Random(2)
     runs = [sorted(bytes(rng.choice(b"ab") for _ in range(rng.randrange(12))) for _ in range(rng.randrange(1, 30))) for _ in range(7)]
