@@ -62,8 +62,8 @@ def upsert(
 ) -> None:
     """Keyed upsert of a partitioned Parquet table; repeating it changes nothing.
 
-    A key keeps the partition of its first insert, so only partitions that hold
-    an incoming key, or receive a new one, are rewritten.  A stored row wins
+    A key keeps the partition of its first insert, also a missing one, so only
+    partitions that hold an incoming key, or receive a new one, are rewritten.  A stored row wins
     against an incoming one with equal ``newest`` columns.  Rows of keys that
     are not in the batch pass through without a shuffle when the batch is small
     enough for Spark to broadcast.
@@ -76,15 +76,14 @@ def upsert(
     with Staging(spark) as area:
         # Read several times below; staged, its size is known.
         batch = area.stage(incoming, "batch")
-        home = table.select(*keys, F.col(partition).alias("_home")).join(batch.select(*keys), list(keys), "left_semi")
+        home = table.select(*keys, F.struct(F.col(partition).alias("value")).alias("_home")).join(batch.select(*keys), list(keys), "left_semi")
         placed = (
             batch.join(home, list(keys), "left")
-            .withColumn(partition, F.coalesce("_home", partition))
+            .withColumn(partition, F.when(F.col("_home").isNotNull(), F.col("_home.value")).otherwise(F.col(partition)))
             .drop("_home")
         )
-        # A value per touched table partition, fewer than the file index lists; as literals they prune the scan.
-        touched = [row[0] for row in placed.select(partition).distinct().collect()]
-        affected = table.filter(F.col(partition).isin(touched))
+        touched = placed.select(F.col(partition).alias("_touched")).distinct()
+        affected = table.join(touched, F.col(partition).eqNullSafe(F.col("_touched")), "left_semi")
         merged = merged_versions(affected, placed, keys, newest)
         # The scan ends before the new folders replace the old ones, so no copy of the result is staged.
         (

@@ -79,6 +79,19 @@ def test_upsert_is_idempotent_and_keeps_the_first_partition(spark, tmp_path):
     assert rows == [(1, 11, "2024-01-01"), (2, 20, "2024-01-02"), (3, 30, "2024-01-03"), (4, 41, "2024-01-01")]
 
 
+def test_upsert_keeps_rows_without_a_time(spark, tmp_path):
+    path = str(tmp_path / "t")
+    schema = "event_id int, v int, stamp int, dt date"
+    day = dt.date(2024, 1, 1)
+    first = spark.createDataFrame([(1, 10, 1, None), (2, 20, 1, None), (3, 30, 1, day)], schema)
+    later = spark.createDataFrame([(2, 21, 2, None), (4, 40, 1, None), (5, 50, 1, day)], schema)
+    timed = spark.createDataFrame([(1, 11, 2, day)], schema)  # stays where it was first put
+    for batch in (first, later, later, timed):
+        tables.upsert(spark, path, batch, ["event_id"], ["stamp"])
+    rows = sorted((r.event_id, r.v, str(r.dt)) for r in spark.read.parquet(path).collect())
+    assert rows == [(1, 11, "None"), (2, 21, "None"), (3, 30, "2024-01-01"), (4, 40, "None"), (5, 50, "2024-01-01")]
+
+
 def test_append_new_and_replace(spark, tmp_path):
     path = str(tmp_path / "t")
     rows = spark.createDataFrame([(1, dt.date(2024, 1, 1)), (2, dt.date(2024, 1, 1))], "id int, dt date")
