@@ -2,7 +2,9 @@
 
 A rule rejects a document whose measure is above a cutoff.  For each stratum
 (language) and rule, cutoffs are tried from the mildest to the strictest on
-the labelled good documents; the strictest before the first failure is taken.
+the labelled good documents, up to the strictest before the first failure.  Of
+these the mildest is taken that rejects all labelled bad documents which the
+strictest one rejects, so that no good document is lost for nothing.
 A cutoff passes if the exact binomial (Clopper-Pearson) upper bound of its
 false-rejection rate is at most the rule's share of the risk.  Testing in a
 fixed order needs no correction along the grid; over strata and rules the
@@ -120,6 +122,12 @@ def strictest(good: np.ndarray, risk: float, confidence_left: float) -> int:
     return passed
 
 
+def mildest(bad: np.ndarray, step: int) -> int:
+    """The highest step whose cutoff rejects as many bad documents, counted by step, as that at ``step``."""
+    above = np.flatnonzero(bad[step + 1:])
+    return step + int(above[0]) if len(above) else len(bad) - 1
+
+
 def _step(expression: str, width: float) -> Column:
     return F.least(F.ceil(F.expr(expression) / width), F.lit(STEPS)).cast("int")
 
@@ -128,26 +136,28 @@ def choose_cutoffs(measured: DataFrame, labels: DataFrame, risk: float = 0.05, c
     """Cutoffs by stratum: ``(stratum, cutoffs map<rule, step>)`` from measured and labelled documents.
 
     All labelled good documents that pass the base rules are the holdout.  A document with labels that disagree is not
-    used; a missing label, id or table gives no cutoff, so nothing is rejected.
+    used; a missing label, id or table gives no cutoff, so nothing is rejected, as by a rule that meets no bad document.
     """
-    good = (
-        labels.where("doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("q")).where("q = 1").select("doc_id")
+    labelled = (
+        labels.where("doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("q"), F.max("quality").alias("most"))
+        .where("q = 1 or most = 0").select("doc_id", (F.col("q") == 1).alias("good"))
     )
     steps = F.explode(F.array(*(
         F.struct(F.lit(name).alias("rule"), _step(how, width).alias("step")) for name, how, width in RULES
     )))
     counts = (
-        measured.where("not base_failed").join(good, "doc_id", "left_semi")
-        .select(F.coalesce("lang", F.lit("")).alias("stratum"), steps.alias("s"))
-        .groupBy("stratum", "s.rule", "s.step").agg(F.count("*").alias("n"))
+        measured.where("not base_failed").join(labelled, "doc_id")
+        .select(F.coalesce("lang", F.lit("")).alias("stratum"), "good", steps.alias("s"))
+        .groupBy("stratum", "s.rule", "s.step").agg(F.count_if("good").alias("n"), F.count_if(~F.col("good")).alias("n_bad"))
     )
-    strata = max(1, counts.select("stratum").distinct().count())
+    strata = max(1, counts.where("n > 0").select("stratum").distinct().count())
 
     def choose(rows: pd.DataFrame) -> pd.DataFrame:
-        good = np.zeros(STEPS + 1, np.int64)
+        good, bad = np.zeros((2, STEPS + 1), np.int64)
         np.add.at(good, rows["step"].to_numpy(), rows["n"].to_numpy())
+        np.add.at(bad, rows["step"].to_numpy(), rows["n_bad"].to_numpy())
         left = (1 - confidence) / (strata * len(RULES))
-        step = strictest(good, risk / len(RULES), left)
+        step = mildest(bad, strictest(good, risk / len(RULES), left))
         return pd.DataFrame({"stratum": [rows["stratum"].iloc[0]], "rule": [rows["rule"].iloc[0]], "step": [step]})
 
     chosen = counts.groupBy("stratum", "rule").applyInPandas(choose, "stratum string, rule string, step int")

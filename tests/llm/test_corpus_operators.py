@@ -72,6 +72,17 @@ def test_cutoffs_limit_false_rejections():
     assert quality.strictest(np.array([10**6, 0, 0]), 0.02, 0.05) == 0
 
 
+def test_no_good_document_is_spent_for_nothing(spark, docs):
+    rng = random.Random(2)
+    text = lambda k: " ".join(f"{rng.randrange(10 ** (2 + k % 7))}{'$$$' if k % 4 == 0 else ''}" for _ in range(60))
+    table = spark.createDataFrame([(k, text(k), "en", "s", 1) for k in range(4000)], docs.schema)
+    labels = spark.createDataFrame([(k, int(k % 4 > 0), 0) for k in range(4000)], LABELS)
+    measured = quality.measure(table, ["doc_id", "lang"])
+    rejected = quality.judge(measured, quality.choose_cutoffs(measured, labels)).where("not base_failed and not kept").collect()
+    assert {r.doc_id % 4 for r in rejected} == {0}
+    assert quality.mildest(np.array([0, 5, 0, 0, 2, 1]), 1) == 3 and quality.mildest(np.array([4, 0, 0]), 0) == 2
+
+
 def test_rules_reject_junk_and_keep_the_rest(spark, clashing, docs, empty):
     rng = random.Random(1)
     text = lambda k, bad: " ".join(f"{rng.randrange(10**6)}{'$$$' if bad else ''}" for _ in range(60))
