@@ -268,8 +268,8 @@ def diverse(
             found = best if found is None else found.unionByName(best)
             closer = F.greatest("_closest", dot(F.col("_unit"), F.col("_best.unit")))
             rows = area.stage(
-                rows.join(best, topic).filter(F.col(key) != F.col("_best.key"))
-                .select(topic, key, "_score", "_unit", closer.alias("_closest")),
+                rows.join(best.withColumnRenamed(topic, "_topic"), F.col(topic).eqNullSafe(F.col("_topic")))
+                .filter(F.col(key) != F.col("_best.key")).select(topic, key, "_score", "_unit", closer.alias("_closest")),
                 "candidates",
             )
         picked = found.select(topic, F.col("_best.key").alias(key), "pick", (-F.col("_best.gain")).alias(score))

@@ -179,6 +179,12 @@ def test_bm25_equals_brute_force(spark):
     assert [r.event_id for r in top] == sorted(out, key=lambda i: (-out[i], i))[:3]
 
 
+def test_diverse_picks_of_a_missing_topic(spark):
+    df = spark.createDataFrame([(t, f"k{i}", 1.0 / (i + 1), [1.0, float(i)]) for t in (None, "a") for i in range(5)], "topic string, k string, score double, v array<double>")
+    picks = [(r.topic, r.pick) for r in search.diverse(df, "topic", "k", "score", "v", limit=3).collect()]
+    assert sorted(picks, key=repr) == sorted([(t, p) for t in (None, "a") for p in (1, 2, 3)], key=repr)
+
+
 def test_diverse_equals_greedy_pick(spark):
     rnd = np.random.default_rng(5)
     rows = [(i, i % 2, float(rnd.random()), [float(x) for x in rnd.normal(size=4)]) for i in range(40)]
