@@ -151,7 +151,7 @@ def test_exact_scores(spark):
     big = 4_000_000_000
     row = spark.createDataFrame([(big, big * 7, 3, 5)], "a long, n long, l long, r long")
     got = row.select(F.call_function("div", F.lit(1000).cast("decimal(4,0)") * F.col("a").cast("decimal(19,0)") * F.col("n").cast("decimal(19,0)"),
-                                     F.lit(10**20).cast("decimal(38,0)")).alias("s")).first().s
+                                     F.lit("1" + 20 * "0").cast("decimal(38,0)")).alias("s")).first().s
     assert got == 1000 * big * big * 7 // 10**20
 
 
