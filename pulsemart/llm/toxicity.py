@@ -202,18 +202,20 @@ def fit(docs: DataFrame, labels: DataFrame, steps: int = STEPS) -> bytes:
         if 0 < marks.sum() < len(marks):
             model = _saved(*train(rows["text"].combine_chunks(), marks, steps))
         else:
-            model = _saved(_constant((marks.sum() + 0.5) / (len(marks) + 1) if len(marks) else 0.5), pa.array([], pa.large_string()))
+            model = _constant((marks.sum() + 0.5) / (len(marks) + 1))
         yield pa.RecordBatch.from_arrays([pa.array([model], pa.binary())], names=["model"])
 
     one = sample.orderBy(*by_hash).coalesce(1).select("toxic", "text")
-    return bytes(one.mapInArrow(run, "model binary").first()[0])
+    found = one.mapInArrow(run, "model binary").first()
+    return bytes(found[0]) if found else _constant(0.5)
 
 
-def _constant(share: float) -> Params:
+def _constant(share: float) -> bytes:
+    """A model that gives the same score to all texts."""
     params = new_params(np.zeros((1, WORD_DIM)))
     params["out"][:] = 0
     params["out_bias"][:] = np.log(share / (1 - share))
-    return params
+    return _saved(params, pa.array([], pa.large_string()))
 
 
 def score(docs: DataFrame, model: bytes) -> DataFrame:

@@ -172,7 +172,7 @@ def model(spark):
     rows = insulting(300, 1)
     toxicity_docs = spark.createDataFrame([r[:2] for r in rows] + [(7, None), (None, "x")], "doc_id long, text string")
     labels = spark.createDataFrame([(i, t) for i, _, t in rows] + [(None, 1), (5, None)], "doc_id long, toxic int")
-    return toxicity.fit(toxicity_docs, labels, steps=40)
+    return toxicity.fit(toxicity_docs, labels, steps=80)
 
 
 def test_toxicity_held_out(spark, model, clashing, sample, empty):
