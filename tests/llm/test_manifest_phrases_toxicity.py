@@ -186,7 +186,7 @@ def test_toxicity_held_out(spark, model, clashing, sample, empty):
 
 
 def test_toxicity_reads_whole_texts(spark, model):
-    clean = next(t for _, t, y in insulting(4, 3) if not y)
+    clean = insulting(300, 1)[0][1]
     texts = [clean * 40, clean * 40 + " quzzik wexxle ziqqat quzzik", "", None, "x" * 5000]
     got = {r.doc_id: r.score for r in toxicity.score(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model).collect()}
     assert got[0] < 0.5 < got[1] and got[2] == got[3] < 0.5
