@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from pulsemart.functions.automaton import automaton
 from pulsemart.functions.ids import complaint_event_id, fingerprint, social_event_id
 from pulsemart.functions.parsing import approval_share, first_filled, first_parsed, iso_timestamp, number
 from pulsemart.functions.text import strip
@@ -76,15 +79,41 @@ def company_brand(company: Column, names: Sequence[tuple[str, Sequence[str]]]) -
     An exact match (ignoring case) of any brand comes first, then containment
     in either direction; within each, the first brand of the dictionary wins.
     """
-    upper = F.upper(company)
-    exact = [F.when(upper.isin([n.upper() for n in listed]), F.lit(brand)) for brand, listed in names]
-    loose = []
-    for brand, listed in names:
-        hit = F.lit(False)
-        for name in listed:
-            hit = hit | upper.contains(name.upper()) | F.contains(F.lit(name.upper()), upper)
-        loose.append(F.when(hit, F.lit(brand)))
-    return F.when(F.nullif(company, F.lit("")).isNotNull(), F.coalesce(*exact, *loose))
+    brands = [brand for brand, _ in names]
+    listed = [(name.upper(), k) for k, (_, own) in enumerate(names) for name in own]
+
+    @F.arrow_udf("string")
+    def found(upper: pa.Array) -> pa.Array:
+        coded = upper.dictionary_encode()
+        chosen = pa.array(_company_brands(coded.dictionary.to_pylist(), listed, brands), pa.string())
+        return chosen.take(coded.indices)
+
+    return F.when(F.nullif(company, F.lit("")).isNotNull(), found(F.upper(company)))
+
+
+def _company_brands(companies: list[str], listed: list[tuple[str, int]], brands: list[str]) -> list[str | None]:
+    """Brands of distinct upper-case companies."""
+    exact: dict[str, int] = {}
+    for name, brand in listed:
+        exact.setdefault(name, brand)
+    patterns = tuple(n for n in exact if n)
+    everything = {brand for name, brand in listed if not name}  # an empty name is in every company
+    best = [min(everything, default=len(brands))] * len(companies)
+    for first, _, hits in automaton(patterns).search(companies):
+        owner = np.array([exact[p] for p in patterns], np.int64)[hits.pattern]
+        for row, brand in zip(hits.text.tolist(), owner.tolist(), strict=True):
+            best[first + row] = min(best[first + row], brand)
+    # names that contain the company: the first in the dictionary's order
+    row_of = "\0".join([""] + [n for n, _ in listed] + [""])
+    starts = np.cumsum([1] + [len(n) + 1 for n, _ in listed])
+    out: list[str | None] = []
+    for company, around in zip(companies, best, strict=True):
+        at = row_of.find(company) if company and "\0" not in company else -1
+        if at >= 0:
+            around = min(around, listed[int(np.searchsorted(starts, at, "right")) - 1][1])
+        number = exact.get(company, around)
+        out.append(brands[number] if number < len(brands) else None)
+    return out
 
 
 def complaint_text(company: Column, issue: Column, sub_issue: Column, narrative: Column, product: Column) -> Column:

@@ -1,62 +1,99 @@
 """Brand mentions in free text.
 
-A post is scored against the whole term dictionary inside its own row: terms
-that do not occur are dropped by a plain substring test, and only the few that
-remain are counted with look-ahead patterns, which see overlapping hits.  No
-row is multiplied by the dictionary and nothing is shuffled.
+A text is searched once for the whole term dictionary (``functions.automaton``), in time linear in the text and its
+hits.  The dictionary travels to the workers as data, not as part of the plan; no row is multiplied by it and nothing
+is shuffled.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from pulsemart.functions.automaton import automaton
 from pulsemart.functions.plan import computed_once
-from pulsemart.functions.text import contains_any, quote, strip
+from pulsemart.functions.text import contains_any, strip
 from pulsemart.settings import DEFAULT_MENTION, MENTION_TERMS, MentionSettings
 
-# A neighbour that is a letter or digit of any script means "inside a word".
-_NOT_AFTER = r"(?<![\p{L}\p{N}])"
-_NOT_BEFORE = r"(?![\p{L}\p{N}])"
+#: Brand -> terms, or a table with the columns ``brand_id`` and ``term`` (and ``place``, the order of brands and terms).
+Dictionary = Mapping[str, Sequence[str]] | DataFrame
 
-Dictionary = Mapping[str, Sequence[str]]
 
+def dictionary_terms(dictionary: Dictionary) -> list[tuple[str, str]]:
+    """(brand, term) in the dictionary's order; blank terms are left out.
 
-def _anywhere(term: str) -> str:
-    return f"(?={quote(term.lower())})"
-
-
-def _edged(term: str) -> str:
-    return f"{_NOT_AFTER}(?={quote(term.lower())}{_NOT_BEFORE})"
-
-
-def _brand_hits(lowered: Column, terms: Sequence[str], cfg: MentionSettings) -> Column:
-    """Per matched term: number of counted hits and of hits with word edges."""
-
-    def count(term: str) -> Column:
-        edged = F.regexp_count(lowered, F.lit(_edged(term)))
-        counted = edged if len(term) <= cfg.strict_length else F.regexp_count(lowered, F.lit(_anywhere(term)))
-        found = F.struct(F.lit(term).alias("term"), counted.alias("hits"), edged.alias("edged"))
-        return F.when(lowered.contains(term.lower()), found)
-
-    return F.filter(F.array(*[count(t) for t in terms]), lambda h: h.isNotNull() & (h["hits"] > 0))
-
-
-def _total(hits: Column, field: str) -> Column:
-    return F.aggregate(hits, F.lit(0), lambda a, h: a + h[field])
-
-
-def _brand_score(hits: Column, terms: Column, cfg: MentionSettings) -> Column:
-    found, edged = _total(hits, "hits"), _total(hits, "edged")
-    unique = F.size(terms)
-    quality = (edged * cfg.edge_confidence + (found - edged) * cfg.inner_confidence) / found
-    mean_length = F.aggregate(terms, F.lit(0), lambda a, t: a + F.length(t)) / unique
-    return (
-        F.least(F.lit(1.0), unique / cfg.diversity_full) * cfg.diversity_weight
-        + quality * cfg.quality_weight
-        + F.least(F.lit(1.0), mean_length / cfg.length_full) * cfg.length_weight
-    )
+    A table is read once; its size is bounded by what one automaton holds.
+    """
+    if isinstance(dictionary, DataFrame):
+        order = ["place"] if "place" in dictionary.columns else ["brand_id", "term"]
+        rows = [(r.brand_id, r.term) for r in dictionary.orderBy(*order).select("brand_id", "term").collect()]
+    else:
+        rows = [(brand, term) for brand, terms in dictionary.items() for term in terms]
+    return [(brand, term) for brand, term in rows if brand is not None and term]
+
+
+class Entries:
+    """The dictionary as arrays: entries by pattern (a lower-case term), with brand, listed term and whether it needs word edges."""
+
+    def __init__(self, listed: Sequence[tuple[str, str]], cfg: MentionSettings) -> None:
+        self.patterns = tuple(dict.fromkeys(t.lower() for _, t in listed))
+        self.brands = list(dict.fromkeys(b for b, _ in listed))
+        self.terms = sorted({t for _, t in listed})
+        number = {p: k for k, p in enumerate(self.patterns)}
+        brand = {b: k for k, b in enumerate(self.brands)}
+        term = {t: k for k, t in enumerate(self.terms)}
+        rows = sorted((number[t.lower()], brand[b], term[t]) for b, t in listed)
+        self.pattern, self.brand, self.term = np.array(rows, np.int64).reshape(-1, 3).T
+        self.length = np.array([len(t) for t in self.terms], np.int64)
+        self.strict = self.length[self.term] <= cfg.strict_length
+        self.first = np.searchsorted(self.pattern, np.arange(len(self.patterns) + 1))
+
+    def of(self, pattern: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Row of ``pattern`` and entry, for all entries of each row's pattern."""
+        counts = self.first[pattern + 1] - self.first[pattern]
+        row = np.repeat(np.arange(len(pattern)), counts)
+        return row, np.arange(len(row)) + np.repeat(self.first[pattern] - np.cumsum(counts) + counts, counts)
+
+
+_BEST = "struct<brand:string,terms:array<string>,score:double,count:int>"
+
+
+def _best_brands(entries: Entries, texts: Sequence[str | None], cfg: MentionSettings) -> pa.StructArray:
+    brand, score, count = np.full(len(texts), -1), np.zeros(len(texts)), np.zeros(len(texts), np.int64)
+    names: list[list[str]] = [[] for _ in texts]
+    for first, _, hits in automaton(entries.patterns).search(texts):
+        pairs, numbers = np.unique(hits.text * len(entries.patterns) + hits.pattern, return_inverse=True)
+        total, edged = np.bincount(numbers, minlength=len(pairs)), np.bincount(numbers, hits.edged, len(pairs)).astype(np.int64)
+        row, entry = entries.of(pairs % max(1, len(entries.patterns)))
+        counted = np.where(entries.strict[entry], edged[row], total[row])
+        row, entry, counted = row[counted > 0], entry[counted > 0], counted[counted > 0]
+        group, member = np.unique(
+            pairs[row] // max(1, len(entries.patterns)) * len(entries.brands) + entries.brand[entry], return_inverse=True
+        )
+        found, at_edges = np.bincount(member, counted, len(group)), np.bincount(member, edged[row], len(group))
+        listed = np.unique(member * len(entries.terms) + entries.term[entry])  # a term counts once, in order
+        owner, term = listed // max(1, len(entries.terms)), listed % max(1, len(entries.terms))
+        unique = np.bincount(owner, minlength=len(group))
+        length = np.bincount(owner, entries.length[term], len(group)) / np.maximum(unique, 1)
+        quality = (at_edges * cfg.edge_confidence + (found - at_edges) * cfg.inner_confidence) / np.maximum(found, 1)
+        value = (
+            np.minimum(1.0, unique / cfg.diversity_full) * cfg.diversity_weight + quality * cfg.quality_weight
+            + np.minimum(1.0, length / cfg.length_full) * cfg.length_weight
+        )
+        text, kind = group // max(1, len(entries.brands)), group % max(1, len(entries.brands))
+        order = np.lexsort((kind, -value, text))
+        best = order[np.concatenate([[True], text[order][1:] != text[order][:-1]])] if len(order) else order
+        ends = np.searchsorted(owner, np.arange(len(group) + 1))
+        for g in best.tolist():
+            names[first + text[g]] = [entries.terms[t] for t in term[ends[g]:ends[g + 1]].tolist()]
+        at = first + text[best]
+        brand[at], score[at], count[at] = kind[best], value[best], found[best]
+    chosen = pa.array([entries.brands[b] if b >= 0 else None for b in brand.tolist()], pa.string())
+    columns = [chosen, pa.array(names, pa.list_(pa.string())), pa.array(score), pa.array(count.astype(np.int32))]
+    return pa.StructArray.from_arrays(columns, ["brand", "terms", "score", "count"])
 
 
 def detect_mentions(
@@ -69,45 +106,24 @@ def detect_mentions(
 
     Brands are compared by score; the first of the dictionary wins ties.
     """
-    brands = list(dictionary)
-    lowered = F.col("_lowered")
+    entries = Entries(dictionary_terms(dictionary), cfg)
+
+    @F.arrow_udf(_BEST)
+    def best(lowered: pa.Array) -> pa.Array:
+        return _best_brands(entries, lowered.to_pylist(), cfg)
+
     usable = F.length(strip(F.col(text))) >= cfg.min_chars
-    out = df.withColumn("_lowered", F.when(usable, F.lower(text)))
-    out = out.withColumns(
-        {
-            f"_hits{i}": F.coalesce(_brand_hits(lowered, list(dictionary[b]), cfg),
-                                    F.array().cast("array<struct<term:string,hits:int,edged:int>>"))
-            for i, b in enumerate(brands)
-        }
-    )
-    candidates = []
-    for i, brand in enumerate(brands):
-        hits = F.col(f"_hits{i}")
-        terms = F.array_sort(F.array_distinct(F.transform(hits, lambda h: h["term"])))
-        candidates.append(
-            F.when(
-                F.size(hits) > 0,
-                F.struct(
-                    _brand_score(hits, terms, cfg).alias("score"),
-                    F.lit(-i).alias("order"),
-                    F.lit(brand).alias("brand"),
-                    terms.alias("terms"),
-                    _total(hits, "hits").alias("count"),
-                ),
-            )
-        )
-    best = F.array_max(F.array(*candidates))
     return (
-        computed_once(out, "_best", best)
+        computed_once(df, "_best", best(F.when(usable, F.lower(text))))
         .withColumns(
             {
                 "mention_brand": F.col("_best.brand"),
-                "matched_terms": F.coalesce("_best.terms", F.array().cast("array<string>")),
-                "mention_score": F.coalesce("_best.score", F.lit(0.0)),
-                "match_count": F.coalesce("_best.count", F.lit(0)),
+                "matched_terms": F.col("_best.terms"),
+                "mention_score": F.col("_best.score"),
+                "match_count": F.col("_best.count"),
             }
         )
-        .drop("_lowered", "_best", *[f"_hits{i}" for i in range(len(brands))])
+        .drop("_best")
     )
 
 
@@ -128,43 +144,8 @@ def accept_mentions(
     )
 
 
-_POSITION = "array<struct<term:string,position:int,length:int,context:string,word_boundary:boolean,confidence:double>>"
-
-
-def _starts(lowered: Column, term: str, edged: bool) -> Column:
-    """Offsets of all hits, overlapping ones too: a text cut before each hit, and the lengths of the pieces added up."""
-    pieces = F.split(lowered, _edged(term) if edged else _anywhere(term), -1)
-    none = F.array().cast("array<int>")
-    ends = F.aggregate(
-        F.slice(pieces, 1, F.size(pieces) - 1),
-        F.struct(none.alias("all"), F.lit(0).alias("at")),
-        lambda done, piece: F.struct(
-            F.concat(done["all"], F.array(done["at"] + F.length(piece))).alias("all"),
-            (done["at"] + F.length(piece)).alias("at"),
-        ),
-    )["all"]
-    # A hit at the very beginning cuts nothing off.
-    first = lowered.rlike("^" + (_edged(term) if edged else _anywhere(term)))
-    return F.concat(F.when(first, F.array(F.lit(0))).otherwise(none), ends)
-
-
-def _term_hits(lowered: Column, text: Column, term: str, cfg: MentionSettings) -> Column:
-    size, strict = len(term), len(term) <= cfg.strict_length
-
-    def hit(at: Column) -> Column:
-        around = F.concat(F.when(at > 0, F.substring(lowered, at, 1)).otherwise(""), F.substring(lowered, at + size + 1, 1))
-        edged = ~around.rlike(r"[\p{L}\p{N}]")
-        first = F.greatest(at - cfg.context_chars, F.lit(0))
-        return F.struct(
-            F.lit(term).alias("term"),
-            at.alias("position"),
-            F.lit(size).alias("length"),
-            F.substring(text, first + 1, at + size + cfg.context_chars - first).alias("context"),
-            edged.alias("word_boundary"),
-            F.when(edged, cfg.edge_confidence).otherwise(cfg.inner_confidence).cast("double").alias("confidence"),
-        )
-
-    return F.transform(_starts(lowered, term, strict), hit)
+#: Rows that a task sends at once, however many hits a text has.
+HIT_ROWS = 10_000
 
 
 def mention_positions(
@@ -175,15 +156,42 @@ def mention_positions(
     cfg: MentionSettings = DEFAULT_MENTION,
 ) -> DataFrame:
     """One row per hit of the matched terms: offset, neighbours and context."""
-    terms = list(dict.fromkeys(t for listed in dictionary.values() for t in listed))
-    lowered = F.col("_lowered")
-    parts = [
-        F.when(F.array_contains("matched_terms", t), _term_hits(lowered, F.col(text), t, cfg)) for t in terms
-    ]
-    hits = F.flatten(F.array_compact(F.array(*parts))).cast(_POSITION)
-    # Every hit looks at its neighbours, so the text is lowered once, not once per hit.
-    found = computed_once(detected.filter(F.size("matched_terms") > 0), "_lowered", F.lower(text))
-    return found.select(key, "mention_brand", F.explode(hits).alias("hit")).select(key, "mention_brand", "hit.*")
+    terms = sorted({t for _, t in dictionary_terms(dictionary)})
+    entries = Entries([("", t) for t in terms], cfg)  # an entry's term is its number
+    names = [key, "mention_brand", "term", "position", "length", "context", "word_boundary", "confidence"]
+    kinds = [detected.schema[key].dataType.simpleString(), "string", "string", "int", "int", "string", "boolean", "double"]
+
+    def rows(keys: pa.Array, brands: pa.Array, texts: list[str], row: np.ndarray, entry: np.ndarray, start: np.ndarray, edged: np.ndarray):
+        for at in range(0, len(row), HIT_ROWS):
+            part = slice(at, at + HIT_ROWS)
+            of, size, first = row[part], entries.length[entries.term[entry[part]]], start[part]
+            around = [
+                texts[r][max(0, a - cfg.context_chars):a + n + cfg.context_chars]
+                for r, a, n in zip(of.tolist(), first.tolist(), size.tolist(), strict=True)
+            ]
+            listed = pa.array(terms, pa.string()).take(pa.array(entries.term[entry[part]]))
+            sure = np.where(edged[part], cfg.edge_confidence, cfg.inner_confidence)
+            yield pa.RecordBatch.from_arrays(
+                [keys.take(pa.array(of)), brands.take(pa.array(of)), listed, pa.array(first.astype(np.int32)), pa.array(size.astype(np.int32)),
+                 pa.array(around, pa.string()), pa.array(edged[part]), pa.array(sure.astype(np.float64))],
+                names=names,
+            )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = {t: k for k, t in enumerate(terms)}
+        for batch in batches:
+            texts, wanted = batch.column(3).to_pylist(), batch.column(2).to_pylist()
+            lowered = batch.column(4).to_pylist()
+            for first, last, hits in automaton(entries.patterns).search(lowered):
+                row, entry = entries.of(hits.pattern)
+                pairs = [(r, number[t]) for r, own in enumerate(wanted[first:last]) for t in own if t in number]
+                matched = np.unique(np.array([r * len(terms) + t for r, t in pairs], np.int64))
+                keep = np.isin(hits.text[row] * len(terms) + entries.term[entry], matched) & (hits.edged[row] | ~entries.strict[entry])
+                row, entry = row[keep], entry[keep]
+                yield from rows(batch.column(0), batch.column(1), texts, first + hits.text[row], entry, hits.start[row], hits.edged[row])
+
+    found = detected.filter(F.size("matched_terms") > 0).select(key, "mention_brand", "matched_terms", text, F.lower(text))
+    return found.mapInArrow(run, ", ".join(f"`{n}` {k}" for n, k in zip(names, kinds, strict=True)))
 
 
 def mentions_any(lowered: Column, terms: Sequence[str]) -> Column:
@@ -193,8 +201,21 @@ def mentions_any(lowered: Column, terms: Sequence[str]) -> Column:
 
 def keyword_matches(lowered: Column, keywords: Sequence[str]) -> Column:
     """Keywords that occur in the lower-cased text, in list order."""
-    listed = F.array(*[F.lit(k) for k in keywords])
-    return F.filter(listed, lambda k: lowered.contains(F.lower(k)))
+    patterns = tuple(dict.fromkeys(k.lower() for k in keywords if k))
+    listed = [(n, k) for n, k in enumerate(keywords)]
+    places = {p: [n for n, k in listed if k.lower() == p] for p in patterns}
+
+    @F.arrow_udf("array<string>")
+    def found(texts: pa.Array) -> pa.Array:
+        rows = texts.to_pylist()
+        out: list[list[str] | None] = [None if r is None else [] for r in rows]
+        for first, _, hits in automaton(patterns).search(rows):
+            seen = np.unique(hits.text * len(patterns) + hits.pattern)
+            for row, pattern in zip((seen // max(1, len(patterns))).tolist(), (seen % max(1, len(patterns))).tolist(), strict=True):
+                out[first + row] += places[patterns[pattern]]
+        return pa.array([own and [keywords[n] for n in sorted(own)] for own in out], pa.list_(pa.string()))
+
+    return found(lowered)
 
 
 # Coverage bands in percent.
