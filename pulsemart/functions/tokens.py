@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, SparkSession, functions as F
 
 from pulsemart.settings import ENGLISH_STOP_WORDS
 
@@ -29,3 +29,12 @@ def tokens(text: Column, stop_words: tuple[str, ...] = ENGLISH_STOP_WORDS, stem:
     if stop_words:
         words = F.filter(words, lambda w: ~w.isin(list(stop_words)))
     return F.transform(words, stemmed) if stem else words
+
+
+def query_words(spark: SparkSession, query: str, stop_words=None) -> list[str]:
+    """Distinct analysed words of a query string.
+
+    Evaluated once on a one-row relation, so that plans compare tokens with literals.
+    """
+    analysed = tokens(F.lit(query)) if stop_words is None else tokens(F.lit(query), stop_words)
+    return list(dict.fromkeys(spark.range(1).select(analysed.alias("t")).first().t))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pulsemart.functions.parsing import json_text, json_whole
 from pulsemart.functions.plan import computed_once
 from pulsemart.functions.text import redact
-from pulsemart.functions.tokens import tokens
+from pulsemart.functions.tokens import query_words, tokens
 from pulsemart.functions.vectors import dot, similarity_to, unit
 from pulsemart.session import Staging, stage
 from pulsemart.settings import DEFAULT_BM25, Bm25
@@ -52,16 +52,6 @@ def search_table(events: DataFrame, text: str = "text", stop_words=None, hide_pe
     return events.withColumn("tokens", analysed).withColumn("token_count", F.size("tokens"))
 
 
-def query_terms(spark: SparkSession, query: str, stop_words=None) -> list[str]:
-    """Distinct analysed words of a query string.
-
-    Evaluated once on a one-row relation, so that the scoring plan compares
-    tokens with literals.
-    """
-    analysed = tokens(F.lit(query)) if stop_words is None else tokens(F.lit(query), stop_words)
-    return list(dict.fromkeys(spark.range(1).select(analysed.alias("t")).first().t))
-
-
 def _occurrences(listed: Column, term: str) -> Column:
     """How often a term occurs in a token list."""
     rest = F.size(F.array_remove(listed, F.lit(term)))
@@ -77,7 +67,7 @@ def relevance(
     mean length, documents per term) are one aggregate, read back as a scalar
     subquery, so texts are neither exploded nor shuffled.
     """
-    terms = query_terms(table.sparkSession, query, stop_words)
+    terms = query_words(table.sparkSession, query, stop_words)
     if not terms:
         return table.withColumn(score, F.lit(0.0))
     counts = [_occurrences(F.col("tokens"), term) for term in terms]

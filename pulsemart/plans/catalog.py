@@ -21,7 +21,7 @@ from pulsemart.operators import (
 from pulsemart.plans import brand_score, complaint_marts
 from pulsemart.session import scratch_path, stage
 from pulsemart.settings import DateRange, EnrichSettings
-from pulsemart.sources import dimensions, landing, samples, tables
+from pulsemart.sources import dimensions, landing, postings, samples, tables, vector_index
 from pulsemart.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -793,6 +793,21 @@ def relevance_scores(spark, folder):
     return tidy(scored.filter("score > 0").select("event_id", "score"))
 
 
+def _postings(spark, folder) -> postings.Postings:
+    """The search table's postings, written once."""
+    return postings.write_postings(_search_table(spark, folder), scratch_path(spark, "postings"))
+
+
+@query
+def postings_match(spark, folder):
+    return tidy(postings.best_matching(spark, _postings(spark, folder), "ering reons"))
+
+
+@query
+def postings_scores(spark, folder):
+    return tidy(postings.matching(spark, _postings(spark, folder), "eau ontion thou"))
+
+
 @query
 def filtered_match(spark, folder):
     hits = search.top_matches(_search_table(spark, folder), "ontion thou", where=F.col("brand_id") == "wf")
@@ -841,6 +856,23 @@ def nearest_vectors(spark, folder):
     return tidy(rows.select("vec_id", "label", "similarity"))
 
 
+@query
+def probed_vectors(spark, folder):
+    """Recall of the approximate neighbours of every fiftieth vector against all rows."""
+    vectors = samples.table(spark, folder, "embeddings")
+    index = vector_index.write_vectors(vectors, scratch_path(spark, "vectors"), "vec_id", "embedding", lists=32)
+    return tidy(vector_index.recall(spark, index, vectors.filter("vec_id % 50 = 0"), "embedding", 100))
+
+
+@query
+def nearest_vectors_indexed(spark, folder):
+    """All lists and candidates: the exact way through the index."""
+    vectors = samples.table(spark, folder, "embeddings")
+    index = vector_index.write_vectors(vectors, scratch_path(spark, "vectors"), "vec_id", "embedding")
+    rows = vector_index.search(spark, index, _query_vector(spark, folder), 100, None, None)
+    return tidy(rows)
+
+
 @query
 def hybrid_match(spark, folder):
     rows = search.hybrid(

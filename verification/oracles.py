@@ -806,6 +806,8 @@ select event_id, {rounded('score')} from bm where score > 0"""
 SQL["filtered_match"] = with_(SE, bm25("ontion", "thou")) + f"""
 select event_id, brand_id, {rounded('score')} from bm where score > 0 and brand_id = 'wf'
 order by bm.score desc, event_id limit 5"""
+SQL["postings_match"] = SQL["relevance_match"]
+SQL["postings_scores"] = SQL["relevance_scores"]
 SQL["newest_match"] = with_(SE, bm25("ontion")) + f"""
 select event_id, ts_event, {rounded('score')} from bm where score > 0 and sentiment between -1 and 1
 order by ts_event desc, event_id limit 3"""
@@ -835,6 +837,9 @@ SQL["nearest_vectors"] = with_(VEC) + f"""
 select vec_id, label, {rounded('similarity')} from (
   select vec_id, label, {_COS.format('embedding')} similarity from embeddings, qv) s
 order by s.similarity desc, vec_id limit 100"""
+SQL["nearest_vectors_indexed"] = with_(VEC) + f"""
+select vec_id, {rounded('similarity')} from (select vec_id, {_COS.format('embedding')} similarity from embeddings, qv) s
+order by s.similarity desc, vec_id limit 100"""
 SQL["hybrid_match"] = with_(SE, bm25("ering", "thou"), VEC) + f""",
 near as (
   select event_id, (1 + {_COS.format('dense_vec')}) / 2 vector_score from se, qv
