@@ -18,7 +18,7 @@ from pulsemart.functions.scores import change_pct
 from pulsemart.session import Staging
 from pulsemart.settings import AlertSettings
 from pulsemart.sources.landing import parse_lines
-from pulsemart.sources.tables import append_new, upsert, write_mart
+from pulsemart.sources.tables import append_new, in_partitions, upsert, write_mart
 
 def landing_stream(spark: SparkSession, path: str, schema: str, files_per_batch: int | None = None) -> DataFrame:
     """New landing files as a stream; lines that are not JSON are skipped."""
@@ -79,7 +79,7 @@ def _record_days(
     rows = area.stage(batch.withColumn("dt", F.to_date(ts)), "events")
     append_new(spark, tables.events, rows, [key])
     days = area.stage(rows.select("dt").distinct(), "days")
-    stored = spark.read.parquet(tables.events).join(days, "dt", "left_semi")
+    stored = in_partitions(spark.read.parquet(tables.events), "dt", days.filter("dt is not null"))
     counted = stored.groupBy(F.col("dt").alias("date"), F.col(brand).alias("brand_id")).agg(
         F.count(F.lit(1)).alias("volume"), F.avg(value).alias("mean_value")
     )
@@ -154,7 +154,7 @@ def alert_on_spikes(
         with Staging(spark) as area:
             days = _record_days(spark, area, batch, tables, value, key, ts, brand)
             near = days.select(F.explode(F.array(F.date_sub("dt", 1), F.col("dt"), F.date_add("dt", 1))).alias("dt"))
-            stored = spark.read.parquet(tables.daily).join(near.distinct(), "dt", "left_semi").drop("dt")
+            stored = in_partitions(spark.read.parquet(tables.daily), "dt", near.filter("dt is not null")).drop("dt")
             due = days.select(F.explode(F.array(F.col("dt"), F.date_add("dt", 1))).alias("date")).distinct()
             compared = compared_days(stored, cfg).join(due, "date", "left_semi")
             write_mart(compared.withColumn("dt", F.col("date")), alert_path, "dt", ("brand_id",))

@@ -3,6 +3,7 @@ import gzip
 import json
 import pathlib
 import random
+import re
 
 import numpy as np
 import pandas as pd
@@ -92,6 +93,88 @@ def test_upsert_keeps_rows_without_a_time(spark, tmp_path):
     assert rows == [(1, 11, "None"), (2, 21, "None"), (3, 30, "2024-01-01"), (4, 40, "None"), (5, 50, "2024-01-01")]
 
 
+def dated(spark, rows):
+    return spark.createDataFrame([(k, dt.date(2024, 1, d) if d else None, v, f"t{k}") for k, d, v in rows], "id int, dt date, stamp int, text string")
+
+
+def stored(spark, path):
+    return sorted(((r.id, r.stamp, r.dt) for r in spark.read.parquet(path).collect()), key=lambda r: r[:2])
+
+
+def test_upsert_reads_only_touched_partitions(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    tables.upsert(spark, path, dated(spark, [(k, k % 20 + 1, 1) for k in range(100)]), ["id"], ["stamp"])
+    seen = []
+    merge = tables.merged_versions
+    monkeypatch.setattr(tables, "merged_versions", lambda old, *rest: seen.append(old) or merge(old, *rest))
+    # key 3 lives in the fourth, wherever its update says; key 500 is new
+    tables.upsert(spark, path, dated(spark, [(3, 9, 2), (500, 6, 1)]), ["id"], ["stamp"])
+    text = seen[0]._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*dt#\d+ IN \(2024-01-04,2024-01-06\)", text)
+    rows = stored(spark, path)
+    assert len(rows) == 101 and (3, 2, dt.date(2024, 1, 4)) in rows
+
+
+def test_upsert_of_a_table_without_an_index(spark, tmp_path):
+    path = str(tmp_path / "t")
+    dated(spark, [(1, 1, 1), (2, None, 1)]).write.partitionBy("dt").parquet(path)
+    tables.upsert(spark, path, dated(spark, [(1, 5, 2), (2, 5, 2), (3, 5, 2)]), ["id"], ["stamp"])
+    assert stored(spark, path)[0] == (1, 2, dt.date(2024, 1, 1)) and {r[0]: r[2] for r in stored(spark, path)}[2] is None
+
+
+def test_many_partitions_are_picked_by_a_join(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "NAMED_PARTITIONS", 2)
+    path = str(tmp_path / "t")
+    tables.upsert(spark, path, dated(spark, [(k, k % 9, 1) for k in range(40)]), ["id"], ["stamp"])
+    tables.upsert(spark, path, dated(spark, [(k, 1, 2) for k in range(0, 40, 7)]), ["id"], ["stamp"])
+    rows = [tuple(r) for r in spark.read.parquet(path).select("id", "stamp", "dt").collect()]
+    assert sorted((k, s) for k, s, _ in rows) == [(k, 2 if k % 7 == 0 else 1) for k in range(40)]
+    assert all((d.day if d else 0) == k % 9 for k, _, d in rows)
+
+
+def test_an_interrupted_swap_is_ended_by_the_next_upsert(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    tables.upsert(spark, path, dated(spark, [(1, 1, 1), (2, 2, 1)]), ["id"], ["stamp"])
+    before = stored(spark, path)
+
+    def fails(*_):
+        raise RuntimeError("lost")
+
+    put = tables._put_in_place
+    monkeypatch.setattr(tables, "_put_in_place", fails)
+    with pytest.raises(RuntimeError):
+        tables.upsert(spark, path, dated(spark, [(1, 1, 5), (3, 2, 5)]), ["id"], ["stamp"])
+    assert stored(spark, path) == before
+    monkeypatch.setattr(tables, "_put_in_place", put)
+    tables.upsert(spark, path, dated(spark, [(4, 1, 1)]), ["id"], ["stamp"])
+    assert [(k, s) for k, s, _ in stored(spark, path)] == [(1, 5), (2, 1), (3, 5), (4, 1)]
+    assert not list(tmp_path.glob("t.pending-*"))
+    # the key that the interrupted upsert never entered in the index is not doubled
+    tables.upsert(spark, path, dated(spark, [(3, 2, 9)]), ["id"], ["stamp"])
+    assert [(k, s) for k, s, _ in stored(spark, path)] == [(1, 5), (2, 1), (3, 9), (4, 1)]
+
+
+def test_an_incomplete_write_leaves_the_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.upsert(spark, path, dated(spark, [(1, 1, 1)]), ["id"], ["stamp"])
+    broken = F.udf(lambda x: 1 // 0, "int")
+    with pytest.raises(Exception):
+        tables.upsert(spark, path, dated(spark, [(1, 1, 5)]).withColumn("stamp", broken("id")), ["id"], ["stamp"])
+    assert stored(spark, path) == [(1, 1, dt.date(2024, 1, 1))]
+
+
+def test_an_append_after_lost_index_entries_adds_nothing_twice(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    tables.append_new(spark, path, dated(spark, [(1, 1, 1)]), ["id"])
+    add = tables.KeyIndex.add
+    monkeypatch.setattr(tables.KeyIndex, "add", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError):
+        tables.append_new(spark, path, dated(spark, [(2, 1, 1), (3, 2, 1)]), ["id"])
+    monkeypatch.setattr(tables.KeyIndex, "add", add)
+    tables.append_new(spark, path, dated(spark, [(2, 1, 1), (3, 2, 1), (4, 2, 1)]), ["id"])
+    assert [k for k, _, _ in stored(spark, path)] == [1, 2, 3, 4]
+
+
 def test_append_new_and_replace(spark, tmp_path):
     path = str(tmp_path / "t")
     rows = spark.createDataFrame([(1, dt.date(2024, 1, 1)), (2, dt.date(2024, 1, 1))], "id int, dt date")
