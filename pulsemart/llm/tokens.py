@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Words kept between batches; beyond, the cache starts anew.
+#: Words kept between batches; beyond, those met in several batches stay, at most half as many.
 CACHED_WORDS = 700_000
 #: ASCII marks that form a token of their own behind a letter or digit, and such letters and digits.
 MARKS = ".,;:!?$%&*#|\"()"
@@ -40,13 +40,21 @@ class Encoder:
         self.closing = np.zeros(self.size, bool)
         if suffix:
             self.closing[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(suffix)]] = True
-        self._forget()
-
-    def _forget(self) -> None:
         self.known: dict[str, int] = {"": 0}
         self.ends = np.zeros(1, np.int64)  # of each known word's ids in the pool
+        self.hits = np.zeros(1, np.int64)  # batches that each known word was met in
         self.pool = np.zeros(0, np.uint32)
 
+    def _make_room(self) -> None:
+        """Forget the words that were met in one batch only, and the least met ones beyond half the cache."""
+        often = np.argsort(-self.hits[1:], kind="stable")[:CACHED_WORDS // 2] + 1
+        kept = np.concatenate([[0], np.sort(often[self.hits[often] > 1])])
+        starts = np.concatenate([[0], self.ends[:-1]])[kept]
+        lengths = self.ends[kept] - starts
+        names = list(self.known)  # in the order of their numbers
+        self.pool, self.ends, self.hits = _gathered(self.pool, starts, lengths), np.cumsum(lengths), self.hits[kept] // 2
+        self.known = {names[k]: number for number, k in enumerate(kept.tolist())}
+
     def _ids(self, words: list[str]) -> Iterator[tuple[list[str], np.ndarray, np.ndarray]]:
         """Groups of new words with their ids and lengths.  A word of letters alone is one unit, so many can share a call."""
         plain = pc.match_substring_regex(pa.array(words, pa.string()), PLAIN).to_numpy(zero_copy_only=False) & self.closing.any()
@@ -61,7 +69,7 @@ class Encoder:
 
     def _numbers(self, words: list[str]) -> np.ndarray:
         if len(self.known) + len(words) > CACHED_WORDS:
-            self._forget()
+            self._make_room()
         known = self.known
         new = list(dict.fromkeys(w for w in words if w not in known))
         if new:
@@ -70,7 +78,10 @@ class Encoder:
             self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(np.concatenate(lengths))])
             self.pool = np.concatenate([self.pool, *ids])
             known.update(zip((w for group in names for w in group), range(first, len(self.ends)), strict=True))
-        return np.fromiter((known[w] for w in words), np.int64, len(words))
+            self.hits = np.concatenate([self.hits, np.zeros(len(self.ends) - first, np.int64)])
+        numbers = np.fromiter((known[w] for w in words), np.int64, len(words))
+        self.hits[numbers] += 1
+        return numbers
 
     def _distinct(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of distinct words in a row, and their lengths; a word's trailing marks are looked up apart."""
@@ -78,12 +89,12 @@ class Encoder:
         small = pc.if_else(special, words, pc.ascii_lower(words))
         cores = pc.utf8_rtrim(small, MARKS)
         cores = pc.if_else(pc.and_not(pc.match_substring_regex(cores, PLAIN_END), special), cores, small)
-        coded = cores.dictionary_encode()
-        core_numbers = coded.indices.to_numpy(zero_copy_only=False)
-        cores = coded.dictionary.to_pylist()
-        tails = [w[len(cores[k]):] for w, k in zip(small.to_pylist(), core_numbers.tolist(), strict=True)]
-        numbers = self._numbers([*cores, *tails])
-        both = np.stack([numbers[core_numbers], numbers[len(cores):]], 1).ravel()
+        tails = _tails(small, cores)
+        coded, ends = cores.dictionary_encode(), tails.dictionary_encode()
+        names = coded.dictionary.to_pylist()
+        numbers = self._numbers(names + ends.dictionary.to_pylist())
+        core_numbers, tail_numbers = (np.asarray(x.indices.fill_null(0)).astype(np.int64) for x in (coded, ends))
+        both = np.stack([numbers[core_numbers], numbers[len(names) + tail_numbers]], 1).ravel()
         starts = np.concatenate([[0], self.ends])[both]
         lengths = self.ends[both] - starts
         return _gathered(self.pool, starts, lengths), lengths.reshape(-1, 2).sum(1)
@@ -110,6 +121,18 @@ class Encoder:
             row = to
 
 
+def _tails(words: pa.Array, cores: pa.Array) -> pa.Array:
+    """What each word has behind its core."""
+    words = words.cast(pa.large_string())
+    sizes = np.asarray(pc.binary_length(words)).astype(np.int64)
+    lengths = sizes - np.asarray(pc.binary_length(cores)).astype(np.int64)
+    ends = np.cumsum(sizes)
+    data = np.frombuffer(b"".join(words.cast(pa.large_binary()).to_pylist()), np.uint8)
+    found = _gathered(data, ends - lengths, lengths)
+    offsets = np.concatenate([[0], np.cumsum(lengths)])
+    return pa.LargeStringArray.from_buffers(len(words), pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(found)))
+
+
 def _gathered(pool: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The runs of a pool, one after the other."""
     ends = np.cumsum(lengths)
