@@ -39,9 +39,9 @@ from pulsemart.llm.words import mixed, parts
 #: Bytes of a repeated string, places searched for its anchor, and bytes behind an anchor that are always part of it.
 LENGTH, WINDOW = 400, 256
 SURE = LENGTH - WINDOW
-PART_BYTES, RUN_BYTES = 1_000_000, 8_000_000
+PART_BYTES, RUN_BYTES = 500_000, 6_000_000
 #: Regular samples of a run for the choice of splitters, samples that decide per shard, and anchors per shard.
-SAMPLES, DECIDING, SHARD_RECORDS = 32, 16, 100_000
+SAMPLES, DECIDING, SHARD_RECORDS = 32, 16, 64_000
 #: Anchors with equal next bytes that are merged; more of them are counted.  Distances of a node, counted together first.
 HOT_RECORDS, NODE = 2_000, 16
 _FACTORS = mixed(np.arange(1, SURE // 8 + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
@@ -210,17 +210,24 @@ def _records(rows: list[tuple[str, bytes, list[int]]]) -> list[tuple]:
     """
     out: list[tuple] = []
     for part in _parts(rows):
-        data, starts = _row([r[1] for r in part])
-        text, at, first, last = anchors(data, starts)
-        wanted = np.unique(np.array([h for r in part for h in r[2]], np.int64))
-        keep = np.isin(_hashes(data, at).view(np.int64), wanted)
-        raw = data.tobytes()
-        for t, a, lo, hi in zip(text[keep].tolist(), at[keep].tolist(), first[keep].tolist(), last[keep].tolist(), strict=True):
+        raw, starts, (text, at, first, last) = _wanted(part)
+        for t, a, lo, hi in zip(text.tolist(), at.tolist(), first.tolist(), last.tolist(), strict=True):
             out.append((raw[a:min(a + LENGTH, int(starts[t + 1]))], raw[lo:a][::-1], part[t][0], a - int(starts[t]), a - hi, a - lo))
     out.sort()
     return out
 
 
+def _wanted(part: list[tuple[str, bytes, list[int]]]) -> tuple[bytes, np.ndarray, tuple[np.ndarray, ...]]:
+    """The texts in a row, where each starts, and those anchors (text, place, first and last string start) whose hashes are listed."""
+    raw = b"".join(r[1] for r in part) + bytes(8)
+    starts = np.concatenate([[0], np.cumsum([len(r[1]) for r in part])]).astype(np.int64)
+    data = np.frombuffer(raw, np.uint8)
+    found = anchors(data, starts)
+    wanted = np.unique(np.concatenate([np.asarray(r[2], np.int64) for r in part]))
+    keep = np.isin(_hashes(data, found[1]).view(np.int64), wanted)
+    return raw, starts, tuple(x[keep] for x in found)
+
+
 def _parts(rows: list[tuple[str, bytes, list[int]]]) -> Iterator[list[tuple]]:
     """Rows with about ``PART_BYTES`` of text at a time: finding anchors takes some 80 bytes per byte of text."""
     part, held = [], 0
@@ -234,25 +241,30 @@ def _parts(rows: list[tuple[str, bytes, list[int]]]) -> Iterator[list[tuple]]:
         yield part
 
 
-def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+def _text_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[str, bytes, list[int]]]]:
+    """Texts of a run, ``RUN_BYTES`` at a time."""
     rows, held = [], 0
     for batch in batches:
-        for row in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
-            rows.append(row)
-            held += len(row[1])
+        for k in range(batch.num_rows):
+            rows.append(tuple(batch.column(c)[k].as_py() for c in range(3)))
+            held += len(rows[-1][1])
             if held >= RUN_BYTES:
-                yield _records(rows)
+                yield rows
                 rows, held = [], 0
     if rows:
-        yield _records(rows)
+        yield rows
 
 
 def _splitters(texts: DataFrame, shards: int) -> list[bytes]:
-    """Strings that cut the sorted order into shards of similar size, from regular samples of all runs."""
+    """Strings that cut the sorted order into shards of similar size, from regular samples of all runs' anchors."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for records in _batches(batches):
-            picked = [records[k * len(records) // SAMPLES][0][:SURE] for k in range(SAMPLES)] if records else []
+        for rows in _text_rows(batches):
+            ahead: list[bytes] = []
+            for part in _parts(rows):
+                raw, _, (_, at, _, _) = _wanted(part)
+                ahead += [raw[a:a + SURE] for a in at.tolist()]
+            picked = [ahead[k * len(ahead) // SAMPLES] for k in range(SAMPLES)] if ahead else []
             yield pa.RecordBatch.from_arrays([pa.array(picked, pa.binary())], names=["s"])
 
     drawn = texts.mapInArrow(run, "s binary").orderBy(F.xxhash64("s"), "s").limit(DECIDING * shards)
@@ -264,8 +276,8 @@ def _runs(texts: DataFrame, splitters: list[bytes]) -> DataFrame:
     """Front-coded runs by shard, and (shard -1) the spans that a run settles by itself."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for records in _batches(batches):
-            kept, equal = _condensed(records)
+        for rows in _text_rows(batches):
+            kept, equal = _condensed(_records(rows))
             spans = [(sha, a - most, a - least + LENGTH) for _, _, sha, a, least, most in equal]
             out = []
             if spans:
@@ -375,8 +387,8 @@ def _hot_records(texts: DataFrame) -> DataFrame:
     """``sha, anchor, near, far, copies, right, left`` of the anchors listed; without copies, a run has settled them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for records in _batches(batches):
-            kept, equal = _condensed(records)
+        for rows in _text_rows(batches):
+            kept, equal = _condensed(_records(rows))
             out = [(sha, a, least, most, None, None, None) for _, _, sha, a, least, most in equal]
             out += [(sha, a, least, most, min(copies, 2), right, left) for right, left, sha, a, least, most, copies in kept]
             columns = list(zip(*out, strict=True)) or [()] * 7
