@@ -411,5 +411,5 @@ def test_pipeline(spark, sample, docs, tmp_path, empty):
 
 
 def test_registered():
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 11)) and set(SQL) <= set(QUERIES)
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 14)) and set(SQL) <= set(QUERIES)
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "ngram_jaccard_join", "personal_data", "source_mixing", "best_fit_packing"]
