@@ -28,8 +28,8 @@ WINDOW, STRIDE, LETTERS = 32, 16, 24
 SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_CHARS = 1500, 3000, 50_000
 #: Words with a vector of their own, at most; documents of the sample that such a word is in, at least.
 VOCABULARY, WORD_DOCUMENTS = 20_000, 2
-#: Training: rounds of choosing windows, steps of a round, windows of a step.
-ROUNDS, STEPS, BATCH = 3, 100, 128
+#: Training: rounds of choosing windows, steps of a round, windows of a step, and empty windows added to each.
+ROUNDS, STEPS, BATCH, BLANKS = 3, 100, 128, 4
 SLICE_BYTES, WINDOWS_AT_ONCE, WORDS_AT_ONCE = 2_000_000, 1024, 2048
 
 
@@ -142,10 +142,12 @@ def train(texts: pa.Array, labels: np.ndarray, steps: int = STEPS, seed: int = 0
         chosen = _chosen(text, scores, labels, rng, k)
         for _ in range(steps):
             own = rng.choice(chosen, min(BATCH, len(chosen)), replace=False)
-            codes = tokens.rows(first[own])
+            # windows without words are clean: what texts without letters get
+            codes = np.concatenate([tokens.rows(first[own]), np.zeros((BLANKS, WINDOW), np.int64)])
             used, codes = np.unique(codes, return_inverse=True)
             grads = network.learn(
-                spelled[used, :letters[used].max()], letters[used], known[used], codes.reshape(len(own), WINDOW), sizes[own], labels[text[own]]
+                spelled[used, :letters[used].max()], letters[used], known[used], codes.reshape(-1, WINDOW),
+                np.append(sizes[own], np.zeros(BLANKS, np.int64)), np.append(labels[text[own]], np.zeros(BLANKS, np.int64)),
             )
             grads["words"][0] = 0  # unknown words are told by their letters
             adam.step(grads)
