@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pulsemart.functions.parsing import json_text, json_whole
 from pulsemart.functions.plan import computed_once
@@ -225,6 +227,33 @@ def hybrid(
     )
 
 
+def _greedy_pick(limit: int, relevance_weight: float):
+    """Picks of one topic among few rows; ``_place`` orders them by score, then key."""
+
+    def pick(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("_place", ignore_index=True)
+        units = [np.asarray(v, "float64") for v in rows["_unit"]]
+        base = relevance_weight * rows["_score"].to_numpy("float64")
+        closest = np.full(len(rows), np.nan)
+        left = np.ones(len(rows), bool)
+        picked, values = [], []
+        while left.any() and len(picked) < limit:
+            gain = np.round(base - (1 - relevance_weight) * np.nan_to_num(closest), 9)
+            best = int(np.argmax(np.where(left & ~np.isnan(gain), gain, -np.inf)))
+            if not left[best]:  # only rows whose score is not a number are left
+                best = int(np.argmax(left))
+            picked.append(best)
+            values.append(-gain[best])
+            left &= (rows["_key"] != rows["_key"][best]).to_numpy() & (np.arange(len(rows)) != best)
+            near = [u @ units[best] if len(u) == len(units[best]) else np.nan for u in units]
+            closest = np.fmax(closest, near)
+        return rows.iloc[picked].assign(pick=range(1, len(picked) + 1), _value=values)[
+            ["_topic", "pick", "_value", "_score", "_key", "_unit"]
+        ]
+
+    return pick
+
+
 def diverse(
     df: DataFrame,
     topic: str,
@@ -233,37 +262,90 @@ def diverse(
     vector: str,
     limit: int = 10,
     relevance_weight: float = 0.7,
+    head: int = 1000,
 ) -> DataFrame:
     """Maximal-marginal-relevance pick per topic, over all rows of the topic.
 
-    A round picks the best row of every topic in one aggregation, and then
-    updates each row's similarity to the closest pick so far, so a topic is
-    never gathered in one place.  Values are compared to nine digits; of equal
-    ones the higher score, then the smaller key wins.  Rows without a vector
-    are not candidates.
+    Picks are proposed and checked.  A greedy pick among the ``head`` best rows
+    of each topic proposes; one scan then follows the proposed picks for every
+    other row and finds the first pick that the row beats.  Such rows (the best
+    ``head`` of a topic) join the head and their topics pick again, until no row
+    beats a pick; each round settles at least one more pick of a topic.  Rows
+    whose score cannot reach the last pick are not compared, and no topic is
+    ever gathered in one place.
+
+    Values are compared to nine digits; of equal ones the higher score, then
+    the smaller key wins.  A key is picked once per topic.  Rows without a
+    vector or a score are not candidates; a missing topic is a topic.
     """
-    gain = relevance_weight * F.col("_score") - (1 - relevance_weight) * F.coalesce("_closest", F.lit(0.0))
-    order = F.struct((-F.round(gain, 9)).alias("value"), (-F.col("_score")).alias("gain"), F.col(key).alias("key"), F.col("_unit").alias("unit"))
+    same_topic = F.col("_topic").eqNullSafe(F.col("_of"))
+    best_first = Window.partitionBy("_topic").orderBy(F.col("_score").desc(), "_key")
     with Staging(df.sparkSession) as area:
         rows = area.stage(
-            df.filter(F.col(vector).isNotNull()).select(
-                topic, key, F.col(score).cast("double").alias("_score"), unit(F.col(vector)).alias("_unit"),
-                F.lit(None).cast("double").alias("_closest"),
+            df.filter(F.col(vector).isNotNull() & F.col(score).isNotNull()).select(
+                F.col(topic).alias("_topic"), F.col(key).alias("_key"), F.col(score).cast("double").alias("_score"),
+                unit(F.col(vector)).alias("_unit"), F.monotonically_increasing_id().alias("_row"),
             ),
             "candidates",
         )
-        found = None
-        for pick in range(1, limit + 1):
-            best = area.stage(rows.groupBy(topic).agg(F.min(order).alias("_best")).withColumn("pick", F.lit(pick)), "pick")
-            found = best if found is None else found.unionByName(best)
-            closer = F.greatest("_closest", dot(F.col("_unit"), F.col("_best.unit")))
-            rows = area.stage(
-                rows.join(best.withColumnRenamed(topic, "_topic"), F.col(topic).eqNullSafe(F.col("_topic")))
-                .filter(F.col(key) != F.col("_best.key")).select(topic, key, "_score", "_unit", closer.alias("_closest")),
-                "candidates",
+        kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
+        shape = (
+            f"_topic {kinds['_topic']}, pick int, _value double, _score double, _key {kinds['_key']}, _unit array<double>"
+        )
+        known = area.stage(rows.withColumn("_place", F.row_number().over(best_first)).filter(F.col("_place") <= head).drop("_place"), "head")
+        fresh = known
+        while True:
+            picks = area.stage(
+                known.withColumn("_place", F.row_number().over(best_first)).groupBy("_topic")
+                .applyInPandas(_greedy_pick(limit, relevance_weight), shape),
+                "picks",
             )
-        picked = found.select(topic, F.col("_best.key").alias(key), "pick", (-F.col("_best.gain")).alias(score))
-        return stage(picked, "picks")
+            open_picks = picks.join(fresh.select(F.col("_topic").alias("_of")).distinct(), same_topic, "left_semi")
+            rivals = _rivals(rows, open_picks, limit, relevance_weight).join(known.select("_row"), "_row", "left_anti")
+            best = Window.partitionBy("_topic").orderBy("_step", "_value", F.col("_score").desc(), "_key")
+            fresh = area.stage(
+                rivals.withColumn("_place", F.row_number().over(best)).filter(F.col("_place") <= head).select(*rows.columns),
+                "rivals",
+            )
+            if fresh.isEmpty():
+                break
+            known = known.unionByName(fresh)
+        return stage(
+            picks.select(F.col("_topic").alias(topic), F.col("_key").alias(key), "pick", F.col("_score").alias(score)), "picks"
+        )
+
+
+def _rivals(rows: DataFrame, picks: DataFrame, limit: int, relevance_weight: float) -> DataFrame:
+    """Rows that beat a pick of their topic, with the first such pick and their value there."""
+    listed = picks.groupBy(F.col("_topic").alias("_of")).agg(
+        F.sort_array(F.collect_list(F.struct("pick", "_value", (-F.col("_score")).alias("_gain"), "_key", "_unit"))).alias("_picks")
+    )
+    last = F.size("_picks")
+    # A cosine is -1 at least; the margin is for rounding.
+    reachable = relevance_weight * F.col("_score") + (1 - relevance_weight) + 1e-6 >= -F.array_max(F.transform("_picks", lambda p: p["_value"]))
+
+    def value(closest: Column) -> Column:
+        return -F.round(relevance_weight * F.col("_score") - (1 - relevance_weight) * F.coalesce(closest, F.lit(0.0)), 9)
+
+    def state(closest: Column, step: Column, gone: Column) -> Column:
+        return F.struct(closest.alias("closest"), step.alias("step"), gone.alias("gone"))
+
+    def follow(s: Column, p: Column) -> Column:
+        mine = F.struct(value(s["closest"]).alias("v"), (-F.col("_score")).alias("g"), F.col("_key").alias("k"))
+        beats = mine < F.struct(p["_value"].alias("v"), p["_gain"].alias("g"), p["_key"].alias("k"))
+        nearer = state(F.greatest(s["closest"], dot(F.col("_unit"), p["_unit"])), s["step"], F.col("_key").eqNullSafe(p["_key"]))
+        return F.when(s["gone"] | s["step"].isNotNull(), s).otherwise(
+            F.when(beats, state(s["closest"], p["pick"], s["gone"])).otherwise(nearer)
+        )
+
+    start = state(F.lit(None).cast("double"), F.lit(None).cast("int"), F.lit(False))
+    end = F.col("_end")
+    joined = rows.join(listed, F.col("_topic").eqNullSafe(F.col("_of"))).filter((last < limit) | reachable)
+    followed = computed_once(joined, "_end", F.aggregate("_picks", start, follow))
+    step = F.coalesce(end["step"], F.when((last < limit) & ~end["gone"], last + 1))
+    return followed.withColumns({"_step": step, "_value": value(end["closest"])}).filter(F.col("_step").isNotNull()).select(
+        *rows.columns, "_step", "_value"
+    )
 
 
 def contributors(

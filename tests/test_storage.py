@@ -284,6 +284,44 @@ def test_diverse_equals_greedy_pick(spark):
         assert [r.k for r in sorted((r for r in out if r.topic == topic), key=lambda r: r.pick)] == picked
 
 
+def brute_diverse(rows, limit, weight=0.7):
+    """Greedy picks of one topic; rows are (key, score, vector)."""
+    unit = [np.array(v) / max(np.linalg.norm(v), 1e-12) for _, _, v in rows]
+    left, picked, taken = set(range(len(rows))), [], []
+    while left and len(picked) < limit:
+        def order(i):
+            near = max((float(unit[i] @ unit[p]) for p in taken), default=0.0)
+            return -round(weight * rows[i][1] - (1 - weight) * near, 9), -rows[i][1], rows[i][0]
+        best = min(left, key=order)
+        taken.append(best)
+        picked.append(rows[best][0])
+        left = {i for i in left if rows[i][0] != rows[best][0]}
+    return picked
+
+
+@pytest.mark.parametrize("head", [1, 3, 1000])
+def test_diverse_with_a_small_head(spark, head):
+    """Crowds of like vectors with high scores: most picks lie far below the first head."""
+    rnd = np.random.default_rng(7)
+    rows = [(i, "crowd", 0.9 + 0.1 * float(rnd.random()), [1.0, 0.01 * float(rnd.random()), 0.0]) for i in range(60)]
+    rows += [(100 + i, "crowd", 0.6 + 0.1 * float(rnd.random()), [float(x) for x in rnd.normal(size=3)]) for i in range(60)]
+    rows += [(200 + i % 5, None, float(rnd.random()), [float(x) for x in rnd.normal(size=3)]) for i in range(30)]  # repeated keys
+    rows += [(300, "one", 0.5, [0.0, 0.0, 0.0]), (301, "one", 0.5, [0.0, 0.0, 0.0])]
+    odd = [(400, "one", 0.9, None), (401, "one", None, [1.0, 0.0, 0.0])]
+    df = spark.createDataFrame(rows + odd, "k int, topic string, score double, v array<double>").repartition(5)
+    out = search.diverse(df, "topic", "k", "score", "v", limit=8, head=head).collect()
+    for topic in ("crowd", None, "one"):
+        want = brute_diverse([(k, s, v) for k, t, s, v in rows if t == topic], 8)
+        assert [r.k for r in sorted((r for r in out if r.topic == topic), key=lambda r: r.pick)] == want
+
+
+def test_diverse_of_nothing_and_of_unequal_vectors(spark):
+    schema = "k int, topic string, score double, v array<double>"
+    assert search.diverse(spark.createDataFrame([], schema), "topic", "k", "score", "v").collect() == []
+    df = spark.createDataFrame([(1, "a", 0.9, [1.0, 0.0]), (2, "a", 0.8, [1.0]), (3, "a", 0.7, [1.0, 0.0])], schema)
+    assert [r.k for r in sorted(search.diverse(df, "topic", "k", "score", "v").collect(), key=lambda r: r.pick)] == [1, 2, 3]
+
+
 def test_nearest_is_exact(spark):
     rnd = np.random.default_rng(1)
     data = rnd.normal(size=(50, 8))
