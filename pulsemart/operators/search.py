@@ -14,7 +14,7 @@ from pulsemart.functions.text import redact
 from pulsemart.functions.tokens import query_words, tokens
 from pulsemart.functions.vectors import dot, similarity_to, unit
 from pulsemart.session import Staging, stage
-from pulsemart.settings import DEFAULT_BM25, Bm25
+from pulsemart.settings import DEFAULT_BM25, ENGLISH_STOP_WORDS, Bm25
 
 
 def search_extract(events: DataFrame, min_chars: int = 10, limit: int | None = None) -> DataFrame:
@@ -43,14 +43,16 @@ def search_extract(events: DataFrame, min_chars: int = 10, limit: int | None = N
     return newest.limit(limit) if limit else rows
 
 
-def search_table(events: DataFrame, text: str = "text", stop_words=None, hide_personal: bool = True) -> DataFrame:
+def search_table(
+    events: DataFrame, text: str = "text", stop_words=None, hide_personal: bool = True, stem: str | None = "light"
+) -> DataFrame:
     """Events with analysed tokens and their number.
 
-    Write the result (see ``sources.tables.upsert``) and query the table: the
+    A query must be analysed with the same ``stem`` as the table.  Write the result (see ``sources.tables.upsert``) and query the table: the
     tokens are then computed once, as an index would hold them.
     """
     body = redact(F.col(text)) if hide_personal else F.col(text)
-    analysed = tokens(body) if stop_words is None else tokens(body, stop_words)
+    analysed = tokens(body, ENGLISH_STOP_WORDS if stop_words is None else stop_words, stem)
     return events.withColumn("tokens", analysed).withColumn("token_count", F.size("tokens"))
 
 
@@ -61,7 +63,8 @@ def _occurrences(listed: Column, term: str) -> Column:
 
 
 def relevance(
-    table: DataFrame, query: str, cfg: Bm25 = DEFAULT_BM25, stop_words=None, score: str = "score"
+    table: DataFrame, query: str, cfg: Bm25 = DEFAULT_BM25, stop_words=None, score: str = "score",
+    stem: str | None = "light",
 ) -> DataFrame:
     """Add the BM25 score of ``query``; any term may match, others score zero.
 
@@ -69,7 +72,7 @@ def relevance(
     mean length, documents per term) are one aggregate, read back as a scalar
     subquery, so texts are neither exploded nor shuffled.
     """
-    terms = query_words(table.sparkSession, query, stop_words)
+    terms = query_words(table.sparkSession, query, stop_words, stem)
     if not terms:
         return table.withColumn(score, F.lit(0.0))
     counts = [_occurrences(F.col("tokens"), term) for term in terms]
@@ -105,9 +108,10 @@ def top_matches(
     cfg: Bm25 = DEFAULT_BM25,
     stop_words=None,
     newest: bool = False,
+    stem: str | None = "light",
 ) -> DataFrame:
     """Best (or newest) matches of a query; ``where`` filters hits, not the corpus figures."""
-    hits = relevance(table, query, cfg, stop_words).filter(F.col("score") > 0)
+    hits = relevance(table, query, cfg, stop_words, stem=stem).filter(F.col("score") > 0)
     if where is not None:
         hits = hits.filter(where)
     first = F.col("ts_event" if newest else "score").desc()
@@ -301,7 +305,8 @@ def diverse(
                 "picks",
             )
             open_picks = picks.join(fresh.select(F.col("_topic").alias("_of")).distinct(), same_topic, "left_semi")
-            rivals = _rivals(rows, open_picks, limit, relevance_weight).join(known.select("_row"), "_row", "left_anti")
+            others = rows.join(known.select("_row"), "_row", "left_anti").select(*rows.columns)
+            rivals = _rivals(others, open_picks, limit, relevance_weight)
             best = Window.partitionBy("_topic").orderBy("_step", "_value", F.col("_score").desc(), "_key")
             fresh = area.stage(
                 rivals.withColumn("_place", F.row_number().over(best)).filter(F.col("_place") <= head).select(*rows.columns),

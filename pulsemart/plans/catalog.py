@@ -781,6 +781,13 @@ def analysed_tokens(spark, folder):
     return tokens.select("doc_id", "token_count", fingerprint(F.array_join("tokens", " ")).alias("token_hash"))
 
 
+@query
+def stemmed_tokens(spark, folder):
+    docs = samples.table(spark, folder, "documents").select("doc_id", "text")
+    tokens = search.search_table(docs, hide_personal=False, stem="porter")
+    return tokens.select("doc_id", "token_count", fingerprint(F.array_join("tokens", " ")).alias("token_hash"))
+
+
 @query
 def relevance_match(spark, folder):
     hits = search.top_matches(_search_table(spark, folder), "ering reons")

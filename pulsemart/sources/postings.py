@@ -133,9 +133,9 @@ def _scored(blocks: DataFrame, index: Postings, weights: dict[str, float], terms
     return sides.select(F.col("key").alias(index.key), total.alias("score"))
 
 
-def matching(spark: SparkSession, index: Postings, query: str, stop_words=None) -> DataFrame:
-    """``key, score`` of all rows that hold a term of the query."""
-    terms = query_words(spark, query, stop_words)
+def matching(spark: SparkSession, index: Postings, query: str, stop_words=None, stem: str | None = "light") -> DataFrame:
+    """``key, score`` of all rows that hold a term of the query, analysed as the indexed table was."""
+    terms = query_words(spark, query, stop_words, stem)
     if not terms:
         return spark.createDataFrame([], f"`{index.key}` {index.key_type}, score double")
     blocks = _blocks(spark, index, terms)
@@ -148,19 +148,21 @@ def bounds(blocks: DataFrame, weights: dict[str, float]) -> DataFrame:
     return blocks.groupBy("range").agg(F.sum(weight * F.col("best")).alias("bound"))
 
 
-def best_matching(spark: SparkSession, index: Postings, query: str, limit: int = 5, stop_words=None) -> DataFrame:
+def best_matching(
+    spark: SparkSession, index: Postings, query: str, limit: int = 5, stop_words=None, stem: str | None = "light"
+) -> DataFrame:
     """The ``limit`` best rows of a query, ``key, score``; equal scores by key.
 
     Blocks of ranges that cannot reach the k-th best score of the first ranges are not scored.
     """
-    terms = query_words(spark, query, stop_words)
+    terms = query_words(spark, query, stop_words, stem)
     order = (F.col("score").desc(), F.col(index.key))
     if not terms:
-        return matching(spark, index, query, stop_words)
+        return matching(spark, index, query, stop_words, stem)
     blocks = _blocks(spark, index, terms)
     weights = _weights(blocks, index, terms)
     if not weights:
-        return matching(spark, index, query, stop_words).limit(0)
+        return matching(spark, index, query, stop_words, stem).limit(0)
     least = threshold(blocks, index, weights, terms, limit)
     able = bounds(blocks, weights).filter(F.col("bound") >= least).select("range")
     return _scored(blocks.join(able, "range", "left_semi"), index, weights, terms).orderBy(*order).limit(limit)

@@ -12,6 +12,7 @@ from pulsemart.sources import samples as S
 from verification.feeds_sql import (
     CE, CF, EV, RD, RE, SE, TR, TW, brand, contains, country, day, rnd, with_, words,
 )
+from verification.stemmer_sql import stems
 
 SQL: dict[str, str] = {}
 
@@ -768,16 +769,28 @@ select doc_id, {hash16('clean')} text_hash, length(clean)::int chars from (selec
 
 
 # --------------------------------------------------------------- retrieval
-def token_list(text: str) -> str:
-    stop = listed(ENGLISH_STOP_WORDS)
+def word_list(text: str) -> str:
+    """Lower-case words but stop words."""
     word = r"regexp_extract_all(lower({t}), '[\p{{L}}\p{{N}}]+')".format(t=text)
+    return f"list_filter({word}, lambda w: not list_contains({listed(ENGLISH_STOP_WORDS)}, w))"
+
+
+def token_list(text: str) -> str:
     stem = "regexp_replace(regexp_replace(regexp_replace(w, '([^ae])ies$', '\\1y'), '([^aeo])es$', '\\1e'), '([^us])s$', '\\1')"
-    return f"list_transform(list_filter({word}, lambda w: not list_contains({stop}, w)), lambda w: {stem})"
+    return f"list_transform({word_list(text)}, lambda w: {stem})"
 
 
 SQL["analysed_tokens"] = f"""
 select doc_id, len(t)::int token_count, {hash16("array_to_string(t, ' ')")} token_hash
 from (select doc_id, {token_list('text')} t from documents)"""
+SQL["stemmed_tokens"] = f"""
+with listed as (select doc_id, {word_list('text')} t from documents),
+placed as (select doc_id, unnest(t) w, generate_subscripts(t, 1) i from listed),
+words as (select distinct w from placed),
+{stems('words')},
+joined as (select doc_id, string_agg(stem, ' ' order by i) t from placed join stems using (w) group by doc_id)
+select doc_id, len(listed.t)::int token_count, {hash16("coalesce(joined.t, '')")} token_hash
+from listed left join joined using (doc_id)"""
 SQL["search_extract"] = with_(RE) + f"""
 select event_id, brand_id, 'reddit' source, ts_event, {rounded('sentiment', 'severity')}, array_to_string(topics, ',') topics,
   0.6::double nlp_confidence, 'lexicon' nlp_model, geo_country, {hash16('text')} content_hash, subreddit, author,
