@@ -7,11 +7,19 @@ partitions, takes over predicates on record type and other header columns,
 and inflates a record's headers first: a record that a predicate drops, or
 whose payload is not in the schema, is skipped by its size without inflating
 its payload.
+
+Archives of other writers (plain, one gzip member per record, or members of
+many records) have no such sizes.  They are read block by block in one pass
+per file, in time linear in its size: gzip must be inflated to find the next
+record, but unwanted payloads are dropped as they come.  Such a file is one
+task, since only its start is known to begin a record.
 """
 
 from __future__ import annotations
 
+import itertools
 import json
+import operator
 import struct
 import zlib
 from collections.abc import Iterable, Iterator
@@ -24,7 +32,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import (
-    DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, Filter, In, InputPartition, IsNotNull, IsNull, WriterCommitMessage,
+    DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition,
+    IsNotNull, IsNull, LessThan, LessThanOrEqual, StringStartsWith, WriterCommitMessage,
 )
 from pyspark.sql.types import StructType
 
@@ -37,7 +46,17 @@ SCHEMA = (
 REVISIT_BYTES = 100
 #: A writer begins another file beyond this size; a read partition holds files up to it.
 FILE_BYTES = 64 << 20
+#: Archives of other writers are read in blocks of this size, and inflated in pieces of at most ``PIECE_BYTES``.
+BLOCK_BYTES, PIECE_BYTES = 16 << 10, 1 << 20
+#: Headers of a record end within so many bytes, or the file is refused.
+HEADER_BYTES = 1 << 20
 _ID = "<urn:page:{}>"
+_BLANK = b"\r\n\r\n"
+#: What a header column is compared with; a missing value passes none of these.
+_TESTS = {
+    EqualTo: operator.eq, GreaterThan: operator.gt, GreaterThanOrEqual: operator.ge, LessThan: operator.lt,
+    LessThanOrEqual: operator.le, In: lambda value, listed: value in listed, StringStartsWith: str.startswith,
+}
 
 
 def _record(row: dict) -> bytes:
@@ -118,7 +137,7 @@ class _Reader(DataSourceReader):
     def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:  # noqa: N802
         """Take over what headers can answer; the rest stays with Spark."""
         for f in filters:
-            if isinstance(f, EqualTo | In | IsNull | IsNotNull) and f.attribute != ("payload",):
+            if type(f) in (*_TESTS, IsNull, IsNotNull) and f.attribute != ("payload",):
                 self.filters.append(f)
             else:
                 yield f
@@ -149,16 +168,25 @@ class _Reader(DataSourceReader):
         kinds = pa.schema([kinds.field(c) for c in self.columns])
         rows, held = [], 0
         for name in partition.names:
-            data = memoryview(fs.open_input_file(f"{path}/{name}").read_buffer())
-            for headers, payload in records(data, self._wanted, "payload" in self.columns):
-                rows.append({**headers, "payload": payload})
-                held += len(payload or b"") + 200
-                if held > 8 << 20:
-                    yield pa.RecordBatch.from_pylist(rows, schema=kinds)
-                    rows, held = [], 0
+            with fs.open_input_file(f"{path}/{name}") as source:
+                for headers, payload in self._records(source):
+                    rows.append({**headers, "payload": payload})
+                    held += len(payload or b"") + 200
+                    if held > 8 << 20:
+                        yield pa.RecordBatch.from_pylist(rows, schema=kinds)
+                        rows, held = [], 0
         if rows:
             yield pa.RecordBatch.from_pylist(rows, schema=kinds)
 
+    def _records(self, source: pa.NativeFile) -> Iterator[tuple[dict, bytes | None]]:
+        with_payload = "payload" in self.columns
+        start = source.read(HEADER_START)
+        if _member(memoryview(start), 0)[1] is not None:  # of our writer, which bounds its files
+            source.seek(0)
+            return records(memoryview(source.read_buffer()), self._wanted, with_payload)
+        rest = iter(lambda: source.read(BLOCK_BYTES), b"")
+        return streamed(itertools.chain([start], rest), self._wanted, with_payload)
+
     def _wanted(self, headers: dict) -> bool:
         for f in self.filters:
             value = headers[f.attribute[0]]
@@ -167,7 +195,7 @@ class _Reader(DataSourceReader):
             elif isinstance(f, IsNotNull):
                 passes = value is not None
             else:
-                passes = value is not None and (value == f.value if isinstance(f, EqualTo) else value in f.value)
+                passes = value is not None and _TESTS[type(f)](value, f.value)
             if not passes:
                 return False
         return True
@@ -178,48 +206,130 @@ def _page(value: str | None) -> int | None:
     return int(digits) if digits.lstrip("-").isdigit() else None
 
 
+def _described(head: bytes) -> tuple[dict, int]:
+    """Header columns of a record, and the length of its block.
+
+    Names of fields count in any case.  What a header lacks is null.
+    """
+    lines = head.decode("utf-8", "replace").split("\r\n")[1:]
+    fields = {k.strip().lower(): v.strip() for k, colon, v in (line.partition(":") for line in lines) if colon}
+    size = fields.get("x-payload-length")
+    return {
+        "page_id": _page(fields.get("warc-record-id")), "url": fields.get("warc-target-uri"), "record_type": fields.get("warc-type"),
+        "payload_digest": fields.get("warc-payload-digest", "").removeprefix("sha256:") or None,
+        "refers_to": _page(fields.get("warc-refers-to")), "payload_bytes": int(size) if size else None,
+    }, int(fields.get("content-length", 0))
+
+
+def _payload(block: bytes) -> bytes:
+    """The block without the HTTP headers before it."""
+    return block.partition(_BLANK)[2]
+
+
+#: The size field of our writer lies within so many bytes of a member's start.
+HEADER_START = 24
+
+
+def _member(data: memoryview, at: int) -> tuple[int, int | None]:
+    """Where the compressed bytes of a gzip member of our writer begin, and its size; no size for anything else."""
+    if bytes(data[at:at + 4]) != b"\x1f\x8b\x08\x04" or bytes(data[at + 12:at + 14]) != b"sl":
+        return at, None
+    length, = struct.unpack_from("<H", data, at + 10)
+    return at + 12 + length, struct.unpack_from("<I", data, at + 16)[0]
+
+
 def records(data: memoryview, wanted, with_payload: bool) -> Iterator[tuple[dict, bytes | None]]:
     """Headers and payload of the records of one file for which ``wanted(headers)`` holds.
 
-    Members without the size field (of other writers) are inflated to find their end.  Revisits have no payload.
+    From the first member without the size field on, the rest is read as ``streamed`` does.  Revisits have no payload.
     """
     at = 0
     while at < len(data):
-        flags, body, size = data[at + 3], at + 10, None
-        if flags & 4:
-            length = struct.unpack_from("<H", data, body)[0]
-            field = bytes(data[body + 2:body + 2 + length])
-            size = struct.unpack_from("<I", field, 4)[0] if field[:2] == b"sl" else None
-            body += 2 + length
-        for flag in (8, 16):  # name and comment
-            if flags & flag:
-                body += bytes(data[body:body + 4096]).index(b"\0") + 1
-        body += 2 if flags & 2 else 0
+        body, size = _member(data, at)
+        if size is None:
+            blocks = (bytes(data[i:i + BLOCK_BYTES]) for i in range(at, len(data), BLOCK_BYTES))
+            yield from streamed(blocks, wanted, with_payload)
+            return
         inflate = zlib.decompressobj(-15)
-        end = at + size if size else len(data)
-        plain, fed = b"", body
-        while b"\r\n\r\n" not in plain and fed < end:
+        plain, fed, end = b"", body, at + size
+        while _BLANK not in plain and fed < end:
             step = min(end, fed + 1024)
             plain += inflate.decompress(data[fed:step])
             fed = step
-        head, _, block = plain.partition(b"\r\n\r\n")
-        fields = dict(line.split(": ", 1) for line in head.decode("utf-8", "replace").split("\r\n")[1:] if ": " in line)
-        headers = {
-            "page_id": _page(fields.get("WARC-Record-ID")), "url": fields.get("WARC-Target-URI"),
-            "record_type": fields.get("WARC-Type"), "payload_digest": fields.get("WARC-Payload-Digest", "").removeprefix("sha256:") or None,
-            "refers_to": _page(fields.get("WARC-Refers-To")), "payload_bytes": int(fields.get("X-Payload-Length") or 0),
-        }
+        head, _, block = plain.partition(_BLANK)
+        headers, length = _described(head)
+        if wanted(headers):
+            whole = with_payload and headers["record_type"] == "response"
+            yield headers, _payload((block + inflate.decompress(data[fed:end]))[:length]) if whole else None
+        at = end
+
+
+def _inflated(blocks: Iterable[bytes]) -> Iterator[bytes]:
+    """The plain bytes of a file, in pieces: gzip members one after the other, or a file that is not compressed."""
+    blocks, start = iter(blocks), b""
+    while len(start) < 2 and (block := next(blocks, None)) is not None:
+        start += block
+    compressed, inflate = start.startswith(b"\x1f\x8b"), None
+    for block in itertools.chain([start], blocks):
+        if not compressed:
+            yield block
+            continue
+        while block:
+            if inflate is None:
+                block = block.lstrip(b"\0")  # padding between members
+                if not block:
+                    break
+                inflate = zlib.decompressobj(31)
+            yield inflate.decompress(block, PIECE_BYTES)
+            block = inflate.unused_data if inflate.eof else inflate.unconsumed_tail
+            if inflate.eof:
+                inflate = None
+    if inflate is not None:
+        while piece := inflate.decompress(inflate.unconsumed_tail, PIECE_BYTES):
+            yield piece
+        if not inflate.eof:
+            raise ValueError("the archive ends inside a gzip member")
+
+
+def streamed(blocks: Iterable[bytes], wanted, with_payload: bool) -> Iterator[tuple[dict, bytes | None]]:
+    """Records of an archive of any writer, from its blocks in order; no more than one wanted payload is held.
+
+    A file that holds something other than records, or ends within one, is refused with a ``ValueError``.
+    """
+    pieces, held = _inflated(blocks), bytearray()
+
+    def more() -> bool:
+        piece = next(pieces, None)
+        held.extend(piece or b"")
+        return piece is not None
+
+    while True:
+        while held[:1] in (b"\r", b"\n") or (not held and more()):
+            del held[:held[:1] in (b"\r", b"\n")]
+        if not held:
+            return
+        seen = 0
+        while (stop := held.find(_BLANK, max(seen - 3, 0))) < 0:
+            seen = len(held)
+            if seen > HEADER_BYTES or not more():
+                raise ValueError("no end of a record's headers")
+        if not held.startswith(b"WARC/"):
+            raise ValueError("not a WARC record")
+        headers, left = _described(bytes(held[:stop]))
+        del held[:stop + len(_BLANK)]
         take = wanted(headers)
-        payload = None
-        if size is None or (take and with_payload and headers["record_type"] == "response"):
-            rest = inflate.decompress(data[fed:end])
-            if size is None:
-                end = fed + (end - fed if not inflate.eof else end - fed - len(inflate.unused_data)) + 8
-            if take and with_payload and headers["record_type"] == "response":
-                payload = (block + rest)[:int(fields.get("Content-Length", 0))].partition(b"\r\n\r\n")[2]
+        keep = take and with_payload and headers["record_type"] == "response"
+        block = bytearray()
+        while left:
+            if not held and not more():
+                raise ValueError("the archive ends inside a record")
+            part = min(left, len(held))
+            if keep:
+                block += held[:part]
+            del held[:part]
+            left -= part
         if take:
-            yield headers, payload
-        at = end
+            yield headers, _payload(bytes(block)) if keep else None
 
 
 class WarcSource(DataSource):

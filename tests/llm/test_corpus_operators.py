@@ -1,5 +1,6 @@
 """Quality rules, archives, token files, packing, mixing and personal data."""
 
+import gzip
 import hashlib
 import math
 import random
@@ -153,12 +154,102 @@ def test_unwanted_payloads_are_not_inflated(monkeypatch):
     assert len(list(warc.records(data, lambda h: True, False))) == 3 and sum(inflated) < 20_000
 
 
-def test_archives_of_other_writers():
-    import gzip
+def foreign(k, body, kind="response"):
+    """A record as other writers make it: names in lower case, no space after the colon, no payload length."""
+    block = b"HTTP/1.1 200 OK\r\nX: y\r\n\r\n" + body
+    return b"WARC/1.0\r\nwarc-type:%s\r\nWARC-Record-ID: <urn:page:%d>\r\nContent-Length: %d\r\n\r\n" % (kind.encode(), k, len(block)) + block + b"\r\n\r\n"
 
-    plain = b"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:4>\r\nContent-Length: 24\r\n\r\nHTTP/1.1 200 OK\r\n\r\nhello\r\n\r\n"
-    (one, two) = warc.records(memoryview(gzip.compress(plain) * 2), lambda h: True, True)
-    assert one == two and one[1] == b"hello" and one[0]["page_id"] == 4
+
+def foreign_bodies():
+    return [b"hello", b"", b"\r\n\r\nWARC/1.0\r\n\r\n", random.Random(1).randbytes(70_000), b"z" * 3_000_000, b"end"]
+
+
+def foreign_forms():
+    plain = [foreign(k, body, "request" if k == 1 else "response") for k, body in enumerate(foreign_bodies())]
+    return {
+        "plain.warc": b"".join(plain),
+        "members.warc.gz": b"".join(map(gzip.compress, plain)),
+        "padded.warc.gz": b"\0\0".join(map(gzip.compress, plain)) + b"\0" * 20_000,
+        "one.warc.gz": gzip.compress(b"".join(plain)),
+        "pairs.warc.gz": b"".join(gzip.compress(a + b) for a, b in zip(plain[::2], plain[1::2], strict=True)),
+    }
+
+
+@pytest.mark.parametrize("form", foreign_forms())
+def test_archives_of_other_writers(form):
+    data = foreign_forms()[form]
+    found = list(warc.records(memoryview(data), lambda h: True, True))
+    assert [(h["page_id"], h["payload_bytes"], p) for h, p in found] == [
+        (k, None, None if k == 1 else body) for k, body in enumerate(foreign_bodies())
+    ]
+    some = list(warc.records(memoryview(data), lambda h: h["page_id"] == 3, True))
+    assert [p for _, p in some] == [foreign_bodies()[3]]
+    assert [p for _, p in warc.records(memoryview(data), lambda h: True, False)] == [None] * 6
+    for blocks in (1, 7, 1000):  # headers and members cut anywhere
+        small = gzip.compress(foreign(1, b"a")) + gzip.compress(foreign(2, b"b" * 500))
+        cut = (small[i:i + blocks] for i in range(0, len(small), blocks))
+        assert [p for _, p in warc.streamed(cut, lambda h: True, True)] == [b"a", b"b" * 500]
+
+
+def test_a_foreign_member_after_our_own():
+    own = warc._record({"page_id": 1, "url": "u", "record_type": "response", "payload_digest": "d", "refers_to": None, "payload_bytes": 3, "payload": b"own"})
+    data = memoryview(own + gzip.compress(foreign(2, b"other")) + own)
+    assert [p for _, p in warc.records(data, lambda h: True, True)] == [b"own", b"other", b"own"]
+
+
+@pytest.mark.parametrize("data", [
+    b"something else\r\n\r\n", b"WARC/1.0\r\nno end", gzip.compress(foreign(1, b"x" * 5000))[:-30], foreign(1, b"cut" * 50)[:-40],
+])
+def test_broken_archives_are_refused(data):
+    with pytest.raises(ValueError, match="record|member"):
+        list(warc.records(memoryview(data), lambda h: True, True))
+
+
+def test_foreign_archives_take_linear_time():
+    def inflated(n):
+        data, fed, real = gzip.compress(foreign(1, random.Random(1).randbytes(2000))) * n, [], warc.zlib.decompressobj
+
+        class Counting:
+            def __init__(self, bits):
+                self.inner = real(bits)
+
+            def decompress(self, raw, *most):
+                fed.append(len(raw))
+                return self.inner.decompress(raw, *most)
+
+            def __getattr__(self, name):
+                return getattr(self.inner, name)
+
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(warc.zlib, "decompressobj", Counting)
+            assert len(list(warc.records(memoryview(data), lambda h: False, True))) == 0
+        return sum(fed)
+
+    assert inflated(400) < 4.4 * inflated(100)
+
+
+def test_reading_a_folder_of_other_writers(spark, tmp_path):
+    for name, data in foreign_forms().items():
+        (tmp_path / name).write_bytes(data)
+    warc.register(spark)
+    rows = warc.read_archive(spark, str(tmp_path))
+    got = ordered((r.page_id, r.record_type, r.payload and hashlib.sha256(r.payload).hexdigest()) for r in rows.collect())
+    one = [(k, "request" if k == 1 else "response", body and k != 1 and hashlib.sha256(body).hexdigest()) for k, body in enumerate(foreign_bodies())]
+    assert len(got) == 5 * len(one) and {g[:2] for g in got} == {o[:2] for o in one}
+    assert {g[2] for g in got if g[0] > 1} == {o[2] for o in one if o[0] > 1}
+
+
+@pytest.mark.parametrize(("condition", "n"), [
+    ("page_id > 10", 5), ("page_id >= 11 and page_id < 14", 3), ("page_id <= 3", 2), ("url like 'http://b%'", 2), ("url > 'u'", 1),
+])
+def test_predicates_on_ranges_are_taken_over(spark, condition, n):
+    folder = scratch_path(spark, "warc")
+    warc.register(spark)
+    warc.write_pages(spark.createDataFrame(pages(), "page_id long, url string, html string"), folder)
+    rows = warc.read_archive(spark, folder, "page_id long, url string").where(condition)
+    assert rows.count() == n
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert " Filter " not in plan
 
 
 def test_empty_archive(spark):
