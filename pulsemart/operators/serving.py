@@ -121,17 +121,23 @@ def _of_cluster(complaints: DataFrame, cluster: str | None) -> DataFrame:
     return complaints if cluster in (None, "all") else complaints.filter(F.col("cluster_name") == cluster)
 
 
+def newest_first() -> list[Column]:
+    """The order of complaint pages."""
+    return [F.col("complaint_date").desc(), severity_rank(F.col("severity_level")).desc(), F.col("complaint_id").asc()]
+
+
 def complaint_page(
     complaints: DataFrame, cluster: str | None = None, page: int = 1, page_size: int = 50
 ) -> DataFrame:
     """One page of complaints, newest first.
 
     Offset and limit become a bounded top-n: each task keeps only the rows up
-    to the end of the page.
+    to the end of the page.  For deep pages, write the rows once with
+    ``sources.page_index``, which opens a page's own range alone.
     """
     return (
         _of_cluster(complaints, cluster)
-        .orderBy(F.col("complaint_date").desc(), severity_rank(F.col("severity_level")).desc(), "complaint_id")
+        .orderBy(*newest_first())
         .offset((page - 1) * page_size)
         .limit(page_size)
     )
@@ -140,11 +146,13 @@ def complaint_page(
 def page_envelope(
     complaints: DataFrame, cluster: str | None = None, page: int = 1, page_size: int = 50
 ) -> DataFrame:
-    pages = F.ceil(F.col("total_count") / page_size)
+    return envelope(_of_cluster(complaints, cluster).agg(F.count(F.lit(1)).alias("total_count")), page, page_size)
+
+
+def envelope(total: DataFrame, page: int, page_size: int) -> DataFrame:
+    """Page numbers around a row with ``total_count``, counted or from a page index."""
     return (
-        _of_cluster(complaints, cluster)
-        .agg(F.count(F.lit(1)).alias("total_count"))
-        .withColumn("total_pages", pages)
+        total.withColumn("total_pages", F.ceil(F.col("total_count") / page_size))
         .select(
             F.lit(page).alias("page"),
             F.lit(page_size).alias("page_size"),

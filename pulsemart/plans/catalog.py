@@ -21,7 +21,7 @@ from pulsemart.operators import (
 from pulsemart.plans import brand_score, complaint_marts
 from pulsemart.session import scratch_path, stage
 from pulsemart.settings import DateRange, EnrichSettings
-from pulsemart.sources import dimensions, landing, postings, samples, tables, vector_index
+from pulsemart.sources import dimensions, landing, page_index, postings, samples, tables, vector_index
 from pulsemart.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -345,6 +345,28 @@ def complaint_page_envelope(spark, folder):
     return serving.page_envelope(_assigned(spark, folder), "all", page=2, page_size=50)
 
 
+def _page_index(spark, folder, group: str | None) -> page_index.PageIndex:
+    path = scratch_path(spark, "pages")
+    page_index.write_pages(_assigned(spark, folder), path, serving.newest_first(), group)
+    return page_index.PageIndex(spark, path)
+
+
+@query
+def complaint_places(spark, folder):
+    """Every complaint with its place and page within its cluster, from the written pages."""
+    rows = _page_index(spark, folder, "cluster_name").placed()
+    return rows.select("complaint_id", "cluster_name", "place", F.ceil(F.col("place") / 50).alias("page"))
+
+
+@query
+def complaint_last_page(spark, folder):
+    """The deepest page of all complaints."""
+    index = _page_index(spark, folder, None)
+    last = serving.envelope(index.total(), 1, 50).head().total_pages
+    rows = index.page(max(last, 1), 50)
+    return rows.select("complaint_id", "source_type", "complaint_date", "severity_level", "cluster_name")
+
+
 @query
 def complaint_severity_counts(spark, folder):
     return serving.severity_counts(_assigned(spark, folder))

@@ -532,6 +532,14 @@ limit 10 offset 10"""
 SQL["complaint_page_envelope"] = with_(CLU) + """
 select 2 page, 50 page_size, count(*) total_count, ceil(count(*) / 50.0)::bigint total_pages,
   2 < ceil(count(*) / 50.0) has_next_page, true has_previous_page from clu"""
+_NEWEST = "complaint_date desc nulls last, case severity_level when 'high' then 3 when 'medium' then 2 when 'low' then 1 else 0 end desc, complaint_id nulls first"
+SQL["complaint_places"] = with_(CLU) + f"""
+select complaint_id, cluster_name, place, ((place + 49) // 50)::bigint page
+from (select complaint_id, cluster_name, row_number() over (partition by cluster_name order by {_NEWEST}) place from clu)"""
+SQL["complaint_last_page"] = with_(CLU) + f"""
+select complaint_id, source_type, complaint_date, severity_level, cluster_name
+from (select *, row_number() over (order by {_NEWEST}) place, count(*) over () total from clu)
+where place > (total - 1) // 50 * 50"""
 SQL["complaint_severity_counts"] = with_(CLU) + """
 select count(*) filter (where severity_level = 'high') as high, count(*) filter (where severity_level = 'medium') as medium,
   count(*) filter (where severity_level = 'low') as low from clu"""
