@@ -21,7 +21,7 @@ from pulsemart.operators import (
 from pulsemart.plans import brand_score, complaint_marts
 from pulsemart.session import scratch_path, stage
 from pulsemart.settings import DateRange, EnrichSettings
-from pulsemart.sources import dimensions, landing, page_index, postings, samples, tables, vector_index
+from pulsemart.sources import dimensions, landing, page_index, postings, rollups, samples, tables, vector_index
 from pulsemart.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -1188,6 +1188,15 @@ def stream_daily(spark, folder):
     return tidy(spark.read.parquet(out.daily).select("date", "brand_id", "volume", "mean_value"))
 
 
+@query
+def stream_rollup(spark, folder):
+    """Daily figures merged from parts, two of three runs late; the sketch is compared in the tests."""
+    out, state = scratch_path(spark, "stream-rollup"), scratch_path(spark, "stream-state")
+    named = jobs.RollupColumns(member="text")
+    _in_runs(spark, folder, lambda s: jobs.publish_rollup(s, out, state, F.col("value"), named, compact_every=2))
+    return tidy(rollups.Rollup(spark, out, jobs.ROLLUP_GROUPS).read().drop("members_estimate"), 6)
+
+
 @query
 def stream_alerts(spark, folder):
     out, found, state = _daily_tables(spark), scratch_path(spark, "stream-alerts"), scratch_path(spark, "stream-state")

@@ -18,6 +18,7 @@ from pulsemart.functions.scores import change_pct
 from pulsemart.session import Staging
 from pulsemart.settings import AlertSettings
 from pulsemart.sources.landing import parse_lines
+from pulsemart.sources.rollups import Rollup
 from pulsemart.sources.tables import append_new, in_partitions, upsert, write_mart
 
 def landing_stream(spark: SparkSession, path: str, schema: str, files_per_batch: int | None = None) -> DataFrame:
@@ -109,6 +110,38 @@ def publish_daily(
     return _run(stream, work, checkpoint, "append")
 
 
+@dataclass(frozen=True)
+class RollupColumns:
+    """What a kept rollup counts: the key of an event, its time, its brand and its member."""
+
+    key: str = "event_id"
+    ts: str = "ts_event"
+    brand: str = "brand_id"
+    member: str = "author"
+
+
+ROLLUP_GROUPS = ("date", "brand_id")
+
+
+def publish_rollup(
+    stream: DataFrame, path: str, checkpoint: str, value: Column, columns: RollupColumns = RollupColumns(), compact_every: int = 24
+) -> StreamingQuery:
+    """Volume, mean, deviation and members per brand and day, merged from a part per batch.
+
+    Unlike ``publish_daily`` it keeps no events: a batch reads its own rows and the index entries of their keys, and
+    writes its own part.  ``Rollup(spark, path, ROLLUP_GROUPS).read()`` gives the figures.
+    """
+    groups = {"date": F.to_date(columns.ts), "brand_id": F.col(columns.brand)}
+
+    def work(batch: DataFrame, number: int) -> None:
+        rollup = Rollup(batch.sparkSession, path, ROLLUP_GROUPS)
+        rollup.add_events(number, batch, [columns.key], groups, value, F.col(columns.member))
+        if (number + 1) % compact_every == 0:
+            rollup.compact()
+
+    return _run(stream, work, checkpoint, "append")
+
+
 def compared_days(daily: DataFrame, cfg: AlertSettings = AlertSettings()) -> DataFrame:
     """Each daily row beside the day before, with the change and whether it calls for an alert.
 

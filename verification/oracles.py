@@ -1038,6 +1038,9 @@ SQL["stream_upserted"] = with_(LAND) + f"select event_id, ts_event, brand_id, {r
 DAILY = LAND + """,
 d as (select ts_event::date as date, brand_id, count(*) volume, avg(value) mean_value from land group by 1, 2)"""
 SQL["stream_daily"] = with_(DAILY) + f"select date, brand_id, volume, {rounded('mean_value')} from d"
+SQL["stream_rollup"] = with_(LAND) + """
+select ts_event::date as date, brand_id, count(*) volume, count(value) valued, round(sum(value), 6) total_value,
+  round(avg(value), 6) mean_value, round(stddev_samp(value), 6) stddev_value from land group by 1, 2"""
 SQL["stream_alerts"] = with_(DAILY) + f"""
 select d.date, d.brand_id, d.volume, p.volume previous_volume, {rnd('(d.volume - p.volume) / p.volume * 100')} change_pct
 from d join d p on p.brand_id = d.brand_id and p.date = d.date - 1 where (d.volume - p.volume) / p.volume * 100 >= 50"""
