@@ -56,8 +56,11 @@ def test_trie_finds_words_inside_their_context(tmp_path):
     assert trie.look_up(np.array([1], np.uint64), np.array([1], np.uint64))[1].tolist() == [0]
 
 
-def test_scores(docs, sample, empty, monkeypatch):
-    monkeypatch.setattr(ngram_model, "HOT", 0.02)  # some contexts are hot
+@pytest.mark.parametrize(("shards", "chunk"), [(1, 4_000_000), (5, 2_000), (64, 20_000)])
+def test_scores(docs, sample, empty, monkeypatch, shards, chunk):
+    monkeypatch.setattr(ngram_model, "HOT", 1.28 / shards)  # some contexts are hot
+    monkeypatch.setattr(ngram_model, "MIN_SHARDS", shards)
+    monkeypatch.setattr(ngram_model, "CHUNK_BYTES", chunk)
     texts = [(r[0], zlib.crc32(str(r[0] if r[0] is not None else "").encode()) % 7 == 2, [*words(r[1]), None]) for r in sample]
     c = Counter(w for _, held, t in texts if not held for w in t)
     pairs = Counter(p for _, held, t in texts if not held for p in zip(t, t[1:], strict=False))
@@ -85,6 +88,21 @@ def test_scores(docs, sample, empty, monkeypatch):
     assert ngram_model.score(empty).collect() == []
 
 
+def test_hot_contexts_are_spread_by_their_share():
+    hot = ngram_model._Hot({7: 1000, 3: 150, 9: 101}, bound=100.0, shards=8)
+    assert hot.words.tolist() == [3, 7, 9] and hot.spread.tolist() == [2, 8, 2] and hot.totals.tolist() == [150, 1000, 101]
+    place, found = hot.find(np.array([9, 8, 3, 2**63], np.uint64))
+    assert found.tolist() == [True, False, True, False] and hot.words[place[found]].tolist() == [9, 3]
+    assert not ngram_model._Hot({}, 1.0, 4).find(np.array([1], np.uint64))[1].any()
+
+
+def test_batches_are_gathered(monkeypatch):
+    monkeypatch.setattr(ngram_model, "CHUNK_BYTES", 100)
+    batches = [pa.RecordBatch.from_pydict({"a": pa.array(range(n), pa.int64())}) for n in (5, 5, 5, 0, 40, 1)]
+    assert [b.num_rows for b in ngram_model._gathered(iter(batches))] == [10, 5, 40, 1]
+    assert list(ngram_model._gathered(iter([]))) == []
+
+
 def test_probabilities_sum_to_one():
     # shares of the words after a context and its backoff, as a shard computes them
     n = np.array([5, 3, 1, 1])
