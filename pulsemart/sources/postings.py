@@ -11,8 +11,9 @@ reaches the threshold are scored, so no row that can win is left out.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +26,8 @@ from pulsemart.sources.layout import by_partition
 
 #: Folders by term, and rows of a range (more of them make smaller blocks and closer bounds).
 BUCKETS, RANGE_ROWS = 64, 128
+#: Tokens that a Python worker counts at a time, besides the last range of a piece.
+PIECE_TOKENS = 500_000
 
 
 @dataclass(frozen=True)
@@ -45,24 +48,57 @@ class Postings:
         return spark.read.schema(f"term string, range long, docs {entry}, best double, df int, bucket int").parquet(f"{self.path}/blocks")
 
 
-def _term_counts(rows: DataFrame, key_type: str) -> DataFrame:
-    """``key, length, range, term, tf`` for the distinct terms of each row, counted inside the row."""
+def _cuts(places: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Where to cut rows sorted by range: at starts of ranges, some ``PIECE_TOKENS`` tokens apart, and at the end."""
+    starts = np.flatnonzero(np.diff(places, prepend=places[0] - 1))
+    piece = (np.cumsum(sizes) - sizes)[starts] // PIECE_TOKENS
+    return np.append(starts[np.flatnonzero(np.diff(piece, prepend=-1))], len(places))
+
+
+def _counted(rows: pa.RecordBatch, mean: float, cfg: Bm25) -> pa.RecordBatch:
+    """Blocks of whole ranges of ``key, length, range, tokens``."""
+    key, length, places, listed = rows.columns
+    coded = listed.flatten().dictionary_encode()
+    width = len(coded.dictionary)
+    row = np.repeat(np.arange(rows.num_rows), listed.value_lengths().to_numpy(zero_copy_only=False))
+    pairs, tf = np.unique(row * width + coded.indices.to_numpy(zero_copy_only=False), return_counts=True)
+    own, term = pairs // width, pairs % width
+    numbers, number = np.unique(places.to_numpy(), return_inverse=True)
+    block = number[own] * width + term
+    order = np.argsort(block, kind="stable")
+    own, tf, block = own[order], tf[order], block[order]
+    starts = np.flatnonzero(np.diff(block, prepend=-1))
+    held = length.take(pa.array(own))
+    # as in _part
+    part = tf * (cfg.k1 + 1) / (tf + cfg.k1 * (1 - cfg.b + cfg.b * (held.to_numpy(zero_copy_only=False) / mean)))
+    ends = pa.array(np.append(starts, len(block)).astype(np.int32))
+    listed = [pa.ListArray.from_arrays(ends, values) for values in (key.take(pa.array(own)), pa.array(tf.astype(np.int32)), held)]
+    return pa.RecordBatch.from_arrays(
+        [coded.dictionary.take(pa.array(block[starts] % width)), pa.array(numbers[block[starts] // width]), *listed, pa.array(np.fmax.reduceat(part, starts))],
+        names=["term", "range", "key", "tf", "length", "best"],
+    )
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            listed = batch.column(3)
-            counts = np.asarray(listed.value_lengths().fill_null(0)).astype(np.int64)
-            coded = listed.flatten().dictionary_encode()
-            row = np.repeat(np.arange(batch.num_rows), counts)
-            width = max(1, len(coded.dictionary))
-            pairs, tf = np.unique(row * width + coded.indices.to_numpy(zero_copy_only=False), return_counts=True)
-            own = pa.array(pairs // width)
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c).take(own) for c in range(3)), coded.dictionary.take(pa.array(pairs % width)), pa.array(tf.astype(np.int32))],
-                names=["key", "length", "range", "term", "tf"],
-            )
 
-    return rows.mapInArrow(run, f"key {key_type}, length int, range long, term string, tf int")
+def _range_blocks(batches: Iterable[pa.RecordBatch], mean: float, cfg: Bm25) -> Iterator[pa.RecordBatch]:
+    """Blocks of rows that come sorted by range, a bounded number of tokens at a time."""
+    held: list[pa.RecordBatch] = []
+    for batch in chain(batches, [None]):
+        if batch is not None:
+            if not batch.num_rows:
+                continue
+            held.append(batch)
+            if held[0].column(2)[0] == batch.column(2)[-1]:
+                continue  # the range may go on
+        if not held:
+            return
+        rows = pa.concat_batches(held)
+        places = rows.column(2).to_numpy()
+        # the last range waits for the next batch
+        whole = rows.num_rows if batch is None else int(np.searchsorted(places, places[-1]))
+        held = [rows.slice(whole)]
+        sizes = rows.column(3).value_lengths().to_numpy(zero_copy_only=False)[:whole].astype(np.int64)
+        for start, end in pairwise(_cuts(places[:whole], sizes)):
+            yield _counted(rows.slice(start, end - start), mean, cfg)
 
 
 def _part(tf: Column, length: Column, mean: float | None, cfg: Bm25) -> Column:
@@ -81,24 +117,27 @@ def write_postings(
     """Index a search table (``key``, ``tokens``, ``token_count``); keys are unique and not missing.
 
     Rows without tokens count in the corpus figures only.  The figures are kept beside the blocks, for ``open_postings``.
+    The rows of a range meet in one task, which makes its blocks: no list is collected over a shuffle.
     """
+    key_type = table.schema[key].dataType.simpleString()
     figures = table.agg(F.count(F.lit(1)).alias("rows"), F.avg("token_count").alias("mean")).first()
     ranges = max(1, -(-figures.rows // range_rows))
+    mean = float("nan") if figures.mean is None else float(figures.mean)
     rows = table.filter(F.size("tokens") > 0).select(
         F.col(key).alias("key"), F.col("token_count").cast("int").alias("length"), F.pmod(F.xxhash64(key), F.lit(ranges)).alias("range"), "tokens"
     )
-    entry = F.struct("key", "tf", "length")
-    blocks = _term_counts(rows, table.schema[key].dataType.simpleString()).groupBy("term", "range").agg(
-        # as many rows as a range has
-        F.collect_list(entry).alias("docs"), F.max(_part(F.col("tf"), F.col("length"), figures.mean, cfg)).alias("best"),
-    ).withColumn("df", F.size("docs")).withColumn("bucket", _folder(F.col("term"), buckets))
-    by_partition(blocks, "bucket").sortWithinPartitions("bucket", "term", "range").write.mode("overwrite").option(
-        "partitionOverwriteMode", "static"
-    ).partitionBy("bucket").parquet(f"{path}/blocks")
+    blocks = rows.repartition("range").sortWithinPartitions("range").mapInArrow(
+        lambda batches: _range_blocks(batches, mean, cfg),
+        f"term string, range long, key array<{key_type}>, tf array<int>, length array<int>, best double",
+    ).withColumn("df", F.size("key")).withColumn("bucket", _folder(F.col("term"), buckets))
+    # flat arrays travel, and become entries where they are written
+    by_partition(blocks, "bucket").sortWithinPartitions("bucket", "term", "range").select(
+        "term", "range", F.arrays_zip("key", "tf", "length").alias("docs"), "best", "df", "bucket"
+    ).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("bucket").parquet(f"{path}/blocks")
     stats = table.sparkSession.range(1).select(
         F.lit(figures.rows).cast("long").alias("rows"), F.lit(figures.mean).cast("double").alias("mean"), F.lit(ranges).cast("long").alias("ranges"),
         F.lit(buckets).alias("buckets"), F.lit(key).alias("key"),
-        F.lit(table.schema[key].dataType.simpleString()).alias("key_type"), F.lit(cfg.k1).cast("double").alias("k1"), F.lit(cfg.b).cast("double").alias("b"),
+        F.lit(key_type).alias("key_type"), F.lit(cfg.k1).cast("double").alias("k1"), F.lit(cfg.b).cast("double").alias("b"),
     )
     stats.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/figures")
     return open_postings(table.sparkSession, path)

@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -146,3 +147,54 @@ def test_vectors_that_cannot_be_compared(spark, vectors, lists, tmp_path):
     assert vector_index.search(spark, lists, asked([1.0, 2.0]), 5).collect() == []
     empty = vector_index.write_vectors(vectors.limit(0), str(tmp_path / "none"))
     assert vector_index.search(spark, empty, asked([1.0]), 5).collect() == []
+
+
+# ------------------------------------------------- postings of large tables
+def sorted_batches(rows=900, ranges=45, size=70, width=40):
+    """Rows in order of their range, with ``width`` tokens each, in Arrow batches."""
+    rnd = random.Random(4)
+    listed = [[f"t{rnd.randrange(60)}" for _ in range(width)] for _ in range(rows)]
+    place = sorted(rnd.randrange(ranges) for _ in range(rows))
+    columns = [pa.array(range(rows), pa.int64()), pa.array([width] * rows, pa.int32()), pa.array(place, pa.int64()), pa.array(listed)]
+    whole = pa.RecordBatch.from_arrays(columns, names=["key", "length", "range", "tokens"])
+    return listed, place, [whole.slice(i, size) for i in range(0, rows, size)]
+
+
+def test_blocks_are_made_from_bounded_pieces(monkeypatch):
+    listed, place, batches = sorted_batches()
+    monkeypatch.setattr(postings, "PIECE_TOKENS", 1_000)
+    made = list(postings._range_blocks(iter(batches), 40.0, postings.DEFAULT_BM25))
+    most = 40 * max(place.count(p) for p in set(place))
+    assert len(made) > len(batches) and all(sum(len(k) for k in b["key"].to_pylist()) <= 1_000 + most for b in made)
+    got = {}
+    for b in made:
+        for r in b.to_pylist():
+            assert (r["term"], r["range"]) not in got  # a range is never cut
+            got[r["term"], r["range"]] = {k: (tf, n) for k, tf, n in zip(r["key"], r["tf"], r["length"], strict=True)}
+    want = {}
+    for k, words in enumerate(listed):
+        for w in set(words):
+            want.setdefault((w, place[k]), {})[k] = (words.count(w), 40)
+    assert got == want
+
+
+def test_no_batches_make_no_blocks():
+    assert list(postings._range_blocks(iter([]), float("nan"), postings.DEFAULT_BM25)) == []
+
+
+def test_no_list_of_postings_is_collected_over_a_shuffle(spark, texts, tmp_path, monkeypatch):
+    plans = []
+    dealt = postings.by_partition
+    monkeypatch.setattr(postings, "by_partition", lambda df, *keys: plans.append(plan(df)) or dealt(df, *keys))
+    postings.write_postings(texts, str(tmp_path / "lists"))
+    assert len(plans) == 1 and "collect_list" not in plans[0] and "MapInArrow" in plans[0] and plans[0].count("Exchange") <= 2
+
+
+def test_keys_that_come_twice_score_as_one_row(spark, tmp_path):
+    rows = [("a", "w1 w2"), ("a", "w1 w1"), ("a", "w3"), (None, "w1"), ("b", "w2 w2 w4"), *((f"c{i}", "w5 w1") for i in range(40))]
+    table = search.search_table(spark.createDataFrame(rows, "event_id string, text string").repartition(7))
+    index = postings.write_postings(table, str(tmp_path / "twice"), range_rows=2)
+    every = {r.event_id: round(r.score, 9) for r in postings.matching(spark, index, "w1 w2 w3").collect()}
+    best = {r.event_id: round(r.score, 9) for r in postings.best_matching(spark, index, "w1 w2 w3", 3).collect()}
+    assert len(every) == 43 and max(every, key=every.get) == "a"
+    assert best["a"] == every["a"] and all(every[k] == s for k, s in best.items())
