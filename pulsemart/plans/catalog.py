@@ -783,11 +783,11 @@ def redacted_documents(spark, folder):
 
 
 # --------------------------------------------------------------- retrieval
-def _search_table(spark, folder, vectors=False) -> DataFrame:
+def _search_table(spark, folder, vectors=False, columns=("*",)) -> DataFrame:
     """Analysed documents, written once as the search table."""
     rows = samples.search_events(spark, folder)
     table = search.search_table(rows if vectors else rows.drop("dense_vec"))
-    return stage(table, "search")
+    return stage(table.select(*columns), "search")
 
 
 @query
@@ -823,8 +823,9 @@ def relevance_scores(spark, folder):
 
 
 def _postings(spark, folder) -> postings.Postings:
-    """The search table's postings, written once."""
-    return postings.write_postings(_search_table(spark, folder), scratch_path(spark, "postings"))
+    """The search table's postings, written once from its tokens."""
+    tokens = _search_table(spark, folder, columns=("event_id", "tokens", "token_count"))
+    return postings.write_postings(tokens, scratch_path(spark, "postings"))
 
 
 @query

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pulsemart.operators import search
+from pulsemart.plans import catalog
 from pulsemart.sources import postings, vector_index
 
 
@@ -198,3 +199,13 @@ def test_keys_that_come_twice_score_as_one_row(spark, tmp_path):
     best = {r.event_id: round(r.score, 9) for r in postings.best_matching(spark, index, "w1 w2 w3", 3).collect()}
     assert len(every) == 43 and max(every, key=every.get) == "a"
     assert best["a"] == every["a"] and all(every[k] == s for k, s in best.items())
+
+
+def test_postings_queries_stage_tokens_only(spark, texts, monkeypatch):
+    staged = []
+    keep = catalog.stage
+    monkeypatch.setattr(catalog.samples, "search_events", lambda *_: texts.select("event_id", "text").withColumn("dense_vec", F.lit(None)))
+    monkeypatch.setattr(catalog, "stage", lambda df, name: staged.append(df.columns) or keep(df, name))
+    assert catalog.postings_match(spark, "").columns == ["event_id", "score"]
+    assert catalog.relevance_match(spark, "").columns == ["event_id", "score"]
+    assert staged == [["event_id", "tokens", "token_count"], ["event_id", "text", "tokens", "token_count"]]
