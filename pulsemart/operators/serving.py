@@ -121,6 +121,17 @@ def _of_cluster(complaints: DataFrame, cluster: str | None) -> DataFrame:
     return complaints if cluster in (None, "all") else complaints.filter(F.col("cluster_name") == cluster)
 
 
+#: A complaint as the pages show it.
+PAGE_COLUMNS = (
+    "complaint_id", "source_type", "brand_id", "complaint_text", "complaint_date", "cluster_name", "severity_level", "source_detail",
+)
+
+
+def page_rows(complaints: DataFrame) -> DataFrame:
+    """Complaints with the columns of a page, whole texts included; text features only decide the cluster."""
+    return complaints.select(*PAGE_COLUMNS)
+
+
 def newest_first() -> list[Column]:
     """The order of complaint pages."""
     return [F.col("complaint_date").desc(), severity_rank(F.col("severity_level")).desc(), F.col("complaint_id").asc()]

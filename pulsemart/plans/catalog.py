@@ -347,7 +347,7 @@ def complaint_page_envelope(spark, folder):
 
 def _page_index(spark, folder, group: str | None) -> page_index.PageIndex:
     path = scratch_path(spark, "pages")
-    page_index.write_pages(_assigned(spark, folder), path, serving.newest_first(), group)
+    page_index.write_pages(serving.page_rows(_assigned(spark, folder)), path, serving.newest_first(), group)
     return page_index.PageIndex(spark, path)
 
 

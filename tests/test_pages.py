@@ -6,7 +6,9 @@ import re
 
 import pytest
 
-from pulsemart.operators import serving
+from pulsemart.operators import clusters, features, serving
+from pulsemart.plans import catalog
+from pulsemart.sources import page_index
 from pulsemart.sources.page_index import PageIndex, write_pages
 
 SCHEMA = "complaint_id string, complaint_date date, severity_level string, cluster_name string"
@@ -118,3 +120,28 @@ def test_nothing_and_refused_names(spark, tmp_path):
     assert index.total("hot").head().total_count == 0
     with pytest.raises(ValueError):
         write_pages(spark.createDataFrame([(1,)], "_ROW int"), str(tmp_path / "refused"), [])
+
+
+def test_pages_hold_complaints_as_shown(spark):
+    schema = ("complaint_id string, complaint_text string, severity_level string, source_type string, brand_id string, "
+              "complaint_date date, topics array<string>, source_detail string")
+    rows = [("a", "the atm is broken", "high", "cfpb", "td", dt.date(2024, 1, 1), None, "x"), (None, None, None, None, None, None, None, None)]
+    assigned = clusters.assign_clusters(features.text_features(spark.createDataFrame(rows, schema)))
+    shown = serving.page_rows(assigned)
+    assert "complaint_text" in shown.columns and not {"cleaned_text", "feature_vector", "word_count"} & set(shown.columns)
+    text = plan(shown)
+    assert "[a-z0-9]+" not in text and "concat_ws" not in text  # no feature is worked out that only other readers need
+    assert sorted(map(str, shown.collect())) == sorted(map(str, assigned.select(*shown.columns).collect()))
+
+
+def test_the_page_queries_write_these_columns(spark, tmp_path, monkeypatch):
+    written = []
+    monkeypatch.setattr(catalog, "_assigned", lambda *_: spark.createDataFrame(
+        [("a", "cfpb", "td", "text", dt.date(2024, 1, 1), "hot", "high", "x", "clean")],
+        "complaint_id string, source_type string, brand_id string, complaint_text string, complaint_date date, cluster_name string, "
+        "severity_level string, source_detail string, cleaned_text string"))
+    keep = page_index.write_pages
+    monkeypatch.setattr(catalog.page_index, "write_pages", lambda rows, *rest: written.append(rows.columns) or keep(rows, *rest))
+    assert [tuple(r) for r in catalog.complaint_places(spark, "").collect()] == [("a", "hot", 1, 1)]
+    assert catalog.complaint_last_page(spark, "").count() == 1
+    assert [set(c) for c in written] == [set(serving.PAGE_COLUMNS)] * 2
