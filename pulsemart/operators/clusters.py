@@ -13,6 +13,8 @@ from pulsemart.settings import (
 
 # The description follows from the name, so it is added after grouping.
 CLUSTER_KEYS = ("cluster_name", "cluster_priority")
+#: What the cluster figures are made from.
+SUMMARY_INPUT = (*CLUSTER_KEYS, "source_detail", "source_type", "complaint_date", "severity_level")
 MENTIONS = ("account", "card", "loan", "fee", "fraud", "service", "error")
 PREVIEW_CHARS = 200
 SAMPLES = 5

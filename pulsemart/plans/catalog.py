@@ -206,10 +206,11 @@ def complaint_text_features(spark, folder):
 
 
 def _cluster_rows(spark, folder, literal_join: bool) -> DataFrame:
-    rows = complaint_marts.complaint_clusters(_assigned(spark, folder), literal_join)
+    shown = ("complaint_id", "source_type", "cluster_name", "cluster_description", "cluster_priority")
+    rows = complaint_marts.complaint_clusters(_assigned(spark, folder), literal_join, columns=shown)
     return tidy(
         rows.select(
-            "complaint_id", "source_type", "cluster_name", "cluster_description", "cluster_priority",
+            *shown,
             "cluster_total_complaints", "cluster_days_active", "cluster_avg_severity", "cluster_reddit_count",
             "cluster_cfpb_count", "cluster_first_date", "cluster_last_date",
             F.array_join("cluster_common_sources", ",").alias("cluster_common_sources"),

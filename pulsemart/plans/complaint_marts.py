@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 
 from pulsemart.operators import clusters, features
@@ -17,13 +19,18 @@ def assigned_complaints(
     return clusters.assign_clusters(features.text_features(unified, cfg))
 
 
-def complaint_clusters(assigned: DataFrame, literal_join: bool = False, staged: bool = True) -> DataFrame:
+def complaint_clusters(
+    assigned: DataFrame, literal_join: bool = False, staged: bool = True, columns: Sequence[str] | None = None
+) -> DataFrame:
     """Complaints with the figures of their cluster.
 
     Rows and figures both need the classified complaints, so they are staged
-    and every text is classified once.
+    and every text is classified once.  ``columns`` names the complaint's own
+    columns that are wanted; the rest is neither worked out nor written, but
+    for what the figures need.
     """
-    rows = stage(assigned, "assigned") if staged else assigned
+    wanted = assigned if columns is None else assigned.select(*dict.fromkeys((*columns, *clusters.SUMMARY_INPUT)))
+    rows = stage(wanted, "assigned") if staged else wanted
     return clusters.complaint_clusters(rows, clusters.cluster_summary(rows), literal_join)
 
 

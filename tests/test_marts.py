@@ -244,3 +244,20 @@ def test_samples_are_the_gravest_and_longest(spark):
     one = {r.cluster_priority: r for r in complaint_marts.daily_stats(clusters.assign_clusters(complaints(spark, rows))).collect()}
     assert [s.complaint_id for s in one[6].sample_complaints] == ["c7", "c6", "c5", "c4", "c3"]
     assert one[6].daily_complaint_count == 7 and one[2].daily_complaint_count == 1
+
+
+# --------------------------------------------- only what is shown is staged
+def test_clusters_of_named_columns(spark, monkeypatch):
+    rows = [(str(i), t, s, "cfpb" if i % 3 else "reddit", "td", DAY, None, f"s{i % 4}") for i, (t, s, _, _) in enumerate(CASES)]
+    assigned = clusters.assign_clusters(complaints(spark, rows + rows[:2] + [(None, None, None, None, None, None, None, None)]))
+    staged = []
+    keep = complaint_marts.stage
+    monkeypatch.setattr(complaint_marts, "stage", lambda df, name: staged.append(df.columns) or keep(df, name))
+    shown = ("complaint_id", "cluster_name", "cluster_priority")
+    for literal in (False, True):
+        whole = complaint_marts.complaint_clusters(assigned, literal)
+        some = complaint_marts.complaint_clusters(assigned, literal, columns=shown)
+        names = [c for c in whole.columns if c in shown or (c.startswith("cluster_") and c != "cluster_description")]
+        assert sorted(map(str, some.select(names).collect())) == sorted(map(str, whole.select(names).collect()))
+    assert "complaint_text" in staged[0] and "cleaned_text" in staged[0]
+    assert not {"complaint_text", "cleaned_text", "feature_vector"} & {*staged[1], *staged[3]}
