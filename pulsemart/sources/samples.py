@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pulsemart.settings import FeatureSettings, ToneLexicon
-from pulsemart.sources.layout import spread
+from pulsemart.sources.layout import in_tasks, spread
 
 DAY0 = "2024-01-01"
 SPAN = 35
@@ -209,17 +209,23 @@ def complaints_feed(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def complaints_export_feed(spark: SparkSession, folder: str) -> DataFrame:
-    """One export row per order; the document of the same number is the narrative, else a line about the order."""
+    """One export row per order; the document of the same number is the narrative, else a line about the order.
+
+    Texts join last, so they are shuffled once, by their own key, and never by customer.
+    """
     docs, orders, customers, nations = (
         table(spark, folder, n) for n in ("documents", "orders", "customer", "nation")
     )
     number, text = F.col("o_orderkey"), F.lit(None).cast("string")
     received = day_of(number)
     line = F.concat(F.lit("Order of priority "), F.col("o_orderpriority"), F.lit(" with state "), F.col("o_orderstatus"))
+    # Every text will be matched against many terms.
+    placed = orders.join(customers, orders["o_custkey"] == customers["c_custkey"]).join(
+        nations, customers["c_nationkey"] == nations["n_nationkey"]
+    )
     return (
-        orders.join(docs, docs["doc_id"] == orders["o_orderkey"], "left")
-        .join(customers, orders["o_custkey"] == customers["c_custkey"])
-        .join(nations, customers["c_nationkey"] == nations["n_nationkey"])
+        in_tasks(placed, "o_orderkey")
+        .join(docs, docs["doc_id"] == F.col("o_orderkey"), "left")
         .select(
             number.cast("string").alias("Complaint_ID"),
             F.coalesce("text", line).alias("Consumer_complaint_narrative"),

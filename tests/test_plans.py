@@ -5,6 +5,7 @@ import os
 import pytest
 
 from pulsemart.plans import catalog
+from pulsemart.sources import samples
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables not present")
@@ -60,3 +61,40 @@ def test_filters_reach_the_scan(spark):
 def test_rollups_read_their_feed_once(spark):
     assert plan(catalog.complaints_daily(spark, FOLDER)).count("/orders.parquet") == 1
     assert plan(catalog.trends_daily(spark, FOLDER)).count("/lineitem.parquet") == 1
+
+
+@pytest.fixture
+def orders_folder(spark, tmp_path):
+    tables = {
+        "documents": ([(0, "a text", "en"), (2, None, None), (9, "of no order", "de")], "doc_id long, text string, lang string"),
+        "orders": (
+            [(0, 1, "O", "1-URGENT"), (1, 1, "F", None), (2, 2, "P", "2-HIGH"), (3, 7, "O", "2-HIGH"), (2, 1, "O", "2-HIGH"), (None, 1, "O", "x")],
+            "o_orderkey long, o_custkey long, o_orderstatus string, o_orderpriority string"),
+        "customer": ([(1, 5, "BUILDING"), (2, 6, None), (2, 5, "HOUSEHOLD")], "c_custkey long, c_nationkey int, c_mktsegment string"),
+        "nation": ([(5, "FIVE"), (6, "SIX")], "n_nationkey int, n_name string"),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    return str(tmp_path)
+
+
+def test_texts_of_the_export_are_shuffled_once(spark, orders_folder):
+    held = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        for k, v in zip(held, ("-1", "false"), strict=True):
+            spark.conf.set(k, v)
+        feed = samples.complaints_export_feed(spark, orders_folder)
+        text = plan(feed.select("Consumer_complaint_narrative", "State"))
+        # The plan lists parents first: the last join is by order and document, the one by customer lies below it.
+        joins = [line for line in text.splitlines() if "SortMergeJoin" in line]
+        assert len(joins) == 3 and "doc_id" in joins[0] and not any("doc_id" in j for j in joins[1:])
+        assert "REPARTITION_BY_NUM" in text
+        found = sorted((str(r.Complaint_ID), str(r.Consumer_complaint_narrative), r.State) for r in feed.collect())
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+    line = "Order of priority {} with state {}".format
+    assert found == sorted([
+        ("0", "a text", "FIVE"), ("1", "None", "FIVE"), ("2", line("2-HIGH", "P"), "SIX"), ("2", line("2-HIGH", "P"), "FIVE"),
+        ("2", line("2-HIGH", "O"), "FIVE"), ("None", line("x", "O"), "FIVE"),
+    ])
