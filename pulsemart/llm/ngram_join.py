@@ -33,13 +33,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsemart.llm.common import stage, text_of, unwrapped, wrapped
-from pulsemart.llm.words import coded_words, mixed, parts, runs, shingles, word_hashes
+from pulsemart.llm.words import coded_words, mixed, parts, shingles, word_hashes
 
 #: Documents link when OF x intersection >= PARTS x union.
 PARTS, OF = 80, 100
 CHUNK_BYTES = 4_000_000
-#: Column entries per shard, and bytes of a column's number inside its shard.
-SHARD_ENTRIES, COLUMN_BYTES = 1_000_000, 5
+#: Entries per shard of columns and per block of rows, and bytes of a column's number inside its shard.  Most entries leave
+#: with their shard, so a shard may be the larger; a row sends its key to each shard that it has columns in.
+SHARD_ENTRIES, BLOCK_ENTRIES, COLUMN_BYTES = 2_000_000, 1_000_000, 5
 
 
 def needed(n: int | np.ndarray) -> int | np.ndarray:
@@ -47,17 +48,22 @@ def needed(n: int | np.ndarray) -> int | np.ndarray:
     return -(-n * PARTS // OF)
 
 
-def _sets(texts: pa.Array) -> list[np.ndarray]:
-    """Distinct shingles of each text, sorted."""
+def _sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct shingles of all texts in a row, sorted in each; where each text's start, with the end; each set's hash as a signed number."""
     words, numbers, starts = coded_words(texts)
     found, ends = shingles(word_hashes(words)[numbers], starts)
-    return [np.unique(found[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
-
-
-def _key(row: np.ndarray) -> int:
-    """Hash of a set as a signed number."""
-    both = mixed(row + np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64) ^ mixed(row * np.uint64(3)).sum(dtype=np.uint64)
-    return int(mixed(np.array([both + np.uint64(len(row))], np.uint64)).view(np.int64)[0])
+    places = ends.tolist()
+    for a, b in zip(places[:-1], places[1:], strict=True):
+        found[a:b].sort()
+    new = np.ones(len(found), bool)
+    new[1:] = found[1:] != found[:-1]
+    new[ends[:-1][np.diff(ends) > 0]] = True
+    found, ends = found[new], np.concatenate([[0], np.cumsum(new)])[ends]
+    one, two = (
+        np.diff(np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(x))])[ends])  # sums, modulo 2 ** 64
+        for x in (found + np.uint64(0x5851F42D4C957F2D), found * np.uint64(3))
+    )
+    return found, ends, mixed((one ^ two) + np.diff(ends).astype(np.uint64)).view(np.int64)
 
 
 def with_sets(docs: DataFrame, keep: list[str]) -> DataFrame:
@@ -67,9 +73,9 @@ def with_sets(docs: DataFrame, keep: list[str]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in parts(batch, "t", CHUNK_BYTES):
-                rows = _sets(part.column("t"))
+                _, ends, keys = _sets(part.column("t"))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(i) for i in inner] + [pa.array([len(r) for r in rows], pa.int64()), pa.array([_key(r) for r in rows], pa.int64())],
+                    [part.column(i) for i in inner] + [pa.array(np.diff(ends), pa.int64()), pa.array(keys, pa.int64())],
                     names=[*inner, "n_shingles", "set_key"],
                 )
 
@@ -79,16 +85,53 @@ def with_sets(docs: DataFrame, keep: list[str]) -> DataFrame:
     return out.select(*(F.col(i).alias(c) for c, i in zip(keep, inner, strict=True)), "n_shingles", "set_key")
 
 
-def _low_bytes(values: np.ndarray) -> bytes:
-    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :COLUMN_BYTES]).tobytes()
+def _low_bytes(values: np.ndarray) -> np.ndarray:
+    return values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :COLUMN_BYTES]
 
 
-def _from_low_bytes(raw: bytes) -> np.ndarray:
+def _from_low_bytes(raw: np.ndarray) -> np.ndarray:
     out = np.zeros((len(raw) // COLUMN_BYTES, 8), np.uint8)
-    out[:, :COLUMN_BYTES] = np.frombuffer(raw, np.uint8).reshape(-1, COLUMN_BYTES)
+    out[:, :COLUMN_BYTES] = raw.reshape(-1, COLUMN_BYTES)
     return out.view("<u8").ravel()
 
 
+def _cut(values: np.ndarray, starts: np.ndarray) -> pa.Array:
+    """The bytes of ``values`` from each of ``starts`` to the next one, the last to the end."""
+    values = np.ascontiguousarray(values)
+    places = (np.append(starts, len(values)) * (values.nbytes // max(1, len(values)))).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(places), pa.py_buffer(values)])
+
+
+def _flat(values: pa.ChunkedArray, kind: str) -> np.ndarray:
+    """The bytes of all values in a row, as numbers."""
+    out = []
+    for chunk in values.cast(pa.large_binary()).chunks:
+        if len(chunk):
+            _, places, data = chunk.buffers()
+            places = np.frombuffer(places, np.int64)[chunk.offset:chunk.offset + len(chunk) + 1]
+            out.append(np.frombuffer(data, np.uint8)[places[0]:places[-1]])
+    return np.concatenate(out).view(kind)
+
+
+def _messages(to: str, target: np.ndarray, owner: np.ndarray, keys: np.ndarray, sizes: np.ndarray, columns: np.ndarray, **more: np.ndarray) -> pa.RecordBatch:
+    """Entries sorted by target and owner (a place in ``keys`` and ``sizes``), one row per target.
+
+    No step is taken per row: there is one for each pair of sender and target.
+    """
+    new = np.ones(len(owner), bool)
+    new[1:] = (owner[1:] != owner[:-1]) | (target[1:] != target[:-1])
+    first = np.flatnonzero(new)
+    head = np.ones(len(first), bool)
+    head[1:] = target[first[1:]] != target[first[:-1]]
+    starts = np.flatnonzero(head)
+    own = owner[first]
+    arrays = [
+        pa.array(target[first[starts]].astype(np.int32)), _cut(keys[own], starts), _cut(sizes[own].astype("<u4"), starts),
+        _cut(np.diff(np.append(first, len(owner))).astype("<u4"), starts), *(_cut(x, first[starts]) for x in (columns, *more.values())),
+    ]
+    return pa.RecordBatch.from_arrays(arrays, names=[to, "keys", "sizes", "counts", "columns", *more])
+
+
 def _entries(docs: DataFrame, shards: int) -> DataFrame:
     """The matrix's entries by shard of columns: rows' keys, sizes, entries in this shard, and columns, row by row.
 
@@ -98,70 +141,52 @@ def _entries(docs: DataFrame, shards: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in parts(batch, "text", CHUNK_BYTES):
-                rows = {_key(r): r for r in _sets(part.column(0)) if len(r)}
-                if not rows:
+                columns, ends, keys = _sets(part.column(0))
+                sizes = np.diff(ends)
+                once = np.zeros(len(keys), bool)
+                once[np.unique(keys, return_index=True)[1]] = True
+                once &= sizes > 0
+                columns, keys, sizes = columns[np.repeat(once, sizes)], keys[once], sizes[once]
+                if not len(keys):
                     continue
-                sizes = np.array([len(r) for r in rows.values()])
-                columns, owner = np.concatenate(list(rows.values())), np.repeat(np.arange(len(rows)), sizes)
-                shard = (columns >> np.uint64(40)) % np.uint64(shards)
-                order = np.lexsort((owner, shard))
-                columns, owner, shard = columns[order], owner[order], shard[order].astype(np.int64)
-                keys = np.array(list(rows), np.int64)
-                out = []
-                for a, b in runs(shard):
-                    first = np.flatnonzero(np.diff(owner[a:b], prepend=-1))
-                    own = owner[a + first]
-                    out.append((
-                        int(shard[a]), keys[own].tobytes(), sizes[own].astype("<u4").tobytes(),
-                        np.diff(np.append(first, b - a)).astype("<u4").tobytes(), _low_bytes(columns[a:b]),
-                    ))
-                yield _blobs("shard", out)
+                shard = ((columns >> np.uint64(40)) % np.uint64(shards)).astype(np.uint16 if shards < 1 << 16 else np.int64)
+                order = np.argsort(shard, kind="stable")
+                owner = np.repeat(np.arange(len(keys)), sizes)[order]
+                yield _messages("shard", shard[order], owner, keys, sizes, _low_bytes(columns[order]))
 
     return docs.select(text_of().alias("text")).mapInArrow(run, "shard int, keys binary, sizes binary, counts binary, columns binary")
 
 
-def _blobs(first: str, rows: list[tuple], *more: str) -> pa.RecordBatch:
-    names = [first, "keys", "sizes", "counts", "columns", *more]
-    columns = list(zip(*rows, strict=True)) or [()] * len(names)
-    return pa.RecordBatch.from_arrays([pa.array(c, pa.binary() if k else pa.int32()) for k, c in enumerate(columns)], names=names)
-
-
-def _joined(table: pa.Table, name: str, kind: str) -> np.ndarray:
-    return np.concatenate([np.frombuffer(x, kind) for x in table[name].to_pylist()])
-
-
 def _shared(entries: DataFrame, blocks: int) -> DataFrame:
     """Entries in columns that have at least two rows, with the column's rows counted, dealt by block of rows."""
 
     def run(table: pa.Table) -> pa.Table:
         shard = table["shard"][0].as_py()
-        keys, counts = _joined(table, "keys", "<i8"), _joined(table, "counts", "<u4")
-        sizes = _joined(table, "sizes", "<u4")
-        distinct, first, which = np.unique(keys, return_index=True, return_inverse=True)
-        owner = np.repeat(which, counts)
-        columns = np.concatenate([_from_low_bytes(x) for x in table["columns"].to_pylist()])
+        columns = _from_low_bytes(_flat(table["columns"], "u1"))
+        order = np.argsort(columns)
+        columns = columns[order]
+        same = columns[1:] == columns[:-1]
+        twice = np.concatenate([[False], same]) | np.concatenate([same, [False]])  # the others, most, leave before all else
+        columns, order = columns[twice], order[twice]
+        keys, sizes, counts = _flat(table["keys"], "<i8"), _flat(table["sizes"], "<u4"), _flat(table["counts"], "<u4")
+        row = np.repeat(np.arange(len(keys)), counts)[order]
+        used = np.zeros(len(keys), bool)
+        used[row] = True
+        distinct, first, which = np.unique(keys[used], return_index=True, return_inverse=True)
+        sizes, owner = sizes[used][first], which[(np.cumsum(used) - 1)[row]]
         order = np.lexsort((owner, columns))
         columns, owner = columns[order], owner[order]
         new = np.ones(len(columns), bool)
         new[1:] = (columns[1:] != columns[:-1]) | (owner[1:] != owner[:-1])  # equal rows of several chunks
         columns, owner = columns[new], owner[new]
-        heads = np.flatnonzero(np.concatenate([[True], columns[1:] != columns[:-1]]))
+        heads = np.flatnonzero(np.diff(columns, prepend=~columns[:1]))
         frequency = np.diff(np.append(heads, len(columns)))
         often = np.repeat(frequency, frequency)
         columns, owner, often = columns[often > 1], owner[often > 1], often[often > 1]
         block = (distinct.view(np.uint64) % np.uint64(blocks)).astype(np.int64)[owner]
         order = np.lexsort((owner, block))
-        columns, owner, often, block = columns[order], owner[order], often[order], block[order]
-        out = []
-        for a, b in runs(block):
-            starts = np.flatnonzero(np.diff(owner[a:b], prepend=-1))
-            own = owner[a + starts]
-            out.append((
-                int(block[a]), distinct[own].tobytes(), sizes[first][own].astype("<u4").tobytes(),
-                np.diff(np.append(starts, b - a)).astype("<u4").tobytes(), (columns[a:b] | np.uint64(shard << 40)).astype("<u8").tobytes(),
-                often[a:b].astype("<u4").tobytes(),
-            ))
-        return pa.Table.from_batches([_blobs("block", out, "often")])
+        columns = (columns[order] | np.uint64(shard << 40)).astype("<u8")
+        return pa.Table.from_batches([_messages("block", block[order], owner[order], distinct, sizes, columns, often=often[order].astype("<u4"))])
 
     return entries.groupBy("shard").applyInArrow(
         run, "block int, keys binary, sizes binary, counts binary, columns binary, often binary"
@@ -172,8 +197,8 @@ def _candidates(shared: DataFrame) -> DataFrame:
     """Rows that can reach the bound: ``key, n, alone, columns`` (shared ones, sorted) and ``rare``, the deciding columns."""
 
     def run(table: pa.Table) -> pa.Table:
-        keys, counts = _joined(table, "keys", "<i8"), _joined(table, "counts", "<u4")
-        sizes, columns, often = _joined(table, "sizes", "<u4"), _joined(table, "columns", "<u8"), _joined(table, "often", "<u4")
+        keys, counts = _flat(table["keys"], "<i8"), _flat(table["counts"], "<u4")
+        sizes, columns, often = _flat(table["sizes"], "<u4"), _flat(table["columns"], "<u8"), _flat(table["often"], "<u4")
         distinct, first, which = np.unique(keys, return_index=True, return_inverse=True)
         owner = np.repeat(which, counts)
         have = np.bincount(owner, minlength=len(distinct))
@@ -260,8 +285,8 @@ def components(links: DataFrame) -> DataFrame:
 
 def classes(docs: DataFrame, total_shingles: int) -> DataFrame:
     """``(key, label)`` of all shingle sets that link with a different one."""
-    shards = max(64, -(-total_shingles // SHARD_ENTRIES))
-    rows = stage(_candidates(_shared(_entries(docs, shards), shards)), "rows")
+    shards, blocks = (max(64, -(-total_shingles // n)) for n in (SHARD_ENTRIES, BLOCK_ENTRIES))
+    rows = stage(_candidates(_shared(_entries(docs, shards), blocks)), "rows")
     columns = stage(rows.select("key", "n", "alone", F.posexplode("rare").alias("place", "column")), "columns")
     # The row with the fewest columns of its own, as a crowd's pattern has.
     best = F.struct((F.col("alone") / F.col("n")).alias("share"), "key", "n")

@@ -3,8 +3,10 @@
 import hashlib
 import math
 import random
+import time
 import zlib
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -182,6 +184,43 @@ def test_join_of_chains_and_crowds(spark, make):
     assert ordered(map(tuple, ngram_join.near_duplicates(table).collect())) == ordered((i, len(s), c) for (i, s), c in zip(sets, brute_components(sets), strict=True))
 
 
+@pytest.mark.parametrize("entries", [50, 4000])
+def test_join_in_many_shards_and_blocks(spark, docs, sample, monkeypatch, entries):
+    monkeypatch.setattr(ngram_join, "SHARD_ENTRIES", entries)
+    monkeypatch.setattr(ngram_join, "BLOCK_ENTRIES", entries // 2)
+    sets = [(r[0], shingled(r[1])) for r in sample]
+    assert ordered(map(tuple, ngram_join.near_duplicates(docs).collect())) == ordered((i, len(s), c) for (i, s), c in zip(sets, brute_components(sets), strict=True))
+
+
+def test_a_shard_of_many_rows_sends_to_many_blocks():
+    entries = SimpleNamespace(groupBy=lambda _: SimpleNamespace(applyInArrow=lambda run, _: run))
+    run, rows = ngram_join._shared(entries, 20_000), 200_000
+    keys = np.random.default_rng(1).integers(-1 << 62, 1 << 62, rows)
+    lone = np.arange(1, 101, dtype=np.int64)  # rows of one column, which no other row has
+
+    def message(keys, columns, counts, size):
+        raw = columns.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
+        return 3, keys.tobytes(), np.full(len(keys), size, "<u4").tobytes(), counts.astype("<u4").tobytes(), raw
+
+    pairs = np.repeat(np.arange(rows // 2), 2)  # each column has two rows, each row two columns
+    columns = np.stack([pairs, (np.arange(rows) + 1) % rows // 2 + (1 << 30)], 1).ravel()
+    columns.reshape(-1, 2).sort()
+    sent = [message(keys, columns, np.full(rows, 2), 7), message(keys[:4], columns[:8], np.full(4, 2), 7), message(lone, lone + (1 << 35), np.ones(100), 1)]
+    kinds = [pa.int32(), *[pa.binary()] * 4]
+    table = pa.table([pa.array(c, k) for c, k in zip(zip(*sent, strict=True), kinds, strict=True)], names=["shard", "keys", "sizes", "counts", "columns"])
+    start = time.process_time()
+    got = run(table).to_pydict()
+    took = time.process_time() - start
+    flat = {k: np.concatenate([np.frombuffer(x, t) for x in got[k]]) for k, t in (("keys", "<i8"), ("sizes", "<u4"), ("counts", "<u4"), ("columns", "<u8"), ("often", "<u4"))}
+    assert sorted(got["block"]) == sorted(set((keys.view(np.uint64) % np.uint64(20_000)).tolist()))
+    assert all((np.frombuffer(k, "<u8") % np.uint64(20_000) == b).all() for k, b in zip(got["keys"], got["block"], strict=True))
+    assert (flat["sizes"] == 7).all() and (flat["counts"] == 2).all() and (flat["often"] == 2).all()
+    order, own = np.argsort(keys), np.argsort(flat["keys"])
+    assert np.array_equal(flat["keys"][own], keys[order])
+    assert np.array_equal(flat["columns"].reshape(-1, 2)[own], columns.reshape(-1, 2)[order] | 3 << 40)
+    assert took < 3  # under 1 s; 12 s when all rows' sizes were gathered anew for each block
+
+
 def test_keep_one(clashing, sample, empty):
     kept = ngram_join.keep_one(clashing)
     assert kept.columns == clashing.columns
