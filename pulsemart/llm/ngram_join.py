@@ -168,25 +168,29 @@ def _shared(entries: DataFrame, blocks: int) -> DataFrame:
         same = columns[1:] == columns[:-1]
         twice = np.concatenate([[False], same]) | np.concatenate([same, [False]])  # the others, most, leave before all else
         columns, order = columns[twice], order[twice]
+        del same, twice
         keys, sizes, counts = _flat(table["keys"], "<i8"), _flat(table["sizes"], "<u4"), _flat(table["counts"], "<u4")
-        row = np.repeat(np.arange(len(keys)), counts)[order]
+        row = np.repeat(np.arange(len(keys), dtype=np.int32), counts)[order]
         used = np.zeros(len(keys), bool)
         used[row] = True
-        distinct, first, which = np.unique(keys[used], return_index=True, return_inverse=True)
-        sizes, owner = sizes[used][first], which[(np.cumsum(used) - 1)[row]]
+        keys, first, which = np.unique(keys[used], return_index=True, return_inverse=True)
+        sizes, owner = sizes[used][first], which.astype(np.int32)[(np.cumsum(used, dtype=np.int32) - 1)[row]]
+        del row, used, first, which
         order = np.lexsort((owner, columns))
         columns, owner = columns[order], owner[order]
+        del order
         new = np.ones(len(columns), bool)
         new[1:] = (columns[1:] != columns[:-1]) | (owner[1:] != owner[:-1])  # equal rows of several chunks
         columns, owner = columns[new], owner[new]
         heads = np.flatnonzero(np.diff(columns, prepend=~columns[:1]))
-        frequency = np.diff(np.append(heads, len(columns)))
+        frequency = np.diff(np.append(heads, len(columns))).astype("<u4")
         often = np.repeat(frequency, frequency)
         columns, owner, often = columns[often > 1], owner[often > 1], often[often > 1]
-        block = (distinct.view(np.uint64) % np.uint64(blocks)).astype(np.int64)[owner]
+        block = (keys.view(np.uint64) % np.uint64(blocks)).astype(np.int32)[owner]
         order = np.lexsort((owner, block))
-        columns = (columns[order] | np.uint64(shard << 40)).astype("<u8")
-        return pa.Table.from_batches([_messages("block", block[order], owner[order], distinct, sizes, columns, often=often[order].astype("<u4"))])
+        columns = columns[order]
+        columns |= np.uint64(shard << 40)
+        return pa.Table.from_batches([_messages("block", block[order], owner[order], keys, sizes, columns, often=often[order])])
 
     return entries.groupBy("shard").applyInArrow(
         run, "block int, keys binary, sizes binary, counts binary, columns binary, often binary"
